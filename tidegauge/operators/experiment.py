@@ -10,13 +10,19 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidegauge.functions.checks import require_columns
 from tidegauge.functions.scalars import divide_or_null, lift, strict_date, symmetric_gap
 from tidegauge.operators.activity import rolling_mean
-from tidegauge.operators.engagement import prep_sessions
-from tidegauge.operators.funnel import prep_events
+from tidegauge.operators.dashboards import (
+    hearts_lost_per_user,
+    lesson_completion_rate,
+    purchase_conversion,
+    session_duration,
+)
 from tidegauge.operators.prepare import (
     active_user_days,
     as_date,
     enough_volume,
     group_keys,
+    prep_events,
+    prep_sessions,
     unique_users,
     with_user_columns,
 )
@@ -284,13 +290,6 @@ def guardrails(
 ) -> DataFrame:
     """date, keys and the four guardrails: session duration, completions per start, hearts lost per
     active user and purchases per user who saw the paywall that day."""
-    from tidegauge.operators.dashboards import (
-        hearts_lost_per_user,
-        lesson_completion_rate,
-        purchase_conversion,
-        session_duration,
-    )
-
     keys = group_keys(group_cols)
     parts = [
         session_duration(sessions, users, group_cols=keys),

@@ -18,7 +18,7 @@ from tidegauge.operators.prepare import (
     group_keys,
     unique_users,
 )
-from tidegauge.schemas import LIFECYCLE_STATES
+from tidegauge.schemas import ACTIVE_STATES, LIFECYCLE_STATES
 
 STATES = list(LIFECYCLE_STATES)
 
@@ -236,8 +236,6 @@ def lifecycle_transitions(fact_user_daily: DataFrame) -> DataFrame:
 def decomposition_report(fact_user_daily: DataFrame) -> DataFrame:
     """Per day: active users, users in the four active states, and whether the two agree. They
     differ by the new users who were not active on their signup day."""
-    from tidegauge.schemas import ACTIVE_STATES
-
     in_active_state = F.col("lifecycle_state").isin(ACTIVE_STATES)
     daily = fact_user_daily.groupBy("date").agg(
         F.sum(F.col("is_active").cast("bigint")).alias("active_users"),

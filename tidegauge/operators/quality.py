@@ -206,25 +206,18 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def distribution(df: DataFrame, value: Column | str, percentages: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row: count, mean, std, min, exact percentiles p25.. and max.
 
-    Equal values are counted first, so the percentiles see each distinct value once.
+    The exact percentile keeps one counter per distinct value, so it is meant for whole seconds or
+    daily values, not for a continuous measure of the raw events.
     """
     column = F.col(value) if isinstance(value, str) else value
-    sizes = (
-        df.select(column.cast("double").alias("v")).filter(F.col("v").isNotNull())
-        .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    points = [F.expr(f"percentile(v, {p}D, n)").alias(f"p{round(p * 100)}") for p in percentages]
-    total = F.sum("n")
-    mean = F.sum(F.col("v") * F.col("n")) / total
-    squares = F.sum(F.col("v") * F.col("v") * F.col("n"))
-    variance = F.try_divide(squares - total * mean * mean, total - 1)
-    return sizes.agg(
-        F.coalesce(total, F.lit(0)).alias("count"),
-        mean.alias("mean"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"),
-        F.min("v").alias("min"),
-        *points,
-        F.max("v").alias("max"),
+    v = F.col("v")
+    return df.select(column.cast("double").alias("v")).agg(
+        F.count(v).alias("count"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"),
+        *[F.percentile(v, p).alias(f"p{round(p * 100)}") for p in percentages],
+        F.max(v).alias("max"),
     )
 
 
@@ -234,19 +227,19 @@ def duration_differences(sessions: DataFrame) -> DataFrame:
 
 def event_counts_by_day(events: DataFrame, names: Sequence[str] = tuple(FUNNEL_STEPS[1:])) -> DataFrame:
     """Rows per date and event, events as columns, missing 0."""
-    return _daily_pivot(events, names, F.count_if, per_user=False)
+    return _daily_pivot(events, names, per_user=False)
 
 
 def event_users_by_day(events: DataFrame, names: Sequence[str] = tuple(FUNNEL_STEPS[1:])) -> DataFrame:
     """Distinct users per date and event, events as columns, missing 0."""
-    return _daily_pivot(events, names, F.count_if, per_user=True)
+    return _daily_pivot(events, names, per_user=True)
 
 
-def _daily_pivot(events, names, count, *, per_user):
+def _daily_pivot(events: DataFrame, names: Sequence[str], *, per_user: bool) -> DataFrame:
     picked = events.filter(F.col("event_name").isin(list(names))).select("event_date", "event_name", "user_id")
     if per_user:
         picked = picked.distinct()
-    return picked.groupBy("event_date").agg(*[count(F.col("event_name") == n).alias(n) for n in names])
+    return picked.groupBy("event_date").agg(*[F.count_if(F.col("event_name") == n).alias(n) for n in names])
 
 
 def check_funnel_order(events: DataFrame) -> DataFrame:

@@ -4,48 +4,65 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_KINDS = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def _layout(columns: str) -> T.StructType:
+    """A struct from `name TYPE, ...`, without the session that Spark's own parser needs."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
+
+
 # The table layouts of the data model.
-USERS = T.StructType.fromDDL(
+USERS = _layout(
     "user_id BIGINT, signup_date DATE, signup_time TIMESTAMP_NTZ, signup_channel STRING, "
     "campaign_id STRING, country STRING, language_target STRING, device_os STRING, "
     "app_version STRING, timezone STRING, signup_platform STRING, is_premium_at_signup BOOLEAN, "
     "variant STRING"
 )
-SESSIONS = T.StructType.fromDDL(
+SESSIONS = _layout(
     "session_id STRING, user_id BIGINT, session_start TIMESTAMP_NTZ, session_end TIMESTAMP_NTZ, "
     "session_duration_sec INT, device_os STRING, app_version STRING"
 )
-EVENTS = T.StructType.fromDDL(
+EVENTS = _layout(
     "event_id STRING, user_id BIGINT, session_id STRING, event_time TIMESTAMP_NTZ, event_date DATE, "
     "event_name STRING, screen STRING, language_target STRING, lesson_id STRING, xp_delta INT, "
     "hearts_delta INT, streak_length INT, is_premium BOOLEAN, experiment_id STRING, variant STRING"
 )
-LESSONS = T.StructType.fromDDL(
+LESSONS = _layout(
     "lesson_id STRING, unit_id STRING, skill STRING, difficulty INT, topic STRING, "
     "expected_duration_sec INT, expected_xp INT"
 )
-FACT_USER_DAILY = T.StructType.fromDDL(
+FACT_USER_DAILY = _layout(
     "date DATE, user_id BIGINT, variant STRING, signup_date DATE, days_since_signup INT, "
     "is_active INT, had_app_open INT, had_lesson_started INT, had_lesson_completed INT, "
     "sessions_count BIGINT, session_duration_sec BIGINT, lessons_completed BIGINT, xp_earned BIGINT, "
     "hearts_lost BIGINT, streak_length_end_of_day INT, is_premium BOOLEAN, lifecycle_state STRING"
 )
-AGG_DAILY_KPIS = T.StructType.fromDDL(
+AGG_DAILY_KPIS = _layout(
     "date DATE, variant STRING, signups BIGINT, dau BIGINT, wau BIGINT, mau BIGINT, "
     "dau_mau_ratio DOUBLE, sessions BIGINT, avg_session_duration_sec DOUBLE, "
     "sessions_per_active_user DOUBLE, lessons_completed BIGINT, lessons_per_active_user DOUBLE, "
     "xp_earned BIGINT, xp_per_active_user DOUBLE, premium_users BIGINT, premium_share DOUBLE"
 )
-AGG_RETENTION_COHORT = T.StructType.fromDDL(
+AGG_RETENTION_COHORT = _layout(
     "cohort_date DATE, variant STRING, retained_users BIGINT, day_n INT, cohort_size BIGINT, "
     "retention_rate DOUBLE"
 )
-AGG_FUNNEL_DAILY = T.StructType.fromDDL(
+AGG_FUNNEL_DAILY = _layout(
     "date DATE, variant STRING, n_signup BIGINT, n_app_open BIGINT, n_lesson_started BIGINT, "
     "n_lesson_completed BIGINT, cr_app_open_given_signup DOUBLE, "
     "cr_lesson_started_given_app_open DOUBLE, cr_lesson_completed_given_lesson_started DOUBLE"
 )
-AGG_LIFECYCLE_DAILY = T.StructType.fromDDL("date DATE, state STRING, variant STRING, users BIGINT")
+AGG_LIFECYCLE_DAILY = _layout("date DATE, state STRING, variant STRING, users BIGINT")
 
 RAW_TABLES = {"users": USERS, "sessions": SESSIONS, "events": EVENTS, "lessons": LESSONS}
 DERIVED_TABLES = {
@@ -92,3 +109,5 @@ LIFECYCLE_STATES = {
 }
 ACTIVE_STATES = ["New", "Current", "Reactivated", "Resurrected"]
 HEALTH_STATES = ["Current", "AtRiskWAU", "AtRiskMAU", "Dormant"]
+
+LAYOUTS_BY_GROUP = {"raw": RAW_TABLES, "derived": DERIVED_TABLES}
