@@ -17,7 +17,7 @@ EVENT_NAMES = {
 SESSION_GAP = "4 hours"
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -26,7 +26,7 @@ def _variant(user_id):
 
 
 def product_events(spark: SparkSession, folder: str) -> DataFrame:
-    raw = _table(spark, folder, "events")
+    raw = table(spark, folder, "events")
     name = F.create_map(*[F.lit(t) for pair in EVENT_NAMES.items() for t in pair])[F.col("event_type")]
     k = F.get_json_object("props", "$.k").cast("int")
     return raw.select(
@@ -46,14 +46,14 @@ def product_events(spark: SparkSession, folder: str) -> DataFrame:
 def product_users(spark: SparkSession, folder: str) -> DataFrame:
     """Users are the customers with a `signup` event; the first one is their signup."""
     first = (
-        _table(spark, folder, "events")
+        table(spark, folder, "events")
         .filter(F.col("event_type") == "signup")
         .groupBy("user_id")
         .agg(F.min("ts").alias("signup_time"))
     )
-    nation = _table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     people = (
-        _table(spark, folder, "customer")
+        table(spark, folder, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("signup_channel"), "country")
     )
@@ -78,7 +78,7 @@ def product_events_in_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_events(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as events: every order status counts as activity."""
-    return _table(spark, folder, "orders").select(
+    return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("event_time"),
@@ -89,11 +89,11 @@ def order_events(spark: SparkSession, folder: str) -> DataFrame:
 def order_users(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with an order; the day of the first one is their signup."""
     first = (
-        _table(spark, folder, "orders")
+        table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("user_id"))
         .agg(F.to_date(F.min("o_orderdate")).alias("signup_date"))
     )
-    people = _table(spark, folder, "customer").select(
+    people = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment")
     )
     return first.join(people, "user_id", "left")
