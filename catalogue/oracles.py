@@ -389,10 +389,11 @@ def report() -> str:
         check("completed_after_started", "events", bad("lo", "t_completed < t_started")),
         check("not_before_signup", "sessions", bad(signup.format(t="s"), "session_start < signup_time")),
         check("not_before_signup", "events", bad(signup.format(t="e"), "event_time < signup_time")),
-        check("active_rows_have_variant", "events", bad("ud", "user_id NOT IN (SELECT user_id FROM u)")),
+        check("active_rows_have_variant", "events", bad(
+            "e", f"event_name IN {ACTIVE} AND user_id NOT IN (SELECT user_id FROM u)")),
     ]
     pivots = [f"pe AS ({event_pivot('count(*)')})", f"pu AS ({event_pivot('count(DISTINCT user_id)')})"]
-    return query(E, U, S, UD, *pivots, LESSON_ORDER, select="\nUNION ALL\n".join(parts))
+    return query(E, U, S, *pivots, LESSON_ORDER, select="\nUNION ALL\n".join(parts))
 
 
 def mix(states: str, key: str = "") -> str:

@@ -111,9 +111,31 @@ def duration_difference() -> Column:
     return F.abs(recomputed - F.col("session_duration_sec"))
 
 
-def check_session_rows(sessions: DataFrame) -> DataFrame:
+def with_user_lookup(facts: DataFrame, users: DataFrame) -> DataFrame:
+    """Facts with u_known, u_signup_time and u_variant of their user (null where there is none).
+
+    One left join serves all checks against users; adaptive execution broadcasts a small user table
+    and splits the partition of a hot or missing user otherwise.
+    """
+    wanted = {"signup_time": "u_signup_time", "variant": "u_variant"}
+    found = {c: name for c, name in wanted.items() if c in users.columns}
+    lookup = users.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        F.lit(True).alias("u_known"), *[F.min(c).alias(name) for c, name in found.items()]
+    )
+    return facts.join(lookup, "user_id", "left")
+
+
+def _user_checks(time_col: str) -> dict[str, tuple[Sequence[str], Column]]:
+    return {
+        "user_exists": (["u_known"], flag(F.col("u_known").isNull())),
+        "not_before_signup": (["u_signup_time", time_col], flag(F.col(time_col) < F.col("u_signup_time"))),
+    }
+
+
+def check_session_rows(sessions: DataFrame, users: DataFrame) -> DataFrame:
     window = ["session_start", "session_end"]
-    return row_checks(sessions, "sessions", {
+    return row_checks(with_user_lookup(sessions, users), "sessions", {
+        **_user_checks("session_start"),
         "session_start_known": (["session_start"], flag(F.col("session_start").isNull())),
         "session_end_known": (["session_end"], flag(F.col("session_end").isNull())),
         "end_not_before_start": (window, _not(F.col("session_end") >= F.col("session_start"))),
@@ -126,14 +148,21 @@ def check_session_rows(sessions: DataFrame) -> DataFrame:
 
 def check_event_rows(
     events: DataFrame,
+    users: DataFrame,
     *,
+    active_event_names: Sequence[str] | None = None,
     taxonomy: Sequence[str] = tuple(EVENT_TAXONOMY),
     lesson_flow: Sequence[str] = tuple(LESSON_FLOW_EVENTS),
 ) -> DataFrame:
     name = F.col("event_name")
     in_flow = is_one_of(name, lesson_flow)
     completed = F.coalesce(name == "lesson_completed", F.lit(False))
-    return row_checks(events, "events", {
+    active = is_one_of(name, active_names(active_event_names))
+    return row_checks(with_user_lookup(events, users), "events", {
+        **_user_checks("event_time"),
+        "active_rows_have_variant": (
+            ["event_name", "u_variant"], flag(active & F.col("u_variant").isNull())
+        ),
         "event_time_known": (["event_time"], flag(F.col("event_time").isNull())),
         "event_date_known": (["event_date"], flag(F.col("event_date").isNull())),
         "date_matches_time": (
@@ -225,32 +254,44 @@ def duration_differences(sessions: DataFrame) -> DataFrame:
     return distribution(sessions, duration_difference())
 
 
+def _counts_by_user(events: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows per date, event and user: everything the daily pivots need, at one row per user."""
+    return (
+        events.filter(F.col("event_name").isin(list(names)))
+        .groupBy("event_date", "event_name", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _cells(names: Sequence[str], measure: Column, suffix: str = "") -> list[Column]:
+    return [
+        F.sum(F.when(F.col("event_name") == n, measure).otherwise(0)).alias(n + suffix) for n in names
+    ]
+
+
 def event_counts_by_day(events: DataFrame, names: Sequence[str] = tuple(FUNNEL_STEPS[1:])) -> DataFrame:
     """Rows per date and event, events as columns, missing 0."""
-    return _daily_pivot(events, names, per_user=False)
+    picked = events.filter(F.col("event_name").isin(list(names)))
+    return picked.groupBy("event_date").agg(*_cells(names, F.lit(1)))
 
 
 def event_users_by_day(events: DataFrame, names: Sequence[str] = tuple(FUNNEL_STEPS[1:])) -> DataFrame:
     """Distinct users per date and event, events as columns, missing 0."""
-    return _daily_pivot(events, names, per_user=True)
-
-
-def _daily_pivot(events: DataFrame, names: Sequence[str], *, per_user: bool) -> DataFrame:
-    picked = events.filter(F.col("event_name").isin(list(names))).select("event_date", "event_name", "user_id")
-    if per_user:
-        picked = picked.distinct()
-    return picked.groupBy("event_date").agg(*[F.count_if(F.col("event_name") == n).alias(n) for n in names])
+    known = flag(F.col("user_id").isNotNull())
+    return _counts_by_user(events, names).groupBy("event_date").agg(*_cells(names, known))
 
 
 def check_funnel_order(events: DataFrame) -> DataFrame:
     """Days on which a later step outnumbers the one before, by events and by users."""
     steps = FUNNEL_STEPS[1:]
-    parts = []
-    for unit, daily in (("events", event_counts_by_day(events)), ("users", event_users_by_day(events))):
-        checks = {f"{b}_within_{a}_{unit}": flag(F.col(b) > F.col(a)) for a, b in zip(steps, steps[1:])}
-        counts = daily.agg(*[F.sum(c).alias(n) for n, c in checks.items()])
-        parts.append(_report(counts, "events", list(checks)))
-    return _union(parts)
+    daily = _counts_by_user(events, steps).groupBy("event_date").agg(
+        *_cells(steps, F.col("n"), "_events"), *_cells(steps, flag(F.col("user_id").isNotNull()), "_users")
+    )
+    checks = {
+        f"{b}_within_{a}_{unit}": flag(F.col(f"{b}_{unit}") > F.col(f"{a}_{unit}"))
+        for unit in ("events", "users") for a, b in zip(steps, steps[1:])
+    }
+    counts = daily.agg(*[F.sum(c).alias(n) for n, c in checks.items()])
+    return _report(counts, "events", list(checks))
 
 
 def lesson_order_violations(events: DataFrame) -> DataFrame:
@@ -271,17 +312,6 @@ def lesson_order_violations(events: DataFrame) -> DataFrame:
     return firsts.filter(F.col("t_completed") < F.col("t_started"))
 
 
-def check_active_variant(
-    events: DataFrame, users: DataFrame, *, active_event_names: Sequence[str] | None = None
-) -> DataFrame:
-    """Active user-days whose user has no variant."""
-    days = events.filter(F.col("event_name").isin(active_names(active_event_names)))
-    days = days.select("user_id", "event_date").distinct()
-    assigned = users.select("user_id", F.col("variant").alias("assigned"))
-    without = days.join(assigned, "user_id", "left").filter(F.col("assigned").isNull())
-    return _count(without, "events", "active_rows_have_variant")
-
-
 def quality_report(
     users: DataFrame,
     sessions: DataFrame,
@@ -301,11 +331,11 @@ def quality_report(
     if full_layout:
         parts += [check_columns(df, name) for name, df in tables.items()]
     parts += [
-        check_reference(sessions, "sessions", "user_id", users, "user_id", "user_exists"),
-        check_reference(events, "events", "user_id", users, "user_id", "user_exists"),
         check_users(users),
-        check_session_rows(sessions),
-        check_event_rows(events, taxonomy=taxonomy),
+        check_session_rows(sessions, users),
+        check_event_rows(
+            events, users, active_event_names=active_event_names, taxonomy=taxonomy
+        ),
         check_funnel_order(events),
     ]
     if "session_id" in events.columns:
@@ -318,13 +348,6 @@ def quality_report(
             F.col("event_name").isin(LESSON_FLOW_EVENTS) & blank_to_null(F.col("lesson_id")).isNotNull()
         )
         parts.append(check_reference(in_flow, "events", "lesson_id", lessons, "lesson_id", "lesson_exists"))
-    if "signup_time" in users.columns:
-        parts += [
-            _count(before_signup(sessions, users, "session_start"), "sessions", "not_before_signup"),
-            _count(before_signup(events, users, "event_time"), "events", "not_before_signup"),
-        ]
-    if "variant" in users.columns:
-        parts.append(check_active_variant(events, users, active_event_names=active_event_names))
     return _union(parts)
 
 
