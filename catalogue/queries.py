@@ -37,23 +37,23 @@ class Product:
     """The event data as product telemetry."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.raw = {n: adapters.table(spark, folder, n) for n in ("events", "customer", "nation")}
 
     @cached_property
     def users(self):
-        return adapters.product_users(self.spark, self.folder)
+        return adapters.product_users(**self.raw)
 
     @cached_property
     def events(self):
-        return adapters.product_events(self.spark, self.folder)
+        return adapters.product_events(self.raw["events"])
 
     @cached_property
     def sessions(self):
-        return adapters.product_sessions(self.spark, self.folder)
+        return adapters.product_sessions(self.events)
 
     @cached_property
     def events_in_sessions(self):
-        return adapters.product_events_in_sessions(self.spark, self.folder)
+        return adapters.events_in_sessions(self.events)
 
     def fact(self, **options):
         return fact.build_fact_user_daily(self.users, self.events, self.sessions, **options)
@@ -79,8 +79,9 @@ class Orders:
     """The orders as telemetry: sparse activity over several years."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.users = adapters.order_users(spark, folder)
-        self.events = adapters.order_events(spark, folder)
+        orders, customer = (adapters.table(spark, folder, n) for n in ("orders", "customer"))
+        self.users = adapters.order_users(orders, customer)
+        self.events = adapters.order_events(orders)
         self.names = adapters.ORDER_EVENTS
 
     def sessions(self):

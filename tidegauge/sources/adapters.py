@@ -25,37 +25,36 @@ def _variant(user_id):
     return F.when(user_id % 2 == 0, "control").otherwise("treatment")
 
 
-def product_events(spark: SparkSession, folder: str) -> DataFrame:
-    raw = table(spark, folder, "events")
-    name = F.create_map(*[F.lit(t) for pair in EVENT_NAMES.items() for t in pair])[F.col("event_type")]
+def product_events(events: DataFrame) -> DataFrame:
+    kind = F.col("event_type")
+    name = F.lit(None).cast("string")
+    for event_type, event_name in EVENT_NAMES.items():
+        name = F.when(kind == event_type, event_name).otherwise(name)
     k = F.get_json_object("props", "$.k").cast("int")
-    return raw.select(
+    return events.select(
         "event_id",
         "user_id",
         F.col("ts").alias("event_time"),
         F.to_date("ts").alias("event_date"),
         name.alias("event_name"),
-        F.when(F.col("event_type") == "purchase", F.floor("value")).otherwise(0).cast("int").alias("xp_delta"),
-        F.when(F.col("event_type") == "error", -1).otherwise(0).alias("hearts_delta"),
+        F.when(kind == "purchase", F.floor("value")).otherwise(0).cast("int").alias("xp_delta"),
+        F.when(kind == "error", -1).otherwise(0).alias("hearts_delta"),
         k.alias("streak_length"),
         (k >= 90).alias("is_premium"),
         _variant(F.col("user_id")).alias("variant"),
     )
 
 
-def product_users(spark: SparkSession, folder: str) -> DataFrame:
+def product_users(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Users are the customers with a `signup` event; the first one is their signup."""
     first = (
-        table(spark, folder, "events")
-        .filter(F.col("event_type") == "signup")
+        events.filter(F.col("event_type") == "signup")
         .groupBy("user_id")
         .agg(F.min("ts").alias("signup_time"))
     )
-    nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    people = (
-        table(spark, folder, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("signup_channel"), "country")
+    names = nation.select("n_nationkey", F.col("n_name").alias("country"))
+    people = customer.join(names, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("signup_channel"), "country"
     )
     return first.join(people, "user_id", "left").select(
         "user_id",
@@ -68,17 +67,17 @@ def product_users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def product_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions_from_events(product_events(spark, folder), gap=SESSION_GAP).drop("events")
+def product_sessions(product_events: DataFrame) -> DataFrame:
+    return sessions_from_events(product_events, gap=SESSION_GAP).drop("events")
 
 
-def product_events_in_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    return assign_sessions(product_events(spark, folder), gap=SESSION_GAP)
+def events_in_sessions(product_events: DataFrame) -> DataFrame:
+    return assign_sessions(product_events, gap=SESSION_GAP)
 
 
-def order_events(spark: SparkSession, folder: str) -> DataFrame:
+def order_events(orders: DataFrame) -> DataFrame:
     """Orders as events: every order status counts as activity."""
-    return table(spark, folder, "orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("event_time"),
@@ -86,16 +85,12 @@ def order_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_users(spark: SparkSession, folder: str) -> DataFrame:
+def order_users(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Customers with an order; the day of the first one is their signup."""
-    first = (
-        table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").alias("user_id"))
-        .agg(F.to_date(F.min("o_orderdate")).alias("signup_date"))
-    )
-    people = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment")
+    first = orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.to_date(F.min("o_orderdate")).alias("signup_date")
     )
+    people = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
     return first.join(people, "user_id", "left")
 
 
