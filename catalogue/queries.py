@@ -37,15 +37,20 @@ class Product:
     """The event data as product telemetry."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.raw = {n: adapters.table(spark, folder, n) for n in ("events", "customer", "nation")}
+        self.spark, self.folder = spark, folder
+
+    @cached_property
+    def raw_events(self):
+        return adapters.table(self.spark, self.folder, "events")
 
     @cached_property
     def users(self):
-        return adapters.product_users(**self.raw)
+        customer, nation = (adapters.table(self.spark, self.folder, n) for n in ("customer", "nation"))
+        return adapters.product_users(self.raw_events, customer, nation)
 
     @cached_property
     def events(self):
-        return adapters.product_events(self.raw["events"])
+        return adapters.product_events(self.raw_events)
 
     @cached_property
     def sessions(self):
