@@ -445,6 +445,8 @@ FROM ud WHERE country IS NOT NULL GROUP BY 1, 2""")
         E, UD, "d AS (SELECT date, count(DISTINCT user_id) AS dau FROM ud GROUP BY 1)",
         select="""SELECT date, dau, round(avg(dau) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6)
   AS dau_7d_avg FROM d""")
+    o["dau_range"] = query(E, UD, "d AS (SELECT date, count(DISTINCT user_id) AS dau FROM ud GROUP BY 1)",
+        select="SELECT min(dau) AS min_dau, max(dau) AS max_dau, count(*) AS days FROM d")
     o["dau_segment"] = query(E, U, UD, select="""SELECT date, count(DISTINCT user_id) AS dau FROM ud
 WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND variant = 'treatment'
   AND user_id IN (SELECT user_id FROM u WHERE signup_channel IN ('BUILDING', 'MACHINERY')) GROUP BY 1""")
@@ -489,6 +491,8 @@ SELECT *, {div0('sessions', 'active_users')} AS sessions_per_user FROM (
         OE, OU, OUD,
         state_counts("ou", "segment", "(SELECT min(date) FROM oe)", "(SELECT max(date) FROM oe)"),
         select="SELECT * FROM lc")
+    o["lifecycle_recent_orders"] = query(
+        OE, OU, OUD, state_counts("ou", None, "DATE '2001-07-01'", "DATE '2001-07-31'"), select="SELECT * FROM lc")
     o["lifecycle_wide"] = query(E, U, UD, LC, select="SELECT date, " + ", ".join(
         f"CAST(coalesce(sum(users) FILTER (state = '{s}'), 0) AS DOUBLE) AS {s}" for s in STATE_NAMES
     ) + " FROM lc WHERE variant = 'control' GROUP BY date")
@@ -605,6 +609,8 @@ FROM (SELECT user_id, count(*) AS opens FROM e WHERE event_name = 'app_open' GRO
 GROUP BY 1""")
     measures = ["dau", "wau", "mau", "sessions_per_active_user", "lessons_per_active_user"]
     since = "DATE '2024-01-05'"
+    o["assigned_arms"] = query(OU, select="""SELECT signup_date, CAST(count(*) // 2 AS BIGINT) AS control,
+  CAST(count(*) - count(*) // 2 AS BIGINT) AS treatment FROM ou GROUP BY 1""")
     o["kpi_lift"] = query(*KPI, RET, select="\nUNION ALL\n".join([
         *[lift(m, m, f"kpi WHERE date >= {since}") for m in measures],
         *[lift(f"d{n}_retention", "retention_rate", f"ret WHERE cohort_date >= {since} AND day_n = {n} HAVING count(*) > 0")
@@ -629,6 +635,7 @@ GROUP BY 1""")
 SELECT event_id, event_name, es.user_id, session_id, event_time, session_start + INTERVAL 10 MINUTE AS session_start,
   session_end, CAST(date_diff('microsecond', session_start + INTERVAL 10 MINUTE, event_time) AS DOUBLE) / 1e6 AS gap_sec
 FROM es JOIN s USING (session_id) WHERE event_time < session_start + INTERVAL 10 MINUTE""")
+    o["unknown_names"] = query(E, select=f"SELECT DISTINCT event_name FROM e WHERE event_name NOT IN {ACTIVE}")
     o["events_before_signup"] = query(E, U, select="""SELECT event_id, user_id, event_time, signup_time
 FROM e JOIN u USING (user_id) WHERE event_time < signup_time""")
     o["lesson_order_violations"] = query(E, S, LESSON_ORDER, select="SELECT * FROM lo WHERE t_completed < t_started")

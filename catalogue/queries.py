@@ -155,6 +155,10 @@ def dau_rolling7(p):
     return rounded(activity.rolling_mean(dau_all(p), "dau"), "dau_7d_avg")
 
 
+def dau_range(p):
+    return activity.daily_range(dau_all(p))
+
+
 def dau_segment(p):
     days = prepare.active_user_days(p.events)
     picked = prepare.filter_segment(
@@ -248,6 +252,14 @@ def lifecycle_counts_orders(o):
     )
 
 
+def lifecycle_recent_orders(o):
+    """The last month of the calendar: only its events and the 31 days before are read."""
+    return lifecycle.compute_lifecycle_counts(
+        o.events, o.users, active_event_names=o.names, group_cols=None,
+        date_min="2001-07-01", date_max="2001-07-31",
+    )
+
+
 def lifecycle_wide(p):
     return lifecycle.lifecycle_wide(lifecycle_counts(p), variant="control")
 
@@ -452,6 +464,14 @@ def assign_variant(p):
     return experiment.assign_variant(p.users.drop("variant"))
 
 
+def assigned_arms(o):
+    """Size of the arms per signup date; which user falls in which arm depends on the hash."""
+    arms = experiment.assign_variant(o.users).groupBy("signup_date")
+    return arms.agg(*[
+        F.count_if(F.col("variant") == arm).alias(arm) for arm in experiment.ARMS
+    ])
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 def event_counts_pivot(p):
@@ -476,6 +496,11 @@ def session_gaps(p):
     return quality.session_gaps(p.events_in_sessions, p.sessions.withColumn("session_start", later))
 
 
+def unknown_names(p):
+    """Names outside a taxonomy that knows only the active events."""
+    return quality.unknown_names(p.events, ["app_open", "lesson_started", "lesson_completed"])
+
+
 def events_before_signup(p):
     early = quality.before_signup(p.events, p.users, "event_time")
     return early.select("event_id", "user_id", "event_time", "signup_time")
@@ -521,7 +546,7 @@ def table_rows(spark, folder):
 
 _PRODUCT = [
     dau, wau, mau, dau_all, wau_all, mau_all, dau_country, wau_country, active_users, dau_rolling7,
-    dau_segment, retention_variant, retention_all, retention_incomplete, retention_curve,
+    dau_range, dau_segment, retention_variant, retention_all, retention_incomplete, retention_curve,
     retention_trend, sessionize, session_of_event, sessions_per_user,
     sessions_per_user_from_sessions, funnel_daily, funnel_cohort, funnel_cohort_country,
     agg_funnel_daily, lifecycle_counts, lifecycle_counts_all, lifecycle_wide, lifecycle_by_arm,
@@ -534,11 +559,11 @@ _PRODUCT = [
     activity_rate_correlation, sessions_per_active, sessions_per_active_variant, avg_streak,
     avg_streak_variant, pre_post_summary, opens_per_user_variant, kpi_lift, guardrails,
     guardrail_test, assign_variant, event_counts_pivot, event_users_pivot, event_value_counts,
-    quality_report, session_gaps, events_before_signup, lesson_order_violations, session_lengths,
+    quality_report, session_gaps, unknown_names, events_before_signup, lesson_order_violations, session_lengths,
 ]
 _ORDERS = [
     mau_orders, retention_orders, lifecycle_counts_orders, agg_lifecycle_orders,
-    lifecycle_transitions_orders,
+    lifecycle_transitions_orders, lifecycle_recent_orders, assigned_arms,
 ]
 _TABLES = [lineitem_keys, orders_reference, shipped_before_ordered, table_rows]
 

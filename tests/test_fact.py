@@ -157,3 +157,26 @@ def test_streaks(frames, built):
     assert (day("2025-01-01"), 1, 1) in table(streaks.streak_by_day(built))
     assert (day("2025-01-02"), 1, 0) in table(streaks.streak_by_day(built))
     assert dt.date(2025, 1, 4) in {r.date for r in streaks.streak_by_day(built).filter("streak_length = 1").collect()}
+
+
+def test_a_build_of_a_few_days_reads_only_their_partitions(spark, frames, tmp_path):
+    path = str(tmp_path / "events")
+    frames.full_events(*EVENTS).write.partitionBy("event_date").parquet(path)
+    events = spark.read.parquet(path)
+    users, sessions = frames.users(*USERS), frames.sessions()
+    window = dict(date_min="2025-01-02", date_max="2025-01-05")
+    built = fact.build_fact_user_daily(users, events, sessions, **window)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(event_date" in plan and "2025-01-02" in plan
+    whole = fact.build_fact_user_daily(users, frames.full_events(*EVENTS), sessions, **window)
+    assert table(built) == table(whole)
+
+
+def test_filters_and_columns_reach_the_scan(spark, frames, tmp_path):
+    from tidegauge.operators import activity
+
+    path = str(tmp_path / "events")
+    frames.full_events(*EVENTS).write.parquet(path)
+    plan = activity.compute_dau(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "In(event_name, [app_open,lesson_completed,lesson_started])" in plan
+    assert "ReadSchema: struct<user_id:bigint,event_date:date,event_name:string,variant:string>" in plan

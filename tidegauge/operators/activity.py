@@ -151,3 +151,11 @@ def rolling_mean(daily: DataFrame, column: str, *, rows: int = 7, full_only: boo
         return out
     counted = out.withColumn("rows_seen", F.count(column).over(frame))
     return counted.filter(F.col("rows_seen") == rows).drop("rows_seen")
+
+
+def daily_range(daily: DataFrame, column: str = "dau") -> DataFrame:
+    """Lowest and highest daily value and the number of days."""
+    return daily.agg(
+        F.min(column).alias(f"min_{column}"), F.max(column).alias(f"max_{column}"),
+        F.count(column).alias("days"),
+    )

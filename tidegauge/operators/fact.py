@@ -15,6 +15,7 @@ from tidegauge.operators.prepare import (
     checked_last_day,
     first_users,
     known_users_only,
+    only_days,
     pick_columns,
     prep_events,
     prep_sessions,
@@ -172,6 +173,9 @@ def build_fact_user_daily(
     reported = members.withColumns({"start": start, "last": last}).filter(
         F.col("start") <= F.col("last")
     )
+    # Only reported days matter, so a build of a few days reads only their partitions.
+    events = only_days(events, date_min, date_max, day="event_date", moment="event_time")
+    sessions = only_days(sessions, date_min, date_max, day="session_date", moment="session_start")
     features = daily_event_features(events, active_event_names=active_event_names).join(
         daily_session_features(sessions), ["user_id", "date"], "full"
     ).withColumnsRenamed({"user_id": "f_user", "date": "f_date"})

@@ -16,6 +16,7 @@ from tidegauge.operators.prepare import (
     check_order,
     checked_last_day,
     group_keys,
+    only_days,
     unique_users,
 )
 from tidegauge.schemas import ACTIVE_STATES, LIFECYCLE_STATES
@@ -82,9 +83,12 @@ def compute_lifecycle_counts(
     check_order(date_min, date_max)
     members = unique_users(users, keys)
     own = [k for k in keys if k in events.columns]
-    active = active_user_days(events, active_event_names=active_event_names, group_cols=own)
-
-    first_day, last_day = _bounds(members, active, date_min, date_max)
+    options = dict(active_event_names=active_event_names, group_cols=own)
+    first_day, last_day = _bounds(members, active_user_days(events, **options), date_min, date_max)
+    # No state looks back further than 30 days: with older activity, or none, it is the same.
+    history = None if date_min is None else F.date_sub(as_date(date_min), 31)
+    recent = only_days(events, history, date_max, day="event_date", moment="event_time")
+    active = active_user_days(recent, **options)
 
     # A user whose key is null keeps its place in the counts but matches no activity.
     other = active.select(

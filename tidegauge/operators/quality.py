@@ -181,7 +181,7 @@ def check_event_rows(
 
 def before_signup(facts: DataFrame, users: DataFrame, time_col: str) -> DataFrame:
     """Rows of `facts` earlier than the signup time of their user."""
-    signup = users.select("user_id", "signup_time")
+    signup = users.groupBy("user_id").agg(F.min("signup_time").alias("signup_time"))
     return facts.join(signup, "user_id").filter(F.col(time_col) < F.col("signup_time"))
 
 
@@ -250,6 +250,11 @@ def distribution(df: DataFrame, value: Column | str, percentages: Sequence[float
     )
 
 
+def unknown_names(events: DataFrame, taxonomy: Sequence[str] = tuple(EVENT_TAXONOMY)) -> DataFrame:
+    """Event names outside the taxonomy."""
+    return events.select("event_name").distinct().filter(~is_one_of(F.col("event_name"), taxonomy))
+
+
 def duration_differences(sessions: DataFrame) -> DataFrame:
     return distribution(sessions, duration_difference())
 
