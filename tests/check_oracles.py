@@ -1,4 +1,7 @@
-"""Run every registered query against its SQL: python tests/check_oracles.py [folder] [names...]"""
+"""Run every registered query against its SQL: python tests/check_oracles.py [folder] [names...]
+
+Arguments with "=" are Spark settings, to check other physical plans or time zones.
+"""
 
 import os
 import sys
@@ -10,13 +13,17 @@ import __spark_entry__ as entry  # noqa: E402
 from tests.oracle import connect, difference  # noqa: E402
 from tidegauge.session import spark_session  # noqa: E402
 
-folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-chosen = sys.argv[2:]
+plain = [a for a in sys.argv[1:] if "=" not in a]
+settings = dict(a.split("=", 1) for a in sys.argv[1:] if "=" in a)
+folder = plain[0] if plain else "/root/testdata/sf0.01"
+chosen = plain[1:]
 spark = spark_session(
     master="local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false",
     spark_driver_memory="12g", spark_ui_showConsoleProgress="false",
 )
 spark.sparkContext.setLogLevel("ERROR")
+for key, value in settings.items():
+    spark.conf.set(key, value)
 con = connect(folder)
 oracles = entry.oracle_sql()
 failed = []
