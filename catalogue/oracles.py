@@ -519,6 +519,8 @@ FROM (SELECT *, {days("greatest(signup_date, DATE '2024-01-03')", "DATE '2024-01
 SELECT date, lifecycle_state AS state, segment, count(DISTINCT user_id) AS users FROM fact GROUP BY 1, 2, 3""")
     o["lifecycle_transitions"] = query(*FACT, select=TRANSITIONS)
     o["lifecycle_transitions_orders"] = query(OE, OU, OUD, OFACT, select=TRANSITIONS)
+    o["transitions_from_spans"] = o["lifecycle_transitions"]
+    o["transitions_from_spans_orders"] = o["lifecycle_transitions_orders"]
     o["dau_decomposition"] = query(*FACT, select=f"""
 SELECT *, active_users = active_state_users AS holds FROM (
   SELECT date, CAST(sum(is_active) AS BIGINT) AS active_users,

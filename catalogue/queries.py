@@ -313,6 +313,18 @@ def lifecycle_transitions_orders(o):
     return lifecycle.lifecycle_transitions(o.fact())
 
 
+def transitions_from_spans(p):
+    """Up to the last day of the fact, which is the last day of any event."""
+    last_day = p.events.agg(F.max("event_date")).scalar()
+    return lifecycle.compute_lifecycle_transitions(p.events, p.users, date_max=last_day)
+
+
+def transitions_from_spans_orders(o):
+    return lifecycle.compute_lifecycle_transitions(
+        o.events, o.users, active_event_names=o.names
+    )
+
+
 def dau_decomposition(p):
     return lifecycle.decomposition_report(p.fact())
 
@@ -551,7 +563,7 @@ _PRODUCT = [
     sessions_per_user_from_sessions, funnel_daily, funnel_cohort, funnel_cohort_country,
     agg_funnel_daily, lifecycle_counts, lifecycle_counts_all, lifecycle_wide, lifecycle_by_arm,
     user_spine, fact_user_daily, fact_window, fact_first_users, lifecycle_from_fact, agg_daily_kpis,
-    agg_daily_kpis_country, agg_lifecycle_daily, lifecycle_transitions, dau_decomposition,
+    agg_daily_kpis_country, agg_lifecycle_daily, lifecycle_transitions, transitions_from_spans, dau_decomposition,
     streak_runs, streak_days, kpi_cards, active_user_trend, active_mix, health_mix,
     lessons_per_session, premium_share, paywall_rate, purchase_conversion, streak_by_variant,
     avg_session_duration, completion_rate, hearts_per_user, dau_by_variant_wide, aa_check,
@@ -563,7 +575,7 @@ _PRODUCT = [
 ]
 _ORDERS = [
     mau_orders, retention_orders, lifecycle_counts_orders, agg_lifecycle_orders,
-    lifecycle_transitions_orders, lifecycle_recent_orders, assigned_arms,
+    lifecycle_transitions_orders, transitions_from_spans_orders, lifecycle_recent_orders, assigned_arms,
 ]
 _TABLES = [lineitem_keys, orders_reference, shipped_before_ordered, table_rows]
 

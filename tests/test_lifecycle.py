@@ -140,3 +140,31 @@ def test_daily_aggregate_and_transitions(spark):
         ("New", "Current", 1, 0.5), ("New", "AtRiskWAU", 1, 0.5), ("Current", "AtRiskWAU", 1, 1.0),
         ("AtRiskWAU", "AtRiskWAU", 1, 1.0),
     }
+
+
+@pytest.mark.parametrize("seed,first", [(31, None), (32, "2025-02-10")])
+def test_transitions_from_spans_equal_those_of_the_fact(spark, seed, first):
+    people = random_days(seed)
+    users, events = _frames(spark, people)
+    got = lifecycle.compute_lifecycle_transitions(
+        events, users, group_cols=["variant"], date_min=first, date_max="2025-05-31"
+    )
+    lo, counts = day(first) if first else START, Counter()
+    for u, (s, days) in people.items():
+        start = max(s, lo)
+        seen = {d for d in days if d >= start}
+        states = [state(t, s, seen) for t in calendar(start, day("2025-05-31"))]
+        counts.update(("control" if u % 2 else "treatment", *pair) for pair in zip(states, states[1:]))
+    assert got.columns == ["variant", "state", "next_state", "transitions", "probability"]
+    assert table(got.drop("probability")) == {(*pair, n) for pair, n in counts.items()}
+    sums = got.groupBy("variant", "state").agg(F.round(F.sum("probability"), 9).alias("p"))
+    assert table(sums, "p") == {(1.0,)}
+
+
+def test_users_without_any_event(frames):
+    users = frames.users((1, "2025-01-01", "control"), (2, "2025-01-03", "control"))
+    got = lifecycle.compute_lifecycle_counts(frames.events(), users).filter("users > 0")
+    assert table(got, "date", "state", "users") == {
+        (day("2025-01-01"), "New", 1), (day("2025-01-02"), "Dormant", 1),
+        (day("2025-01-03"), "Dormant", 1), (day("2025-01-03"), "New", 1),
+    }

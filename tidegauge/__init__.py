@@ -19,6 +19,7 @@ from tidegauge.operators.lifecycle import (
     assign_lifecycle_state,
     build_agg_lifecycle_daily,
     compute_lifecycle_counts,
+    compute_lifecycle_transitions,
     lifecycle_transitions,
 )
 from tidegauge.operators.quality import quality_report
@@ -37,6 +38,7 @@ __all__ = [
     "build_agg_lifecycle_daily", "build_agg_retention_cohort", "build_all_derived_tables",
     "build_dashboard_tables", "build_fact_user_daily", "build_user_date_spine",
     "compute_active_users", "compute_dau", "compute_lesson_funnel", "compute_lifecycle_counts",
+    "compute_lifecycle_transitions",
     "compute_mau", "compute_retention", "compute_sessions_per_user", "compute_wau",
     "lifecycle_transitions", "load_tables", "quality_report", "rolling_mean", "run_build",
     "sessions_from_events", "spark_session", "streak_by_day", "streak_runs",

@@ -79,6 +79,58 @@ def compute_lifecycle_counts(
     or before `date_min` counts as history.
     """
     keys = group_keys(group_cols)
+    spans = _state_spans(events, users, keys, active_event_names, date_min, date_max)
+    ends = F.array(
+        F.struct(F.col("start").alias("day"), F.lit(1).alias("change")),
+        F.struct(F.col("stop").alias("day"), F.lit(-1).alias("change")),
+    )
+    changes = spans.select(*keys, "until", "label", F.explode(ends).alias("e"))
+    counts = running_totals(changes.select(*keys, "until", "label", "e.*"), STATES, keys)
+    return counts.unpivot(["date", *keys], STATES, "state", "users").select(
+        "date", "state", "users", *keys
+    )
+
+
+def compute_lifecycle_transitions(
+    events: DataFrame,
+    users: DataFrame,
+    *,
+    active_event_names: Sequence[str] | None = None,
+    group_cols: Sequence[str] | None = None,
+    date_min: str | None = None,
+    date_max: str | None = None,
+) -> DataFrame:
+    """keys, state, next_state, transitions, probability: moves from one day to the next.
+
+    The same matrix as `lifecycle_transitions` of the fact table (activity before a user's first
+    reported day is not seen), but from spans of days: a span of n days is n - 1 moves to itself and
+    one to the next span. The user-by-day table is neither built nor sorted.
+    """
+    keys = group_keys(group_cols)
+    spans = _state_spans(
+        events, users, keys, active_event_names, date_min, date_max, history=False
+    ).filter(F.col("label") != "")
+    per_user = W.partitionBy("user_id").orderBy("start")
+    moves = F.array(
+        F.struct(F.col("label").alias("next_state"), (F.datediff("stop", "start") - 1).alias("n")),
+        F.struct(F.lead("label").over(per_user).alias("next_state"), F.lit(1).alias("n")),
+    )
+    counts = (
+        spans.withColumn("moves", moves)
+        .select(*keys, F.col("label").alias("state"), F.explode("moves").alias("m"))
+        .select(*keys, "state", "m.*")
+        .filter(F.col("next_state").isNotNull() & (F.col("n") > 0))
+        .groupBy(*keys, "state", "next_state")
+        .agg(F.sum("n").alias("transitions"))
+    )
+    return _with_probability(counts, keys)
+
+
+def _state_spans(
+    events, users, keys, active_event_names, date_min, date_max, *, history: bool = True
+) -> DataFrame:
+    """user_id, keys, until, label, start, stop: the reported days of each user as spans of one state,
+    `stop` being the day after, and one empty span per user on the first reported day."""
     require_columns(users, ["user_id", "signup_date", *keys], "users")
     check_order(date_min, date_max)
     members = unique_users(users, keys)
@@ -86,26 +138,23 @@ def compute_lifecycle_counts(
     options = dict(active_event_names=active_event_names, group_cols=own)
     first_day, last_day = _bounds(members, active_user_days(events, **options), date_min, date_max)
     # No state looks back further than 30 days: with older activity, or none, it is the same.
-    history = None if date_min is None else F.date_sub(as_date(date_min), 31)
-    recent = only_days(events, history, date_max, day="event_date", moment="event_time")
-    active = active_user_days(recent, **options)
+    oldest = None if date_min is None else F.date_sub(as_date(date_min), 31)
+    recent = only_days(events, oldest, date_max, day="event_date", moment="event_time")
 
     # A user whose key is null keeps its place in the counts but matches no activity.
-    other = active.select(
+    other = active_user_days(recent, **options).select(
         F.col("user_id").alias("a_user"), "date", *[F.col(k).alias(f"a_{k}") for k in own]
     )
     same = F.col("user_id") == F.col("a_user")
     for k in keys:
         same = same & (F.col(k) == F.col(f"a_{k}") if k in own else F.col(k).isNotNull())
+    if not history:
+        same = same & (F.col("date") >= F.greatest("signup_date", first_day))
     rows = members.join(other, same, "left").select(
         "user_id", "signup_date", *keys, "date",
         first_day.alias("first_day"), last_day.alias("last_day"),
     )
-    changes = _state_changes(rows, keys)
-    counts = running_totals(changes, STATES, keys)
-    return counts.unpivot(["date", *keys], STATES, "state", "users").select(
-        "date", "state", "users", *keys
-    )
+    return _cut_spans(rows, keys)
 
 
 def _bounds(members: DataFrame, active: DataFrame, date_min, date_max) -> tuple[Column, Column]:
@@ -126,15 +175,15 @@ def _bounds(members: DataFrame, active: DataFrame, date_min, date_max) -> tuple[
     return first, checked_last_day(first, last)
 
 
-def _state_changes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Signed changes per state. `rows` has the active days of each user with signup_date, first_day
-    and last_day; a user without activity has one row with a null date."""
+def _cut_spans(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`rows` has the active days of each user with signup_date, first_day and last_day; a user without
+    activity has one row with a null date."""
     per_user = W.partitionBy("user_id").orderBy("date")
     previous, following = F.lag("date").over(per_user), F.lead("date").over(per_user)
     day, signup = F.col("date"), F.col("signup_date")
     after_signup = F.date_add(signup, 1)
     linked = rows.select(
-        *keys, "date", "signup_date", "first_day", "last_day",
+        "user_id", *keys, "date", "signup_date", "first_day", "last_day",
         previous.alias("previous"),
         (F.row_number().over(per_user) == 1).alias("is_first"),
         F.coalesce(F.date_sub(following, 1), F.col("last_day")).alias("day_before_next"),
@@ -172,15 +221,10 @@ def _state_changes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.lit("").alias("label"), F.col("first_day").alias("start"),
             F.col("first_day").alias("stop"))),
     )
-    cut = linked.select(*keys, F.col("last_day").alias("until"), F.explode(spans).alias("s"))
-    ends = F.array(
-        F.struct(F.col("s.start").alias("day"), F.lit(1).alias("change")),
-        F.struct(F.col("s.stop").alias("day"), F.lit(-1).alias("change")),
-    )
     return (
-        cut.filter(F.col("s").isNotNull())
-        .select(*keys, "until", F.col("s.label").alias("label"), F.explode(ends).alias("e"))
-        .select(*keys, "until", "label", "e.day", "e.change")
+        linked.select("user_id", *keys, F.col("last_day").alias("until"), F.explode(spans).alias("s"))
+        .filter(F.col("s").isNotNull())
+        .select("user_id", *keys, "until", "s.*")
     )
 
 
@@ -233,7 +277,11 @@ def lifecycle_transitions(fact_user_daily: DataFrame) -> DataFrame:
         .groupBy("state", "next_state")
         .agg(F.count(F.lit(1)).alias("transitions"))
     )
-    total = F.sum("transitions").over(W.partitionBy("state"))
+    return _with_probability(counts)
+
+
+def _with_probability(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    total = F.sum("transitions").over(W.partitionBy(*keys, "state"))
     return counts.withColumn("probability", divide_or_null(F.col("transitions"), total))
 
 

@@ -8,14 +8,12 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Dates are compared as calendar days, so the zone is pinned. Adaptive execution picks broadcast
 # joins from measured sizes, splits skewed join partitions and merges small ones; no operator
-# hints a broadcast by hand. Small shuffles keep more than one task, because a few rows per user
-# may still be filled in to all days.
+# hints a broadcast by hand.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
