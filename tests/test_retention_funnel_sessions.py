@@ -155,6 +155,14 @@ def test_sessions_from_events_equal_the_loop(spark):
     assert table(sizes, "session_id", "n") == table(got, "session_id", "events")
 
 
+def test_events_without_user_or_time_are_kept_without_a_session(spark):
+    rows = [(1, moment("2025-01-01T10:00")), (None, moment("2025-01-01T10:00")), (1, None)]
+    events = spark.createDataFrame(rows, "user_id bigint, event_time timestamp_ntz")
+    assert table(engagement.assign_sessions(events), "session_id") == {("1-1",), (None,)}
+    assert engagement.assign_sessions(events).count() == 3
+    assert engagement.sessions_from_events(events).count() == 1
+
+
 def test_filters(frames):
     users = frames.users((1, "2025-01-01", "control"), (2, "2025-01-01", "treatment"))
     events = frames.events(
