@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -31,6 +32,23 @@ def scratch_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for sessions that run from a source
+    folder which executors do not have."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="llm-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(
+        os.path.join(folder, "package"), "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(context.applicationId)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back, so that its rows are computed once and
     a lost executor loses no finished work. Cleaning the folder is left to the cluster."""

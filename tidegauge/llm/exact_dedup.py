@@ -56,11 +56,11 @@ def _winners(digests: DataFrame, capacity: int, min_copies: int) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stay, with all their columns; of rows with one id and one text, one stays."""
+    sha, other_id, other_sha = (fresh(docs, n) for n in ("text_sha256", "keep_id", "keep_sha"))
     keys = exact_groups(docs, id_col, text_col, **options).where("kept").select(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    sha = fresh(docs, "text_sha256")
+        F.col(id_col).alias(other_id), F.col("text_sha256").alias(other_sha)).distinct()
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     rows = docs.withColumn(sha, F.sha2(text, 256))
-    same = F.col("_id").eqNullSafe(rows[f"`{id_col}`"]) & (F.col("_sha") == rows[f"`{sha}`"])
+    same = F.col(other_id).eqNullSafe(quoted(id_col)) & (F.col(other_sha) == F.col(sha))
     kept = rows.join(keys, same, "left_semi")
     return kept.dropDuplicates([id_col, sha]).drop(sha)

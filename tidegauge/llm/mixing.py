@@ -150,11 +150,10 @@ def mix_sources(
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mix itself: each document of `docs`, as often as the mix uses it, a part taken counting as a
-    whole. Documents of which nothing is taken are absent. Ids should be unique; rows that repeat an id are
-    one document of which one row, the largest text, is used."""
-    taken = mix_sources(docs, id_col, **options).where("taken > 0").groupBy(F.col(id_col).alias("_id")).agg(
-        F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("_times"))
-    same = F.col("_id").eqNullSafe(docs[f"`{id_col}`"])
-    rows = docs.join(taken, same)
-    copy = fresh(docs, "copy")
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[quoted(c) for c in docs.columns])
+    whole. Documents of which nothing is taken are absent. Ids should be unique: rows that share an id are all
+    used as often as the one used most."""
+    other, times, copy = (fresh(docs, n) for n in ("mixed_id", "times", "copy"))
+    taken = mix_sources(docs, id_col, **options).where("taken > 0").groupBy(F.col(id_col).alias(other)).agg(
+        F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias(times))
+    rows = docs.join(taken, F.col(other).eqNullSafe(quoted(id_col)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[quoted(c) for c in docs.columns])
