@@ -106,12 +106,11 @@ def mix_sources(
     sizes = stored(docs.select(
         quoted(id_col).alias("id"), quoted(source_col).cast("string").alias("source"),
         word_count(quoted(text_col).cast("string")).alias("size")), "sizes")
-    whole = sizes.agg(F.sum("size").alias("words"))
     sources = source_targets(sizes, weights, share, max_epochs)
-    blocks = F.round(F.col("words") * F.lit(float(share)) / block_words).cast("long")
+    blocks = F.round(F.sum("target").over(W.partitionBy()) / block_words).cast("long")
     sources = apportion(
-        sources.crossJoin(F.broadcast(whole)).withColumn("_seats", blocks).drop("words").withColumn("_one", F.lit(1)),
-        ["_one"], "source", "target", "_seats").withColumnRenamed("quota", "source_quota").drop("_seats", "_one")
+        sources.withColumn("_seats", blocks).withColumn("_one", F.lit(1)), ["_one"], "source", "target", "_seats",
+    ).withColumnRenamed("quota", "source_quota").drop("_seats", "_one")
     sources = stored(sources.withColumn(
         "shards", F.greatest(F.ceil(F.col("docs") / shard_docs), F.lit(1)).cast("int")), "sources")
     named = sources.select(F.col("source").alias("_name"), "shards")
