@@ -1,3 +1,49 @@
 """DuckDB SQL for the queries of the corpus operators that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+EXACT = """WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)"""
+
+# A word is repeated if one of the up to three windows around it occurs twice or more in its text.
+QUALITY = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+v AS (SELECT a.doc_id, a.i, a.word AS x, b.word AS y, c.word AS z FROM p a
+  JOIN p b ON b.doc_id = a.doc_id AND b.i = a.i + 1 JOIN p c ON c.doc_id = a.doc_id AND c.i = a.i + 2),
+o AS (SELECT doc_id, x, y, z FROM v GROUP BY ALL HAVING count(*) > 1),
+r AS (SELECT DISTINCT v.doc_id, v.i + k AS i FROM v JOIN o USING (doc_id, x, y, z) CROSS JOIN (VALUES (0), (1), (2)) t(k)),
+rr AS (SELECT doc_id, count(*) AS n FROM r GROUP BY 1),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+ll AS (SELECT doc_id, count(*) AS n, count(DISTINCT line) AS k FROM l
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+s AS (SELECT doc_id, count(*) AS n FROM p WHERE regexp_matches(word, '[A-Z]') AND NOT regexp_matches(word, '[a-z]')
+  AND strlen(word) > 1 GROUP BY 1),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(t) - length(regexp_replace(t, '[^\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(ll.n - ll.k, 0) AS n_dup_lines, coalesce(rr.n, 0) AS n_repeat_words,
+    coalesce(ll.n, 0) AS n_lines, coalesce(s.n, 0) AS n_shouted
+  FROM d LEFT JOIN ll USING (doc_id) LEFT JOIN rr USING (doc_id) LEFT JOIN s USING (doc_id)),
+b AS (SELECT *, CAST(
+    CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN n_words > 2000000 THEN 4 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 8 ELSE 0 END
+    + CASE WHEN word_chars > 15 * n_words THEN 16 ELSE 0 END + CASE WHEN n_symbols > n_words THEN 32 ELSE 0 END
+    + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines THEN 64 ELSE 0 END
+    + CASE WHEN 100 * n_shouted > 60 * n_words THEN 128 ELSE 0 END AS BIGINT) AS failed_bits FROM m)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, failed_bits = 0 AS kept FROM b"""
+
+# The markup around a turn has 12 + 1 + 11 characters; escaping adds one for each "<", backslashes, "|".
+CHAT = r"""WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+g AS (SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t) AS said,
+    coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(role) + length(t) + 24 + len(regexp_extract_all(t, '<\\*\|'))) AS chars FROM c GROUP BY 1)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, 'messages' AS layout, n_turns, sha256(said) AS turns_sha256,
+  CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g"""
+
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": EXACT, "op7_quality_rules": QUALITY, "op10_chat_formatting": CHAT,
+}
