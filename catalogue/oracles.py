@@ -503,6 +503,12 @@ SELECT *, {div0('sessions', 'active_users')} AS sessions_per_user FROM (
     o["user_spine"] = query(U, select=f"""SELECT date, user_id, signup_date,
   CAST(date - signup_date AS INTEGER) AS days_since_signup
 FROM (SELECT *, {days("greatest(signup_date, DATE '2024-01-03')", "DATE '2024-01-30'")} AS date FROM u)""")
+    o["user_spine_all"] = query(U, select=f"""SELECT date, user_id, signup_date,
+  CAST(date - signup_date AS INTEGER) AS days_since_signup
+FROM (SELECT *, {days('signup_date', '(SELECT max(signup_date) FROM u)')} AS date FROM u)""")
+    o["fact_since"] = query(E, U, S, fact("DATE '2024-01-12'"), select=f"SELECT {FACT_COLS} FROM fact")
+    o["lifecycle_since"] = query(E, U, UD, state_counts(
+        "u", "variant", "DATE '2024-01-12'", EV_BOUNDS[1], match="AND a.variant = c.variant"), select="SELECT * FROM lc")
     o["fact_user_daily"] = query(*FACT, select=f"SELECT {FACT_COLS} FROM fact")
     o["fact_window"] = query(
         E, U, S, fact("DATE '2024-01-08'", "DATE '2024-01-24'"), select=f"SELECT {FACT_COLS} FROM fact")
@@ -539,6 +545,17 @@ SELECT f.date, f.user_id, CAST(CASE WHEN f.is_active = 0 THEN 0 ELSE f.date - co
 FROM fact f LEFT JOIN fact q ON q.user_id = f.user_id AND q.date < f.date AND q.is_active = 0
 GROUP BY f.date, f.user_id, f.is_active, f.signup_date""")
 
+    o["kpis_of_stored_fact"] = o["job_agg_daily_kpis"] = o["agg_daily_kpis"]
+    o["lifecycle_of_stored_fact"] = o["job_agg_lifecycle_daily"] = o["agg_lifecycle_daily"]
+    o["decomposition_of_stored_fact"] = o["dau_decomposition"]
+    o["job_fact_user_daily"] = o["job_country_fact_user_daily"] = o["fact_user_daily"]
+    o["agg_retention_cohort"] = o["job_agg_retention_cohort"] = o["retention_variant"]
+    o["job_country_agg_retention_cohort"] = o["retention_all"]
+    o["job_country_agg_daily_kpis"] = o["agg_daily_kpis_country"]
+    o["job_country_agg_lifecycle_daily"] = query(*FACT, select="""SELECT date, lifecycle_state AS state, country,
+  count(DISTINCT user_id) AS users FROM fact WHERE country IS NOT NULL GROUP BY 1, 2, 3""")
+    o["job_agg_funnel_daily"] = o["funnel_daily"]
+
     # dashboards
     o["kpi_cards"] = query(*KPI, RET, "k AS (SELECT * FROM kpi WHERE date = (SELECT max(date) FROM kpi))", select="""
 SELECT 'signups' AS metric, CAST(sum(signups) AS DOUBLE) AS value FROM k
@@ -582,9 +599,10 @@ SELECT days, round(mean_ratio, 6) AS mean_ratio, round(p95_abs_gap, 6) AS p95_ab
   days > 10 AS enough_days, abs(mean_ratio - 1) < 0.01 AS mean_ok, p95_abs_gap < 0.15 AS gap_ok, corr > 0.97 AS corr_ok,
   coalesce(days > 10 AND abs(mean_ratio - 1) < 0.01 AND p95_abs_gap < 0.15 AND corr > 0.97, FALSE) AS passed FROM c""")
     smooth = """sm AS (SELECT date, avg(control) OVER w AS control, avg(treatment) OVER w AS treatment, count(*) OVER w AS n
-  FROM wide WHERE date < DATE '2024-02-01' AND control + treatment >= 50
+  FROM wide WHERE date < (SELECT min(signup_date) + {days} FROM u) AND control + treatment >= 50
   WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""
-    o["aa_check_smoothed"] = query(E, U, UD, WIDE, smooth, f"c AS ({comparison('sm WHERE n = 7')})", select="""
+    for name, n in (("aa_check_smoothed", 25), ("aa_check_smoothed_short", 15)):
+        o[name] = query(E, U, UD, WIDE, smooth.format(days=n), f"c AS ({comparison('sm WHERE n = 7')})", select="""
 SELECT days, round(mean_ratio, 6) AS mean_ratio, round(p95_abs_gap, 6) AS p95_abs_gap, round(corr, 6) AS corr,
   CASE WHEN days >= 10 THEN corr > 0.98 END AS corr_ok, CASE WHEN days >= 10 THEN p95_abs_gap < 0.12 END AS gap_ok,
   coalesce(days >= 10 AND corr > 0.98 AND p95_abs_gap < 0.12, FALSE) AS passed FROM c""")
@@ -610,20 +628,21 @@ FROM e WHERE event_name = 'lesson_completed' GROUP BY 1""")
 FROM (SELECT user_id, count(*) AS opens FROM e WHERE event_name = 'app_open' GROUP BY 1) JOIN u USING (user_id)
 GROUP BY 1""")
     measures = ["dau", "wau", "mau", "sessions_per_active_user", "lessons_per_active_user"]
-    since = "DATE '2024-01-05'"
+    o["assign_variant"] = query(U, select="""SELECT * EXCLUDE (variant), CASE WHEN row_number() OVER (
+    PARTITION BY signup_date ORDER BY md5(user_id || ':42'), user_id) <= count(*) OVER (PARTITION BY signup_date) // 2
+  THEN 'control' ELSE 'treatment' END AS variant FROM u""")
     o["assigned_arms"] = query(OU, select="""SELECT signup_date, CAST(count(*) // 2 AS BIGINT) AS control,
   CAST(count(*) - count(*) // 2 AS BIGINT) AS treatment FROM ou GROUP BY 1""")
     o["kpi_lift"] = query(*KPI, RET, select="\nUNION ALL\n".join([
-        *[lift(m, m, f"kpi WHERE date >= {since}") for m in measures],
-        *[lift(f"d{n}_retention", "retention_rate", f"ret WHERE cohort_date >= {since} AND day_n = {n} HAVING count(*) > 0")
-          for n in (1, 7, 30)],
-        lift("avg_streak", "streak_length_end_of_day", f"fact WHERE date >= {since}"),
+        *[lift(m, m, "kpi") for m in measures],
+        *[lift(f"d{n}_retention", "retention_rate", f"ret WHERE day_n = {n} HAVING count(*) > 0") for n in (1, 7, 30)],
+        lift("avg_streak", "streak_length_end_of_day", "fact"),
     ]))
     o["guardrails"] = query(E, U, S, GUARD, select=f"SELECT date, variant, {', '.join(GUARD_NAMES)} FROM guard")
     moments = "\nUNION ALL\n".join(f"""SELECT '{m}' AS metric, avg({m}) FILTER (variant = 'control') AS c,
   avg({m}) FILTER (variant = 'treatment') AS t, sqrt(var_samp({m}) FILTER (variant = 'control')
     / count({m}) FILTER (variant = 'control') + var_samp({m}) FILTER (variant = 'treatment')
-    / count({m}) FILTER (variant = 'treatment')) AS err FROM guard WHERE date >= DATE '2024-01-16'"""
+    / count({m}) FILTER (variant = 'treatment')) AS err FROM guard WHERE date >= {ROLL}"""
         for m in GUARD_NAMES)
     o["guardrail_test"] = query(E, U, S, GUARD, f"m AS ({moments})", select="""SELECT metric, round(c, 6) AS control,
   round(t, 6) AS treatment, round((t - c) / err, 6) AS z, abs((t - c) / err) > 1.96 AS significant FROM m""")
@@ -645,6 +664,24 @@ FROM e JOIN u USING (user_id) WHERE event_time < signup_time""")
     o["session_lengths"] = query(E, S, select=f"""SELECT count(session_duration_sec) AS "count",
   round(avg(session_duration_sec), 6) AS mean, round(stddev_samp(session_duration_sec), 6) AS std,
   CAST(min(session_duration_sec) AS DOUBLE) AS min, {lengths}, CAST(max(session_duration_sec) AS DOUBLE) AS max FROM s""")
+    gap = "abs(date_diff('microsecond', session_start, session_end) / 1e6 - session_duration_sec - user_id % 5)"
+    o["duration_differences"] = query(E, S, f"d AS (SELECT round({gap}, 0) AS v FROM s)", select="""
+SELECT count(v) AS "count", round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, CAST(min(v) AS DOUBLE) AS min,
+  quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, CAST(max(v) AS DOUBLE) AS max
+FROM d""")
+    o["date_mismatches"] = query(E, select="""SELECT event_id, event_time, CAST(event_time - INTERVAL 1 HOUR AS DATE) AS event_date
+FROM e WHERE CAST(event_time - INTERVAL 1 HOUR AS DATE) <> event_date ORDER BY event_id LIMIT 20""")
+    o["largest_session_gaps"] = query(E, S, select="""
+SELECT event_id, session_id, CAST(date_diff('microsecond', session_start + INTERVAL 10 MINUTE, event_time) AS DOUBLE) / 1e6 AS gap_sec
+FROM es JOIN s USING (session_id) WHERE event_time < session_start + INTERVAL 10 MINUTE ORDER BY gap_sec, event_id LIMIT 20""")
+    lacking = [("users", 6), ("sessions", 2), ("events", 5)]
+    o["quality_report_layout"] = query(E, select="\nUNION ALL\n".join([
+        check("unique_event_id", "events", repeated("e", "event_id")),
+        *[check("columns_present", t, f"SELECT {n}") for t, n in lacking],
+        check("date_matches_time", "events", bad("e", "CAST(event_time - INTERVAL 1 HOUR AS DATE) <> event_date"))]))
+    o["lesson_present"] = check("lesson_present", "events", bad("lineitem", "l_linestatus <> 'F'"))
+    o["lesson_exists"] = check("lesson_exists", "events", bad(
+        "lineitem", "l_linestatus = 'F' AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)"))
     o["lineitem_keys"] = check(
         "unique_l_orderkey_l_linenumber", "lineitem", repeated("lineitem", "l_orderkey", "l_linenumber"))
     o["orders_reference"] = check(

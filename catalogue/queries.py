@@ -18,8 +18,10 @@ from tidegauge.operators import (
     prepare,
     quality,
     retention,
+    sparse,
     streaks,
 )
+from tidegauge.plans import build_tables
 from tidegauge.functions.scalars import percent_text
 from tidegauge.sources import adapters
 
@@ -63,12 +65,23 @@ class Product:
     def fact(self, **options):
         return fact.build_fact_user_daily(self.users, self.events, self.sessions, **options)
 
-    def kpis(self, keys=("variant",)):
-        table = self.fact(keep_user_cols=[k for k in keys if k != "variant"])
-        return kpis.build_agg_daily_kpis(table, self.users, self.events, group_cols=keys)
+    def last_day(self):
+        return fact.last_fact_day(self.users, self.events, self.sessions)
+
+    def days(self, keys=("variant",)):
+        kept = [k for k in keys if k != "variant"]
+        spans = fact.busy_spans(self.users, self.events, self.sessions, keep_user_cols=kept)
+        return sparse.daily_sums(spans, keys)
+
+    def kpis(self, keys=("variant",), days=None):
+        days = self.days(keys) if days is None else days
+        return kpis.agg_daily_kpis_of_days(days, self.users, self.events, group_cols=keys)
 
     def lifecycle_daily(self, keys=("variant",)):
-        return lifecycle.build_agg_lifecycle_daily(self.fact(), group_cols=keys)
+        return sparse.agg_lifecycle_of_days(self.users, self.events, group_cols=keys, date_max=self.last_day())
+
+    def tables(self, keys=("variant",)):
+        return build_tables.build_dashboard_tables(self.users, self.events, self.sessions, group_cols=keys)
 
     def retention(self, n_days=(1, 7, 30)):
         return retention.build_agg_retention_cohort(self.users, self.events, n_days=n_days)
@@ -192,6 +205,10 @@ def retention_orders(o):
     )
 
 
+def agg_retention_cohort(p):
+    return p.retention()
+
+
 def retention_trend(p):
     return dashboards.retention_trend(p.retention(), 7)
 
@@ -268,6 +285,18 @@ def lifecycle_by_arm(p):
     return lifecycle.lifecycle_by_arm(lifecycle_counts(p))
 
 
+def lifecycle_since(p):
+    return lifecycle.compute_lifecycle_counts(p.events, p.users, date_min="2024-01-12")
+
+
+def fact_since(p):
+    return p.fact(date_min="2024-01-12")
+
+
+def user_spine_all(p):
+    return fact.build_user_date_spine(p.users)
+
+
 def user_spine(p):
     return fact.build_user_date_spine(p.users, date_min="2024-01-03", date_max="2024-01-30")
 
@@ -302,7 +331,19 @@ def agg_lifecycle_daily(p):
 
 
 def agg_lifecycle_orders(o):
-    return lifecycle.build_agg_lifecycle_daily(o.fact(), group_cols=["segment"])
+    return sparse.agg_lifecycle_of_days(
+        o.users, o.events, group_cols=["segment"], active_event_names=o.names,
+        date_max=fact.last_fact_day(o.users, o.events, o.sessions()),
+    )
+
+
+def kpis_of_stored_fact(p):
+    """The form for a fact that is there already."""
+    return kpis.build_agg_daily_kpis(p.fact(), p.users, p.events)
+
+
+def lifecycle_of_stored_fact(p):
+    return lifecycle.build_agg_lifecycle_daily(p.fact())
 
 
 def lifecycle_transitions(p):
@@ -310,7 +351,10 @@ def lifecycle_transitions(p):
 
 
 def lifecycle_transitions_orders(o):
-    return lifecycle.lifecycle_transitions(o.fact())
+    return lifecycle.compute_lifecycle_transitions(
+        o.events, o.users, active_event_names=o.names,
+        date_max=fact.last_fact_day(o.users, o.events, o.sessions()),
+    )
 
 
 def transitions_from_spans(p):
@@ -326,6 +370,10 @@ def transitions_from_spans_orders(o):
 
 
 def dau_decomposition(p):
+    return sparse.decomposition_of_days(p.days(()), p.lifecycle_daily(()))
+
+
+def decomposition_of_stored_fact(p):
     return lifecycle.decomposition_report(p.fact())
 
 
@@ -373,7 +421,7 @@ def purchase_conversion(p):
 
 
 def streak_by_variant(p):
-    return dashboards.streak_metrics(p.fact())
+    return sparse.streak_metrics_of_days(p.days())
 
 
 def avg_session_duration(p):
@@ -385,7 +433,7 @@ def completion_rate(p):
 
 
 def hearts_per_user(p):
-    return dashboards.hearts_per_active_day(p.fact(), ["variant"])
+    return sparse.hearts_of_days(p.days())
 
 
 # --- experiment -------------------------------------------------------------------------------
@@ -400,10 +448,19 @@ def aa_check(p):
     )
 
 
+def _smoothed(p, days):
+    start = experiment.rollout_date(p.users, days)
+    return rounded(experiment.aa_check_smoothed(p.dau_wide(), start), "mean_ratio", "p95_abs_gap", "corr")
+
+
 def aa_check_smoothed(p):
-    return rounded(
-        experiment.aa_check_smoothed(p.dau_wide(), "2024-02-01"), "mean_ratio", "p95_abs_gap", "corr"
-    )
+    """A rollout late enough for ten smoothed days."""
+    return _smoothed(p, 25)
+
+
+def aa_check_smoothed_short(p):
+    """Too few days: the rules are null."""
+    return _smoothed(p, ROLLOUT_DAYS)
 
 
 def signup_share(p):
@@ -458,7 +515,8 @@ def opens_per_user_variant(p):
 
 
 def kpi_lift(p):
-    out = experiment.kpi_lift(p.kpis(), p.retention(), p.fact(), "2024-01-05")
+    days = p.days()
+    out = experiment.kpi_lift(p.kpis(days=days), p.retention(), days)
     return rounded(out, "control", "treatment", "lift")
 
 
@@ -468,7 +526,7 @@ def guardrails(p):
 
 def guardrail_test(p):
     return rounded(
-        experiment.guardrail_test(guardrails(p), start="2024-01-16"), "control", "treatment", "z"
+        experiment.guardrail_test(guardrails(p), start=p.rollout()), "control", "treatment", "z"
     )
 
 
@@ -477,7 +535,7 @@ def assign_variant(p):
 
 
 def assigned_arms(o):
-    """Size of the arms per signup date; which user falls in which arm depends on the hash."""
+    """Size of the arms per signup date."""
     arms = experiment.assign_variant(o.users).groupBy("signup_date")
     return arms.agg(*[
         F.count_if(F.col("variant") == arm).alias(arm) for arm in experiment.ARMS
@@ -518,6 +576,34 @@ def events_before_signup(p):
     return early.select("event_id", "user_id", "event_time", "signup_time")
 
 
+def duration_differences(p):
+    """Distribution of the difference for durations that are wrong by a few seconds, by user."""
+    longer = p.sessions.withColumn(
+        "session_duration_sec", F.col("session_duration_sec") + F.col("user_id") % 5)
+    return rounded(quality.duration_differences(longer), "mean", "std")
+
+
+def _late_dates(p):
+    """Events dated by the hour before, so that those of the first hour of a day differ."""
+    return p.events.withColumn("event_date", F.to_date(F.col("event_time") - F.expr("INTERVAL 1 hour")))
+
+
+def date_mismatches(p):
+    return quality.date_mismatches(_late_dates(p))
+
+
+def largest_session_gaps(p):
+    later = F.col("session_start") + F.expr("INTERVAL 10 minutes")
+    gaps = quality.largest_session_gaps(p.events_in_sessions, p.sessions.withColumn("session_start", later))
+    return gaps.select("event_id", "session_id", "gap_sec")
+
+
+def quality_report_layout(p):
+    """With the column sets of the tables, of which these lack some."""
+    report = quality.quality_report(p.users, p.sessions, _late_dates(p), full_layout=True)
+    return report.filter(F.col("check").isin("columns_present", "date_matches_time", "unique_event_id"))
+
+
 def lesson_order_violations(p):
     return quality.lesson_order_violations(p.events_in_sessions)
 
@@ -539,6 +625,26 @@ def orders_reference(spark, folder):
     )
 
 
+def _lesson_lines(spark, folder):
+    """Order lines as lesson events: open lines have no lesson, the others their part."""
+    return adapters.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("user_id"), F.lit("lesson_started").alias("event_name"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_partkey").cast("string")).otherwise("").alias("lesson_id"),
+    )
+
+
+def lesson_present(spark, folder):
+    users = adapters.table(spark, folder, "orders").select(F.col("o_orderkey").alias("user_id"))
+    return quality.check_event_rows(_lesson_lines(spark, folder), users).filter("check = 'lesson_present'")
+
+
+def lesson_exists(spark, folder):
+    """Lines of closed orders against the parts up to a size; parts above are unknown lessons."""
+    lessons = adapters.table(spark, folder, "part").filter("p_size <= 25").select(
+        F.col("p_partkey").cast("string").alias("lesson_id"))
+    return quality.check_lessons(_lesson_lines(spark, folder), lessons)
+
+
 def shipped_before_ordered(spark, folder):
     """Facts before the start of their parent, on order lines."""
     lines = adapters.table(spark, folder, "lineitem").select(
@@ -570,14 +676,24 @@ _PRODUCT = [
     aa_check_smoothed, signup_share, signup_share_distribution, activity_rate,
     activity_rate_correlation, sessions_per_active, sessions_per_active_variant, avg_streak,
     avg_streak_variant, pre_post_summary, opens_per_user_variant, kpi_lift, guardrails,
-    guardrail_test, assign_variant, event_counts_pivot, event_users_pivot, event_value_counts,
+    guardrail_test, assign_variant, agg_retention_cohort, aa_check_smoothed_short, lifecycle_since, fact_since,
+    user_spine_all, kpis_of_stored_fact, lifecycle_of_stored_fact, decomposition_of_stored_fact,
+    duration_differences, date_mismatches, largest_session_gaps, quality_report_layout, event_counts_pivot, event_users_pivot, event_value_counts,
     quality_report, session_gaps, unknown_names, events_before_signup, lesson_order_violations, session_lengths,
 ]
 _ORDERS = [
     mau_orders, retention_orders, lifecycle_counts_orders, agg_lifecycle_orders,
     lifecycle_transitions_orders, transitions_from_spans_orders, lifecycle_recent_orders, assigned_arms,
 ]
-_TABLES = [lineitem_keys, orders_reference, shipped_before_ordered, table_rows]
+_TABLES = [lineitem_keys, orders_reference, lesson_present, lesson_exists, shipped_before_ordered, table_rows]
+# The tables of the build job, by arm and by country.
+_JOB_TABLES = [
+    "fact_user_daily", "agg_daily_kpis", "agg_retention_cohort", "agg_funnel_daily", "agg_lifecycle_daily"]
+_JOB_KEYS = {"job": ("variant",), "job_country": ("country",)}
+
+
+def _job_table(keys, table):
+    return lambda p: p.tables(keys)[table]
 
 
 def _on(kind, query):
@@ -588,5 +704,10 @@ def all_queries():
     return {
         **{q.__name__: _on(Product, q) for q in _PRODUCT},
         **{q.__name__: _on(Orders, q) for q in _ORDERS},
+        **{
+            f"{name}_{table}": _on(Product, _job_table(keys, table))
+            for name, keys in _JOB_KEYS.items() for table in _JOB_TABLES
+            if not (name == "job_country" and table == "agg_funnel_daily")
+        },
         **{q.__name__: q for q in _TABLES},
     }

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidegauge.session import spark_session, use_checkpoint_dir  # noqa: E402
+from tidegauge.session import spark_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         spark_ui_showConsoleProgress="false", spark_sql_warehouse_dir=str(base / "warehouse"),
     )
     session.sparkContext.setLogLevel("ERROR")
-    use_checkpoint_dir(session, str(base / "checkpoints"))
+    session.sparkContext.setCheckpointDir(str(base / "checkpoints"))
     yield session
     session.stop()
 

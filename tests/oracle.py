@@ -7,7 +7,9 @@ import os
 
 import duckdb
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations",
+]
 
 
 def connect(folder: str):

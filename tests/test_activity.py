@@ -56,7 +56,7 @@ def test_active_names_and_keys_from_users(frames):
     assert activity.compute_dau(events, group_cols=None).count() == 0
     got = activity.compute_dau(events, active_event_names=["signup"], users=users)
     assert table(got) == {(day("2025-01-01"), "control", 1)}
-    with pytest.raises(ValueError, match="missing grouping columns"):
+    with pytest.raises(ValueError, match="cannot be grouped by"):
         activity.compute_dau(events)
 
 
@@ -67,7 +67,7 @@ def test_no_activity_gives_an_empty_table(frames):
 
 
 def test_window_length_must_be_positive(frames):
-    with pytest.raises(ValueError, match="positive"):
+    with pytest.raises(ValueError, match="at least one day"):
         activity.trailing_active_users(frames.events().select("user_id"), {"n": 0}, [])
 
 

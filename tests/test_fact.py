@@ -82,7 +82,7 @@ def test_without_lifecycle_sample_and_kept_columns(frames):
     )
     assert built.columns == [*fact.FACT_COLUMNS, "country"]
     assert table(built, "user_id", "lifecycle_state", "country") == {(1, None, "AU")}
-    with pytest.raises(ValueError, match="positive"):
+    with pytest.raises(ValueError, match="at least one user"):
         fact.build_fact_user_daily(users, frames.full_events(), frames.sessions(), sample_n_users=0)
 
 
@@ -90,9 +90,9 @@ def test_empty_spine_and_reversed_range(frames):
     users, events, sessions = frames.users((3, "2025-03-01", "control")), frames.full_events(), frames.sessions()
     empty = fact.build_fact_user_daily(users, events, sessions, date_min="2025-04-01", date_max="2025-04-02")
     assert empty.count() == 2  # signed up before, so present without any event
-    with pytest.raises(Exception, match="Invalid date range"):
+    with pytest.raises(Exception, match="lies after the last day"):
         fact.build_fact_user_daily(users, events, sessions, date_max="2025-02-01").collect()
-    with pytest.raises(ValueError, match="Invalid date range"):
+    with pytest.raises(ValueError, match="lies after the last day"):
         fact.build_fact_user_daily(users, events, sessions, date_min="2025-02-01", date_max="2025-01-01")
 
 
@@ -116,10 +116,10 @@ def test_events_without_times_use_the_last_known_value_by_id(frames):
 
 def test_bad_dates_fail_the_job(spark, frames):
     users = spark.createDataFrame([(1, "2025-01-01"), (2, "soon")], "user_id bigint, signup_date string")
-    with pytest.raises(Exception, match="Could not parse a date"):
+    with pytest.raises(Exception, match="Not a calendar day"):
         fact.build_user_date_spine(users).collect()
     none = frames.users((1, None, "control"))
-    with pytest.raises(Exception, match="Could not parse a date"):
+    with pytest.raises(Exception, match="Not a calendar day"):
         fact.build_user_date_spine(none).collect()
 
 

@@ -89,7 +89,7 @@ def test_missing_columns(clean):
     assert _violations(report)["events", "xp_not_negative"] is None
     assert _violations(report)["lessons", "columns_present"] == 6
     assert "country" in quality.missing_columns(users, "users")
-    with pytest.raises(ValueError, match="users missing columns.*\n.*sessions missing columns"):
+    with pytest.raises(ValueError, match="users lacks.*\n.*sessions lacks"):
         validate_minimum_columns(users.drop("signup_date"), sessions.drop("session_end"), events)
 
 

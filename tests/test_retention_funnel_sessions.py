@@ -93,7 +93,7 @@ def test_funnel_by_cohort(frames):
     }
     with pytest.raises(ValueError, match="users"):
         funnel.compute_lesson_funnel(events)
-    with pytest.raises(ValueError, match="'date' or 'cohort'"):
+    with pytest.raises(ValueError, match="by date or by cohort"):
         funnel.compute_lesson_funnel(events, by="week")
 
 
@@ -112,11 +112,11 @@ def test_sessions_per_user(frames):
     }
     own = engagement.compute_sessions_per_user(sessions, group_cols=None, active_user_source="sessions")
     assert table(own) == {(day("2025-01-01"), 2, 1, 2.0), (day("2025-01-02"), 1, 1, 1.0)}
-    with pytest.raises(ValueError, match="events must be provided"):
+    with pytest.raises(ValueError, match="takes the events table"):
         engagement.compute_sessions_per_user(sessions, users=users)
-    with pytest.raises(ValueError, match="active_user_source"):
+    with pytest.raises(ValueError, match="events or sessions"):
         engagement.compute_sessions_per_user(sessions, events, users, active_user_source="clicks")
-    with pytest.raises(ValueError, match="Provide users"):
+    with pytest.raises(ValueError, match="without a users table"):
         engagement.compute_sessions_per_user(sessions, events)
 
 
@@ -172,7 +172,7 @@ def test_filters(frames):
     assert prepare.filter_segment(events, date_from="2025-01-02", date_to="2025-01-02").count() == 1
     picked = prepare.filter_segment(events.drop("variant"), users, variant=["treatment"])
     assert table(picked, "user_id") == {(2,)}
-    with pytest.raises(ValueError, match="users are needed"):
+    with pytest.raises(ValueError, match="takes a users table"):
         prepare.filter_segment(events.drop("variant"), variant="control")
     assert prepare.known_users_only(events, users.filter("user_id = 1")).count() == 1
     window = events.filter(prepare.in_window(F.col("date"), "2025-01-01", "2025-01-02"))
@@ -186,11 +186,11 @@ def test_prepare_columns(frames, spark):
     assert table(by_time, "event_date", "is_active_event") == {(day("2025-01-01"), True), (day("2025-01-02"), False)}
     shifted = prepare.prep_events(events.withColumn("event_date", F.lit("2024-12-31")))
     assert table(shifted, "event_date") == {(day("2024-12-31"),)}  # its own column wins
-    with pytest.raises(ValueError, match="either 'event_date' or 'event_time'"):
+    with pytest.raises(ValueError, match="event_date, event_time is needed"):
         prepare.prep_events(events.drop("event_date", "event_time"))
-    with pytest.raises(ValueError, match="either 'session_date' or 'session_start'"):
+    with pytest.raises(ValueError, match="session_date, session_start is needed"):
         prepare.prep_sessions(events.select("user_id"))
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="no column"):
         prepare.prep_events(events.drop("event_name"))
     assert prepare.prep_events(events.drop("event_date", "event_time"), ensure_event_date=False).count() == 2
     blank = prepare.empty_text(spark.createDataFrame([(None,)], "session_id string"), ["session_id", "lesson_id"])

@@ -10,7 +10,7 @@ from tidegauge.schemas import LIFECYCLE_STATES
 def strict_date(column: Column, name: str) -> Column:
     """Calendar day of a date, timestamp or ISO text; a null or unreadable value fails the job."""
     shown = F.coalesce(column.cast("string"), F.lit("NULL"))
-    failure = F.raise_error(F.concat(F.lit(f"Could not parse a date in '{name}': "), shown))
+    failure = F.raise_error(F.concat(F.lit(f"Not a calendar day in {name}: "), shown))
     return F.coalesce(column.try_cast("date"), failure.cast("date"))
 
 

@@ -48,7 +48,7 @@ def trailing_active_users(
     Each group runs from its first to its last active day.
     """
     if any(days <= 0 for days in windows.values()):
-        raise ValueError("window_days must be positive")
+        raise ValueError("a trailing window spans at least one day")
     per_user = W.partitionBy("user_id", *keys).orderBy("date")
     since_last = F.datediff("date", F.lag("date").over(per_user))
     to_next = F.datediff(F.lead("date").over(per_user), "date")

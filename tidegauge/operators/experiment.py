@@ -21,6 +21,7 @@ from tidegauge.operators.prepare import (
     as_date,
     enough_volume,
     group_keys,
+    in_window,
     prep_events,
     prep_sessions,
     unique_users,
@@ -45,24 +46,28 @@ def assign_variant(users: DataFrame, *, seed: int = 42, arms: Sequence[str] = AR
     """Balanced arms within each signup date: a seeded random order, the first half (rounded down)
     is control, the rest treatment.
 
-    Ranking one date in one task would not hold for a date with very many signups, so the order is
-    cut into hash ranges: users are counted per range, and only ranks inside a range are windowed.
+    The order is that of the MD5 of user and seed. Ranking one date in one task would not hold for a
+    date with very many signups, so the order is cut into ranges of the hash: users are counted per
+    range, and only ranks inside a range are windowed. A null signup date fails the job.
     """
     require_columns(users, ["user_id", "signup_date"], "users")
-    position = F.xxhash64(F.col("user_id"), F.lit(seed))
-    placed = users.withColumns({"position": position, "slice": F.shiftright(position, 48)})
-    sizes = placed.groupBy("signup_date", "slice").agg(F.count(F.lit(1)).alias("size"))
-    by_date = W.partitionBy("signup_date")
+    position = F.md5(F.concat_ws(":", F.col("user_id").cast("string"), F.lit(str(seed))).cast("binary"))
+    placed = users.withColumns({
+        "signup_day": strict_date(F.col("signup_date"), "signup_date"), "position": position,
+        "slice": F.substring(position, 1, 4),
+    })
+    sizes = placed.groupBy("signup_day", "slice").agg(F.count(F.lit(1)).alias("size"))
+    by_date = W.partitionBy("signup_day")
     offsets = sizes.select(
-        "signup_date", "slice",
+        "signup_day", "slice",
         F.sum("size").over(by_date.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)).alias("before"),
         F.sum("size").over(by_date).alias("total"),
     )
-    within = W.partitionBy("signup_date", "slice").orderBy("position", "user_id")
-    ranked = placed.withColumn("rank", F.row_number().over(within)).join(offsets, ["signup_date", "slice"])
+    within = W.partitionBy("signup_day", "slice").orderBy("position", "user_id")
+    ranked = placed.withColumn("rank", F.row_number().over(within)).join(offsets, ["signup_day", "slice"])
     first_half = F.col("rank") + F.coalesce("before", F.lit(0)) <= F.floor(F.col("total") / 2)
     variant = F.when(first_half, arms[0]).otherwise(arms[1])
-    return ranked.withColumn("variant", variant).drop("position", "slice", "rank", "before", "total")
+    return ranked.withColumn("variant", variant).drop("signup_day", "position", "slice", "rank", "before", "total")
 
 
 def rollout_date(users: DataFrame, days: int = 90) -> Column:
@@ -94,7 +99,7 @@ def dau_by_variant(
 
 def pre_period(daily: DataFrame, rollout) -> DataFrame:
     """Days strictly before the rollout on which both arms have a value."""
-    return daily.filter(F.col("date") < as_date(rollout)).dropna(subset=list(ARMS))
+    return daily.filter(in_window(F.col("date"), end=rollout)).dropna(subset=list(ARMS))
 
 
 def _comparison(daily: DataFrame) -> DataFrame:
@@ -144,10 +149,10 @@ def _with_rules(row: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def signup_share(users: DataFrame) -> DataFrame:
-    """date, control, treatment, total, treat_share of the daily signups."""
-    dated = users.withColumn("date", strict_date(F.col("signup_date"), "signup_date"))
-    per_user = dated.filter(F.col("variant").isNotNull()).select("date", "variant", "user_id").distinct()
-    daily = per_user.groupBy("date").agg(
+    """date, control, treatment, total, treat_share of the daily signups. A user counts once, on the
+    earliest signup."""
+    per_user = unique_users(users, ["variant"]).filter(F.col("variant").isNotNull())
+    daily = per_user.groupBy(F.col("signup_date").alias("date")).agg(
         *[F.count(_arm(F.col("user_id"), arm)).alias(arm) for arm in ARMS]
     )
     total = F.col(CONTROL) + F.col(TREATMENT)
@@ -226,7 +231,7 @@ def pre_post_summary(series: dict[str, DataFrame], rollout) -> DataFrame:
             F.lit(name).alias("metric"), "date", *[F.col(arm).cast("double").alias(arm) for arm in ARMS]
         )
         stacked = part if stacked is None else stacked.unionByName(part)
-    window = F.when(F.col("date") < as_date(rollout), "pre").otherwise("post")
+    window = F.when(in_window(F.col("date"), end=rollout), "pre").otherwise("post")
     means = stacked.groupBy("metric", window.alias("window")).agg(*[F.avg(arm).alias(arm) for arm in ARMS])
     return means.select(
         "metric", *ARMS, lift(F.col(TREATMENT), F.col(CONTROL)).alias("diff_pct"), "window"
@@ -249,11 +254,10 @@ def opens_per_user(events: DataFrame, users: DataFrame, *, event_name: str = "ap
 _KPI_MEASURES = ["dau", "wau", "mau", "sessions_per_active_user", "lessons_per_active_user"]
 
 
-def kpi_lift(
-    kpis: DataFrame, retention: DataFrame, fact_user_daily: DataFrame, start=None
-) -> DataFrame:
+def kpi_lift(kpis: DataFrame, retention: DataFrame, days: DataFrame, start=None) -> DataFrame:
     """metric, control, treatment, lift: mean of the daily values per arm from `start` on, with
-    retention by cohort day and the average streak of the user-days."""
+    retention by cohort day and the average streak of the user-days. `days` is a stored fact or its
+    daily sums."""
     def since(df, column):
         return df if start is None else df.filter(F.col(column) >= as_date(start))
 
@@ -266,8 +270,9 @@ def kpi_lift(
         .agg(F.avg("retention_rate").alias("value"))
         .select("variant", "metric", "value")
     )
-    streak = since(fact_user_daily, "date").groupBy("variant").agg(
-        F.avg("streak_length_end_of_day").alias("value")
+    user_days = F.sum("user_days") if "user_days" in days.columns else F.count("user_id")
+    streak = since(days, "date").groupBy("variant").agg(
+        divide_or_null(F.sum("streak_length_end_of_day"), user_days).alias("value")
     ).select("variant", F.lit("avg_streak").alias("metric"), "value")
     stacked = daily.unionByName(kept).unionByName(streak)
     return stacked.groupBy("metric").agg(

@@ -21,13 +21,9 @@ from tidegauge.operators.prepare import (
     prep_sessions,
     unique_users,
 )
+from tidegauge.schemas import FACT_USER_DAILY
 
-FACT_COLUMNS = [
-    "date", "user_id", "variant", "signup_date", "days_since_signup", "is_active", "had_app_open",
-    "had_lesson_started", "had_lesson_completed", "sessions_count", "session_duration_sec",
-    "lessons_completed", "xp_earned", "hearts_lost", "streak_length_end_of_day", "is_premium",
-    "lifecycle_state",
-]
+FACT_COLUMNS = FACT_USER_DAILY.fieldNames()
 _FLAGS = ["is_active", "had_app_open", "had_lesson_started", "had_lesson_completed"]
 _SUMS = ["sessions_count", "session_duration_sec", "lessons_completed", "xp_earned", "hearts_lost"]
 _LAST = ["streak_length_end_of_day"]
@@ -141,7 +137,7 @@ def _latest_day(members, events, sessions) -> Column:
     )
 
 
-def build_fact_user_daily(
+def busy_spans(
     users: DataFrame,
     events: DataFrame,
     sessions: DataFrame,
@@ -149,16 +145,14 @@ def build_fact_user_daily(
     active_event_names: Sequence[str] | None = None,
     date_min: str | None = None,
     date_max: str | None = None,
-    include_lifecycle: bool = True,
     sample_n_users: int | None = None,
     keep_user_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per user and day from signup on, with activity, sessions, progress and state.
+    """The fact table before its quiet days are filled in: one row per user and busy day, on which
+    something happened, standing for the days from `from_day` to `to_day`.
 
-    Events and sessions are first reduced to the user-days on which something happened. Only those
-    are joined and ordered per user; each then fills the quiet days up to the next one in place. The
-    dense table, users times days, comes out of the last projection and is never shuffled.
-    `keep_user_cols` appends user attributes, so that the fact can be grouped by them.
+    Events and sessions are reduced to user-days, and only those are joined and ordered per user.
+    Sums over the fact come from these rows without the users-by-days table, see `operators/sparse.py`.
     """
     require_columns(users, ["user_id", "signup_date"], "users")
     attributes = [c for c in ("variant", "is_premium_at_signup") if c in users.columns]
@@ -168,14 +162,14 @@ def build_fact_user_daily(
     if sample_n_users is not None:
         members = first_users(members, sample_n_users)
 
+    # Only reported days matter, also for the last one, so a build of a few days reads only their partitions.
+    events = only_days(events, date_min, date_max, day="event_date", moment="event_time")
+    sessions = only_days(sessions, date_min, date_max, day="session_date", moment="session_start")
     latest = None if date_max is not None else _latest_day(members, events, sessions)
     start, last = _reported_days(members, date_min, date_max, latest)
     reported = members.withColumns({"start": start, "last": last}).filter(
         F.col("start") <= F.col("last")
     )
-    # Only reported days matter, so a build of a few days reads only their partitions.
-    events = only_days(events, date_min, date_max, day="event_date", moment="event_time")
-    sessions = only_days(sessions, date_min, date_max, day="session_date", moment="session_start")
     features = daily_event_features(events, active_event_names=active_event_names).join(
         daily_session_features(sessions), ["user_id", "date"], "full"
     ).withColumnsRenamed({"user_id": "f_user", "date": "f_date"})
@@ -184,25 +178,38 @@ def build_fact_user_daily(
         (F.col("user_id") == F.col("f_user")) & F.col("f_date").between(F.col("start"), F.col("last")),
         "left",
     )
-    fact = _fill_quiet_days(busy, [*attributes, *kept], include_lifecycle)
-    return pick_columns(fact, [*FACT_COLUMNS, *kept])
+    at_signup = F.lit(None).cast("boolean") if "is_premium_at_signup" not in attributes else F.col("is_premium_at_signup")
+    return _link(busy).withColumn("is_premium_at_signup", at_signup)
 
 
-def _fill_quiet_days(busy: DataFrame, attributes: list[str], include_lifecycle: bool) -> DataFrame:
+def _link(busy: DataFrame) -> DataFrame:
     """Stretch each busy day to the day before the next one. The first busy day of a user also
     covers the quiet days before it; a user without busy days has one row with a null f_date."""
     per_user = W.partitionBy("user_id").orderBy("f_date")
     up_to_here = per_user.rowsBetween(W.unboundedPreceding, W.currentRow)
     before_here = per_user.rowsBetween(W.unboundedPreceding, -1)
     active_day = F.when(F.col("is_active") == 1, F.col("f_date"))
-    linked = busy.withColumns({
+    return busy.withColumns({
         "from_day": F.when(F.row_number().over(per_user) == 1, F.col("start")).otherwise(F.col("f_date")),
         "to_day": F.coalesce(F.date_sub(F.lead("f_date").over(per_user), 1), F.col("last")),
         "active_before": F.last(active_day, ignorenulls=True).over(before_here),
         "active_so_far": F.last(active_day, ignorenulls=True).over(up_to_here),
     })
-    days = linked.withColumn("date", F.explode(F.sequence("from_day", "to_day")))
 
+
+def spans_by_month(spans: DataFrame) -> DataFrame:
+    """Spans cut at month ends and dealt out by month, so that the days they stand for come out next to
+    the days they are written with. Only these sparse rows are shuffled."""
+    months = F.sequence(F.trunc("from_day", "MM"), F.trunc("to_day", "MM"), F.expr("INTERVAL 1 MONTH"))
+    cut = spans.withColumn("month", F.explode(months)).withColumns({
+        "from_day": F.greatest("from_day", "month"), "to_day": F.least("to_day", F.last_day("month")),
+    })
+    return cut.hint("rebalance", "month")
+
+
+def fact_of_spans(spans: DataFrame, keep_user_cols: Sequence[str] = (), include_lifecycle: bool = True) -> DataFrame:
+    """The fact table: every span filled with its days in place."""
+    days = spans.withColumn("date", F.explode(F.sequence("from_day", "to_day")))
     busy_today = F.col("date") == F.col("f_date")
     last_active = F.when(busy_today, F.col("active_before")).when(
         F.col("date") > F.col("f_date"), F.col("active_so_far")
@@ -213,15 +220,45 @@ def _fill_quiet_days(busy: DataFrame, attributes: list[str], include_lifecycle:
         state = state_of_day(
             F.col("date") == F.col("signup_date"), active, F.datediff("date", last_active)
         )
-    at_signup = (
-        F.col("is_premium_at_signup") if "is_premium_at_signup" in attributes
-        else F.lit(None).cast("boolean")
-    )
+    kept = [c for c in keep_user_cols if c not in FACT_COLUMNS]
     today = {c: F.coalesce(F.when(busy_today, F.col(c)), F.lit(0)) for c in [*_FLAGS, *_SUMS, *_LAST]}
-    return days.select(
-        "date", "user_id", "signup_date", *attributes,
+    fact = days.select(
+        "date", "user_id", "signup_date", *[c for c in ("variant",) if c in spans.columns], *kept,
         F.datediff("date", "signup_date").alias("days_since_signup"),
         *[column.alias(c) for c, column in today.items()],
-        F.coalesce(F.when(busy_today, F.col("is_premium")), at_signup, F.lit(False)).alias("is_premium"),
+        F.coalesce(
+            F.when(busy_today, F.col("is_premium")), "is_premium_at_signup", F.lit(False)).alias("is_premium"),
         state.alias("lifecycle_state"),
     )
+    return pick_columns(fact, [*FACT_COLUMNS, *kept])
+
+
+def last_fact_day(
+    users: DataFrame, events: DataFrame, sessions: DataFrame, date_min: str | None = None,
+    date_max: str | None = None,
+) -> Column:
+    """The last day of the fact table of these inputs, as a scalar column."""
+    if date_max is not None:
+        return as_date(date_max)
+    events = only_days(events, date_min, None, day="event_date", moment="event_time")
+    sessions = only_days(sessions, date_min, None, day="session_date", moment="session_start")
+    return _latest_day(unique_users(users), events, sessions)
+
+
+def build_fact_user_daily(
+    users: DataFrame,
+    events: DataFrame,
+    sessions: DataFrame,
+    *,
+    include_lifecycle: bool = True,
+    keep_user_cols: Sequence[str] = (),
+    **options,
+) -> DataFrame:
+    """One row per user and day from signup on, with activity, sessions, progress and state.
+
+    The dense table, users times days, comes out of the last projection and is never shuffled.
+    `keep_user_cols` appends user attributes, so that the fact can be grouped by them; the other options
+    are those of `busy_spans`.
+    """
+    spans = busy_spans(users, events, sessions, keep_user_cols=keep_user_cols, **options)
+    return fact_of_spans(spans, keep_user_cols, include_lifecycle)

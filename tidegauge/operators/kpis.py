@@ -6,19 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidegauge.functions.checks import require_columns
-from tidegauge.functions.scalars import safe_divide, strict_date
+from tidegauge.functions.scalars import divide_or_null, safe_divide, strict_date
 from tidegauge.operators.activity import compute_active_users
-from tidegauge.operators.prepare import group_keys, with_user_columns
+from tidegauge.operators.prepare import group_keys, unique_users, with_user_columns
 
 
 def daily_signups(users: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """date, keys, signups; rows with a null key are dropped."""
-    require_columns(users, ["user_id", "signup_date", *keys], "users")
-    dated = users.withColumn("date", strict_date(F.col("signup_date"), "signup_date"))
+    """date, keys, signups; a user counts once, on the earliest signup. Null keys are dropped."""
+    members = unique_users(users, list(keys))
     if keys:
-        dated = dated.dropna(subset=list(keys))
-    return dated.groupBy("date", *keys).agg(F.count_distinct("user_id").alias("signups"))
+        members = members.dropna(subset=list(keys))
+    return members.groupBy(F.col("signup_date").alias("date"), *keys).agg(F.count("user_id").alias("signups"))
 
 
 def build_agg_daily_kpis(
@@ -47,6 +45,28 @@ def build_agg_daily_kpis(
         F.sum(F.col("is_premium").cast("bigint")).alias("premium_users"),
         F.sum(F.col("is_active").cast("bigint")).alias("active_users"),
     )
+    return _with_actives(daily, users, events, keys, active_event_names)
+
+
+def agg_daily_kpis_of_days(
+    daily: DataFrame,
+    users: DataFrame,
+    events: DataFrame,
+    *,
+    group_cols: Sequence[str] | None = ("variant",),
+    active_event_names: Sequence[str] | None = None,
+) -> DataFrame:
+    """The same table from daily sums (`sparse.daily_sums`): the users-by-days table is not built."""
+    renamed = daily.select(
+        "date", *group_keys(group_cols), F.col("sessions_count").alias("sessions"),
+        divide_or_null(F.col("session_duration_sec"), F.col("user_days")).alias("avg_session_duration_sec"),
+        "lessons_completed", "xp_earned", "premium_users", "active_users",
+    )
+    return _with_actives(renamed, users, events, group_keys(group_cols), active_event_names)
+
+
+def _with_actives(daily, users, events, keys, active_event_names) -> DataFrame:
+    """Signups, active users and ratios beside the daily sums."""
     signup_keys = [k for k in keys if k in users.columns]
     active = compute_active_users(
         events, active_event_names=active_event_names, group_cols=keys, users=users

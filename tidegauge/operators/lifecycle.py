@@ -70,16 +70,18 @@ def compute_lifecycle_counts(
     group_cols: Sequence[str] | None = ("variant",),
     date_min: str | None = None,
     date_max: str | None = None,
+    history: bool = True,
 ) -> DataFrame:
     """date, state, users, keys: users per state for every day, group and state, zeros included.
 
     A user keeps one state over whole spans of days, so each active day is turned into the few spans
     up to the next active day and only their ends are counted. The user-by-day table is never
     built: the cost grows with active user-days, not with users times days. Activity before signup
-    or before `date_min` counts as history.
+    or before `date_min` counts as history, unless `history` is off: then states come from the
+    reported days alone, as in the fact table.
     """
     keys = group_keys(group_cols)
-    spans = _state_spans(events, users, keys, active_event_names, date_min, date_max)
+    spans = _state_spans(events, users, keys, active_event_names, date_min, date_max, history=history)
     ends = F.array(
         F.struct(F.col("start").alias("day"), F.lit(1).alias("change")),
         F.struct(F.col("stop").alias("day"), F.lit(-1).alias("change")),
@@ -136,7 +138,9 @@ def _state_spans(
     members = unique_users(users, keys)
     own = [k for k in keys if k in events.columns]
     options = dict(active_event_names=active_event_names, group_cols=own)
-    first_day, last_day = _bounds(members, active_user_days(events, **options), date_min, date_max)
+    # The last day cannot lie before date_min, nor the first after date_max.
+    reported = only_days(events, date_min, date_max, day="event_date", moment="event_time")
+    first_day, last_day = _bounds(members, active_user_days(reported, **options), date_min, date_max)
     # No state looks back further than 30 days: with older activity, or none, it is the same.
     oldest = None if date_min is None else F.date_sub(as_date(date_min), 31)
     recent = only_days(events, oldest, date_max, day="event_date", moment="event_time")
@@ -232,12 +236,12 @@ def build_agg_lifecycle_daily(
     fact_user_daily: DataFrame,
     *,
     group_cols: Sequence[str] | None = ("variant",),
-    unique_grain: bool = True,
+    unique_grain: bool = False,
 ) -> DataFrame:
     """date, state, keys, users: observed states only.
 
-    The fact has one row per user and day, so a plain count equals the distinct count and spares a
-    shuffle of the largest table. For a table without that grain pass `unique_grain=False`.
+    Users are counted distinctly. A fact built by this package has one row per user and day; there
+    `unique_grain=True` counts rows, which spares a shuffle of the largest table.
     """
     keys = group_keys(group_cols)
     count = F.count("user_id") if unique_grain else F.count_distinct("user_id")

@@ -303,11 +303,12 @@ def lesson_order_violations(events: DataFrame) -> DataFrame:
     """Sessions whose first completion comes before the first start.
 
     The two minima of a session come out of one aggregation; the self join of starts and
-    completions is not needed.
+    completions is not needed. Events without a session id belong to no session.
     """
     name, time = F.col("event_name"), F.col("event_time")
+    in_session = blank_to_null(F.col("session_id")).isNotNull()
     firsts = (
-        events.filter(name.isin("lesson_started", "lesson_completed"))
+        events.filter(name.isin("lesson_started", "lesson_completed") & in_session)
         .groupBy("user_id", "session_id")
         .agg(
             F.min(F.when(name == "lesson_started", time)).alias("t_started"),
@@ -317,6 +318,14 @@ def lesson_order_violations(events: DataFrame) -> DataFrame:
     return firsts.filter(F.col("t_completed") < F.col("t_started"))
 
 
+def check_lessons(events: DataFrame, lessons: DataFrame) -> DataFrame:
+    """Lesson flow events that name a lesson nobody knows."""
+    in_flow = events.filter(
+        F.col("event_name").isin(LESSON_FLOW_EVENTS) & blank_to_null(F.col("lesson_id")).isNotNull()
+    )
+    return check_reference(in_flow, "events", "lesson_id", lessons, "lesson_id", "lesson_exists")
+
+
 def quality_report(
     users: DataFrame,
     sessions: DataFrame,
@@ -349,10 +358,7 @@ def quality_report(
             _count(lesson_order_violations(events), "events", "completed_after_started"),
         ]
     if lessons is not None and "lesson_id" in events.columns:
-        in_flow = events.filter(
-            F.col("event_name").isin(LESSON_FLOW_EVENTS) & blank_to_null(F.col("lesson_id")).isNotNull()
-        )
-        parts.append(check_reference(in_flow, "events", "lesson_id", lessons, "lesson_id", "lesson_exists"))
+        parts.append(check_lessons(events, lessons))
     return _union(parts)
 
 

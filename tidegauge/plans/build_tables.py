@@ -7,18 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.functions.checks import validate_minimum_columns
-from tidegauge.operators.fact import FACT_COLUMNS, build_fact_user_daily
+from tidegauge.operators.fact import (
+    FACT_COLUMNS,
+    busy_spans,
+    fact_of_spans,
+    last_fact_day,
+    spans_by_month,
+)
 from tidegauge.operators.funnel import build_agg_funnel_daily
-from tidegauge.operators.kpis import build_agg_daily_kpis
-from tidegauge.operators.lifecycle import build_agg_lifecycle_daily
+from tidegauge.operators.kpis import agg_daily_kpis_of_days
 from tidegauge.operators.prepare import group_keys, pick_columns
 from tidegauge.operators.retention import build_agg_retention_cohort
-from tidegauge.session import materialize
+from tidegauge.operators.sparse import agg_lifecycle_of_days, daily_sums
+from tidegauge.session import has_checkpoint_dir, materialize
 from tidegauge.sources.files import (
     PARTITIONED,
     checked_format,
     read_raw_tables,
-    read_table,
     table_path,
     write_table,
     write_tables,
@@ -28,19 +33,25 @@ DEFAULT_RETENTION_DAYS = (1, 7, 30)
 DEFAULT_GROUP_COLS = ("variant",)
 
 
-def _aggregates(fact, users, events, *, active_event_names, retention_days, group_cols):
-    """The four aggregates, each from the fact or from the raw tables."""
+def _aggregates(
+    spans, users, events, sessions, *, active_event_names, retention_days, group_cols, date_min, date_max
+):
+    """The four aggregates, from busy days and spans of states or from the raw tables. None of them
+    builds the users-by-days table."""
     keys = group_keys(group_cols)
     return {
-        "agg_daily_kpis": build_agg_daily_kpis(
-            fact, users, events, group_cols=keys, active_event_names=active_event_names
+        "agg_daily_kpis": agg_daily_kpis_of_days(
+            daily_sums(spans, keys), users, events, group_cols=keys, active_event_names=active_event_names
         ),
         "agg_retention_cohort": build_agg_retention_cohort(
             users, events, n_days=retention_days, active_event_names=active_event_names,
             by_variant="variant" in keys,
         ),
         "agg_funnel_daily": build_agg_funnel_daily(events, group_cols=keys),
-        "agg_lifecycle_daily": build_agg_lifecycle_daily(fact, group_cols=keys),
+        "agg_lifecycle_daily": agg_lifecycle_of_days(
+            users, events, group_cols=keys, active_event_names=active_event_names, date_min=date_min,
+            date_max=last_fact_day(users, events, sessions, date_min, date_max),
+        ),
     }
 
 
@@ -56,21 +67,22 @@ def build_dashboard_tables(
     date_max: str | None = None,
     materialize_fact: bool = False,
 ) -> dict[str, DataFrame]:
-    """The five tables by name. They are lazy; two of them read the fact. With `materialize_fact` it
-    is computed once into the checkpoint folder of the cluster, else once per table that needs it.
-    Keys that are user attributes are kept in the fact, so that no join on it is needed."""
+    """The five tables by name. They are lazy; two of them come from the busy days of the users. With
+    `materialize_fact` these are computed once into the checkpoint folder of the cluster, else once per
+    table. Keys that are user attributes are kept beside them, so that no join on the fact is needed."""
     keys = group_keys(group_cols)
-    fact = build_fact_user_daily(
+    kept = [k for k in keys if k not in FACT_COLUMNS]
+    spans = busy_spans(
         users, events, sessions, active_event_names=active_event_names, date_min=date_min,
-        date_max=date_max, keep_user_cols=[k for k in keys if k not in FACT_COLUMNS],
+        date_max=date_max, keep_user_cols=kept,
     )
     if materialize_fact:
-        fact = materialize(fact)
+        spans = materialize(spans)
     aggregates = _aggregates(
-        fact, users, events, active_event_names=active_event_names,
-        retention_days=retention_days, group_cols=keys,
+        spans, users, events, sessions, active_event_names=active_event_names,
+        retention_days=retention_days, group_cols=keys, date_min=date_min, date_max=date_max,
     )
-    return {"fact_user_daily": pick_columns(fact, FACT_COLUMNS), **aggregates}
+    return {"fact_user_daily": pick_columns(fact_of_spans(spans), FACT_COLUMNS), **aggregates}
 
 
 def build_all_derived_tables(
@@ -91,8 +103,8 @@ def build_all_derived_tables(
 
 def run_build(
     spark: SparkSession,
-    data_dir: str = "data",
-    out_dir: str = "data/derived",
+    data_dir: str,
+    out_dir: str,
     *,
     retention_days: Sequence[int] = DEFAULT_RETENTION_DAYS,
     group_cols: Sequence[str] = DEFAULT_GROUP_COLS,
@@ -103,22 +115,26 @@ def run_build(
 ) -> dict[str, str]:
     """Read the raw tables, check them, and write the five derived tables; returns their paths.
 
-    The fact is written first and the KPI and lifecycle tables read it back from there: it is
-    computed once, and a lost executor costs no more than the tasks it ran.
+    The busy days are kept in the checkpoint folder if the cluster names one, so that a lost executor
+    costs no more than the tasks it ran. The fact is filled from them month by month as it is written;
+    its dense rows are ordered within their tasks but not shuffled.
     """
     name = checked_format(file_format)
     users, sessions, events, _ = read_raw_tables(spark, data_dir, raw_format)
     validate_minimum_columns(users, sessions, events)
     keys = group_keys(group_cols)
-    fact = build_fact_user_daily(
+    spans = busy_spans(
         users, events, sessions, date_min=date_min, date_max=date_max,
         keep_user_cols=[k for k in keys if k not in FACT_COLUMNS],
     )
-    path = table_path(out_dir, "fact_user_daily", name)
-    write_table(fact, path, name, partition_by=PARTITIONED["fact_user_daily"])
-    written = read_table(spark, path, name, fact.schema)
+    if has_checkpoint_dir(spark):
+        spans = materialize(spans)
+    fact = fact_of_spans(spans_by_month(spans))
+    split = PARTITIONED["fact_user_daily"]
+    write_table(fact, table_path(out_dir, "fact_user_daily", name), name, partition_by=split, balanced=True)
     aggregates = _aggregates(
-        written, users, events, active_event_names=None, retention_days=retention_days, group_cols=keys
+        spans, users, events, sessions, active_event_names=None, retention_days=retention_days,
+        group_cols=keys, date_min=date_min, date_max=date_max,
     )
     write_tables(aggregates, out_dir, file_format=name)
     return {

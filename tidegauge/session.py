@@ -28,17 +28,21 @@ def spark_session(app_name: str = "tidegauge", master: str | None = None, **sett
     return builder.getOrCreate()
 
 
-def use_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Point the context at the folder the cluster names; `fallback` only where none is set."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or fallback
+def has_checkpoint_dir(spark: SparkSession) -> bool:
+    return bool(spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir())
+
+
+def use_checkpoint_dir(spark: SparkSession) -> str:
+    """Point the context at the shared folder the cluster names."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
-        raise ValueError(f"{CHECKPOINT_SETTING} is not set and no fallback folder was given")
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def materialize(df: DataFrame, fallback: str | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint, so that a lost executor loses no finished work."""
-    use_checkpoint_dir(df.sparkSession, fallback)
+    use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
