@@ -1,5 +1,8 @@
 """Rows that were once lost or counted twice, and plans that once built the users-by-days table."""
 
+import csv
+import glob
+import os
 import re
 
 import pytest
@@ -41,6 +44,34 @@ def test_a_repeated_fact_row_counts_its_user_once(spark):
     assert table(lifecycle.build_agg_lifecycle_daily(rows), "users") == {(1,)}
 
 
+def test_the_last_event_of_a_day_by_time_and_then_id(spark):
+    rows = [
+        (5, "2024-01-01 10:00:00", 1, True), (9, "2024-01-01 09:00:00", 2, False), (7, "2024-01-01 10:00:00", None, None),
+        (-3, "1969-01-02 10:00:00", 4, True), (-9, "1969-01-02 10:00:00", 5, False), (1, "2024-01-03 10:00:00", 6, True),
+        (0, None, 8, False)]
+    events = spark.createDataFrame(rows, "event_id bigint, t string, streak_length int, is_premium boolean").select(
+        "event_id", F.lit(1).alias("user_id"), F.col("t").cast("timestamp_ntz").alias("event_time"),
+        F.coalesce(F.to_date("t"), F.lit("2024-01-03").cast("date")).alias("event_date"), F.lit("x").alias("event_name"),
+        F.lit(0).alias("xp_delta"), F.lit(0).alias("hearts_delta"), "streak_length", "is_premium")
+    columns = ["date", "streak_length_end_of_day", "is_premium"]
+    numbered = fact.daily_event_features(events)
+    named = fact.daily_event_features(events.withColumn("event_id", F.format_string("%05d", F.col("event_id") + 100)))
+    assert table(numbered, *columns) == table(named, *columns) == {
+        (day("2024-01-01"), None, None), (day("1969-01-02"), 4, True), (day("2024-01-03"), 8, False)}
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_guardrails_read_the_events_once(product, tmp_path, spark):
+    users, events, sessions = product
+    path = str(tmp_path / "events")
+    events.write.parquet(path)
+    out = experiment.guardrails(sessions, spark.read.parquet(path), users)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    assert out.count() > 0
+
+
 @pytest.fixture
 def product(frames):
     users = frames.users((1, "2024-01-01", "control", True), (2, "2024-01-03", "treatment"), (3, "2024-01-02", "control"))
@@ -123,3 +154,29 @@ def test_bounds_read_only_the_days_that_can_matter(product, tmp_path, spark):
     plan = fact.build_fact_user_daily(users, stored, sessions, date_min="2024-01-10")._jdf.queryExecution().executedPlan().toString()
     scans = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
     assert scans and all("event_date" in s for s in scans)
+
+
+@pytest.fixture
+def published(spark):
+    """Published daily tables by their columns, from a folder named by GOLDEN_TABLES."""
+    folder, found = os.environ.get("GOLDEN_TABLES"), {}
+    for path in sorted(glob.glob(f"{folder}/*.csv")) if folder else ():
+        with open(path, newline="") as lines:
+            rows = list(csv.DictReader(lines))
+        found.setdefault(tuple(rows[0]), rows)
+    arms, summary = ("event_date", "control", "treatment"), ("metric", "control", "treatment", "diff_pct", "window")
+    if arms not in found or summary not in found:
+        pytest.skip("no published tables")
+    daily = spark.createDataFrame(
+        [(day(r["event_date"]), int(r["control"]), int(r["treatment"])) for r in found[arms]],
+        "date date, control bigint, treatment bigint")
+    return daily, found[summary]
+
+
+def test_published_numbers(published):
+    daily, summary = published
+    want = {(r["window"], float(r["control"]), float(r["treatment"]), float(r["diff_pct"])) for r in summary if r["metric"] == "dau"}
+    got = experiment.pre_post_summary({"dau": daily}, "2025-04-01")
+    assert table(got, "window", "control", "treatment", "diff_pct") == want
+    row = experiment.aa_check(daily, "2025-04-01").collect()[0]
+    assert row["days"] == 82 and not (row["mean_ok"] or row["gap_ok"] or row["corr_ok"] or row["passed"])

@@ -197,6 +197,47 @@ def hearts_lost_per_user(
     return daily.select("date", *keys, rate.alias("hearts_lost_per_user"))
 
 
+def event_guardrails(
+    events: DataFrame,
+    users: DataFrame | None = None,
+    *,
+    group_cols: Sequence[str] | None = None,
+    active_event_names: Sequence[str] | None = None,
+    shown: str = "paywall_shown",
+    bought: str = "purchase",
+) -> DataFrame:
+    """date, keys, lesson_completion_rate, hearts_lost_per_user and purchase_conversion, as the functions
+    above define them, from one reduction of the events to user-days."""
+    keys = group_keys(group_cols)
+    own = [k for k in keys if k in events.columns]
+    name, known = F.col("event_name"), F.col("user_id").isNotNull()
+
+    def times(event) -> Column:
+        return F.count_if(name == event)
+
+    def did(condition) -> Column:
+        return F.max(flag(condition & known))
+
+    per_user = prep_events(events).groupBy(F.col("event_date").alias("date"), "user_id", *own).agg(
+        times("lesson_started").alias("started"), times("lesson_completed").alias("completed"),
+        F.sum(F.when(known, clip_at_zero(-F.col("hearts_delta")))).alias("lost"),
+        did(name.isin(active_names(active_event_names))).alias("active"),
+        did(name == shown).alias("saw"), did(name == bought).alias("paid"),
+    )
+    keyed = with_user_columns(per_user, users, keys, "events")
+    if keys:
+        keyed = keyed.dropna(subset=keys)
+    daily = keyed.groupBy("date", *keys).agg(
+        *[F.sum(c).alias(c) for c in ("started", "completed", "lost", "active", "saw")],
+        F.sum(F.col("saw") * F.col("paid")).alias("buyers"), F.max(flag(known)).alias("any_user"),
+    ).filter((F.col("any_user") == 1) | (F.col("started") + F.col("completed") > 0))
+    return daily.select(
+        "date", *keys, divide_or_null(F.col("completed"), F.col("started")).alias("lesson_completion_rate"),
+        divide_or_null(F.col("lost"), F.col("active")).alias("hearts_lost_per_user"),
+        divide_or_null(F.col("buyers"), F.col("saw")).alias("purchase_conversion"),
+    )
+
+
 def hearts_per_active_day(fact_user_daily: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Hearts lost over active users, per day, from the fact table."""
     sums = fact_user_daily.groupBy("date", *group_cols).agg(

@@ -10,12 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidegauge.functions.checks import require_columns
 from tidegauge.functions.scalars import divide_or_null, lift, strict_date, symmetric_gap
 from tidegauge.operators.activity import rolling_mean
-from tidegauge.operators.dashboards import (
-    hearts_lost_per_user,
-    lesson_completion_rate,
-    purchase_conversion,
-    session_duration,
-)
+from tidegauge.operators.dashboards import event_guardrails, session_duration
 from tidegauge.operators.prepare import (
     active_user_days,
     as_date,
@@ -294,17 +289,12 @@ def guardrails(
     bought: str = "purchase",
 ) -> DataFrame:
     """date, keys and the four guardrails: session duration, completions per start, hearts lost per
-    active user and purchases per user who saw the paywall that day."""
+    active user and purchases per user who saw the paywall that day. The events are read once."""
     keys = group_keys(group_cols)
-    parts = [
-        session_duration(sessions, users, group_cols=keys),
-        lesson_completion_rate(events, users, group_cols=keys),
-        hearts_lost_per_user(events, users, group_cols=keys, active_event_names=active_event_names),
-        purchase_conversion(events, users, group_cols=keys, shown=shown, bought=bought),
-    ]
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.join(part, ["date", *keys], "full")
+    of_events = event_guardrails(
+        events, users, group_cols=keys, active_event_names=active_event_names, shown=shown, bought=bought
+    )
+    joined = session_duration(sessions, users, group_cols=keys).join(of_events, ["date", *keys], "full")
     return joined.select("date", *keys, *GUARDRAILS)
 
 

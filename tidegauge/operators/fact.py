@@ -66,6 +66,20 @@ def build_user_date_spine(
     )
 
 
+def _whole_ids(events: DataFrame) -> bool:
+    return dict(events.dtypes).get("event_id") in ("tinyint", "smallint", "int", "bigint")
+
+
+def _time_and_id() -> Column:
+    """Time and then id of an event as one decimal, unknown times last: a maximum over it is a hash
+    aggregation, over a struct a sort aggregation."""
+    micros = F.timestamp_diff(
+        "MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("event_time").cast("timestamp_ntz"))
+    time = F.coalesce(micros, F.lit(10**18)).cast("decimal(19,0)") * F.lit("20000000000000000000").cast("decimal(20,0)")
+    number = F.coalesce(F.col("event_id").cast("bigint"), F.lit(-(2**63))).cast("decimal(19,0)")
+    return (time + number).cast("decimal(38,0)")
+
+
 def daily_event_features(
     events: DataFrame, *, active_event_names: Sequence[str] | None = None
 ) -> DataFrame:
@@ -77,7 +91,10 @@ def daily_event_features(
     ev = prep_events(events, active_event_names=active_event_names)
     name = F.col("event_name")
     completed = flag(name == "lesson_completed")
-    if "event_time" in events.columns:
+    if "event_time" in events.columns and _whole_ids(events):
+        order = _time_and_id()
+        streak, premium = (F.max_by(c, order) for c in ("streak_length", "is_premium"))
+    elif "event_time" in events.columns:
         order = [F.col("event_time").isNull(), F.col("event_time")]
         order += [F.col("event_id")] if "event_id" in events.columns else []
         latest = F.max(F.struct(

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.schemas import DERIVED_TABLES, RAW_TABLES
 from tidegauge.sources.files import LAYOUTS, chosen_tables, read_table, require_paths, table_path
 from tidegauge.sources.tables import (
     DEFAULT_BATCH,
+    ROWS,
     analyze_table,
-    jdbc_options,
+    counted,
+    jdbc_count_options,
     loaded_rows,
     qualified,
     save_catalog_table,
@@ -34,24 +36,25 @@ def load_tables(
     analyze: bool = False,
 ) -> DataFrame:
     """Load the chosen tables; neither switch means raw and derived. Returns the row counts of the
-    files and of the loaded tables. Statistics are gathered for catalog tables only."""
+    files, counted while they are written, and of the loaded tables, counted where they are. Statistics
+    are gathered for catalog tables only."""
     write_mode(if_exists)
     names = chosen_tables(include_raw, include_derived)
     folders = {**dict.fromkeys(RAW_TABLES, raw_dir), **dict.fromkeys(DERIVED_TABLES, derived_dir)}
     paths = {n: table_path(folders[n], n, file_format) for n in names}
     require_paths(spark, paths, file_format)
 
-    sources, loaded = {}, {}
+    written, loaded = {}, {}
     for name in names:
-        df = read_table(spark, paths[name], file_format, LAYOUTS[name], lenient_dates=True)
-        sources[name] = df
+        df, seen = counted(read_table(spark, paths[name], file_format, LAYOUTS[name], lenient_dates=True))
         if jdbc_url is None:
             save_catalog_table(df, name, schema=schema, if_exists=if_exists)
             if analyze:
                 analyze_table(spark, name, schema)
-            loaded[name] = spark.table(qualified(name, schema))
+            loaded[name] = spark.table(qualified(name, schema)).agg(F.count(F.lit(1)).alias(ROWS))
         else:
             target = dict(url=jdbc_url, table=name, schema=schema, **(jdbc_properties or {}))
             save_jdbc_table(df, if_exists=if_exists, chunksize=chunksize, **target)
-            loaded[name] = spark.read.format("jdbc").options(**jdbc_options(**target)).load()
-    return loaded_rows(sources, loaded)
+            loaded[name] = spark.read.format("jdbc").options(**jdbc_count_options(**target)).load()
+        written[name] = seen.get[ROWS]
+    return loaded_rows(spark, written, loaded)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidegauge.operators.quality import row_counts
 from tidegauge.schemas import LAYOUTS_BY_GROUP
 
 DEFAULT_BATCH = 50_000
+ROWS = "row_total"
 WRITE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 
 
@@ -52,8 +53,18 @@ def jdbc_options(
     }
 
 
+def jdbc_count_options(
+    url: str, table: str, *, schema: str | None = None, chunksize: int = 0, connections: int = 0, **properties: str,
+) -> dict[str, str]:
+    """Options of a read that lets the database count the rows."""
+    query = f"SELECT count(*) AS {ROWS} FROM {qualified(table, schema)}"
+    return {"url": url, "query": query, **{k: str(v) for k, v in properties.items()}}
+
+
 def save_jdbc_table(df: DataFrame, *, if_exists: str = "replace", **options) -> None:
-    df.write.format("jdbc").options(**jdbc_options(**options)).mode(write_mode(if_exists)).save()
+    """Insert a table. Only the insert runs with the bounded number of connections: the rows are
+    rebalanced before it, so that what comes before keeps its own parallelism."""
+    df.hint("rebalance").write.format("jdbc").options(**jdbc_options(**options)).mode(write_mode(if_exists)).save()
 
 
 def analyze_table(spark: SparkSession, table: str, schema: str | None = None) -> None:
@@ -61,10 +72,19 @@ def analyze_table(spark: SparkSession, table: str, schema: str | None = None) ->
     spark.sql(f"ANALYZE TABLE {qualified(table, schema)} COMPUTE STATISTICS")
 
 
-def loaded_rows(sources: Mapping[str, DataFrame], loaded: Mapping[str, DataFrame]) -> DataFrame:
-    """table, source_rows, loaded_rows, matches."""
-    before = row_counts(dict(sources)).withColumnRenamed("rows", "source_rows")
-    after = row_counts(dict(loaded)).withColumnRenamed("rows", "loaded_rows")
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame and its number of rows, known once it has been written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias(ROWS)), seen
+
+
+def loaded_rows(spark: SparkSession, written: Mapping[str, int], loaded: Mapping[str, DataFrame]) -> DataFrame:
+    """table, source_rows, loaded_rows, matches. `loaded` has a one-row count per table."""
+    before = spark.createDataFrame(list(written.items()), "table string, source_rows bigint")
+    after = reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("table"), F.col(ROWS).cast("bigint").alias("loaded_rows"))
+        for name, df in loaded.items()
+    ])
     return before.join(after, "table", "full").withColumn(
         "matches", F.col("source_rows").eqNullSafe(F.col("loaded_rows"))
     )
