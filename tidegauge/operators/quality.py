@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.scalars import blank_to_null, flag, is_one_of, seconds_between
 from tidegauge.operators.prepare import active_names
@@ -235,18 +235,36 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def distribution(df: DataFrame, value: Column | str, percentages: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row: count, mean, std, min, exact percentiles p25.. and max.
 
-    The exact percentile keeps one counter per distinct value, so it is meant for whole seconds or
-    daily values, not for a continuous measure of the raw events.
+    Values are counted first, and ranks come from the running count over the distinct values. These pass
+    one sorted window, so it is meant for whole seconds or daily values, not for a continuous measure
+    of the raw events.
     """
     column = F.col(value) if isinstance(value, str) else value
-    v = F.col("v")
-    return df.select(column.cast("double").alias("v")).agg(
-        F.count(v).alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        *[F.percentile(v, p).alias(f"p{round(p * 100)}") for p in percentages],
-        F.max(v).alias("max"),
+    counted = df.select(column.cast("double").alias("v")).filter("v is not null").groupBy("v").agg(
+        F.count(F.lit(1)).alias("n"))
+    everything = W.partitionBy()
+    up_to_here = W.orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counted.select(
+        "v", "n", F.sum("n").over(up_to_here).alias("seen"), F.sum("n").over(everything).alias("total"),
+        (F.sum(F.col("v") * F.col("n")).over(everything) / F.sum("n").over(everything)).alias("mean"),
+    )
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("seen") > rank, F.col("v")))
+
+    def percentile(p: float) -> Column:
+        place = F.lit(float(p)) * (F.col("total") - 1)
+        low, high, share = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
+        return low + (high - low) * share
+
+    spread = F.sum(F.col("n") * F.pow(F.col("v") - F.col("mean"), 2))
+    return ranked.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        F.max("mean").alias("mean"),
+        F.when(F.sum("n") > 1, F.sqrt(spread / (F.sum("n") - 1))).alias("std"),
+        F.min("v").alias("min"),
+        *[percentile(p).alias(f"p{round(p * 100)}") for p in percentages],
+        F.max("v").alias("max"),
     )
 
 
