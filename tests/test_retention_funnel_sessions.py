@@ -56,11 +56,21 @@ def test_two_event_variants_on_one_day_do_not_inflate(frames):
     assert table(got, "retained_users", "cohort_size") == {(1, 1)}
 
 
-def test_events_are_shuffled_once_for_retention(cohort):
+def test_events_are_shuffled_once_for_retention(spark, cohort, tmp_path):
     """The probes meet the distinct user-days in the partitioning these already have."""
-    got = retention.compute_retention(*cohort, [1, 7])
-    plan = got.hint("merge")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Join LeftOuter") == 1 and "Explode" in plan or "explode" in plan
+    users, events = cohort
+    path = str(tmp_path / "events")
+    events.write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = retention.compute_retention(users, spark.read.parquet(path), [1, 7], drop_incomplete=False)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The right side of the join comes last: the user-days of the events.
+    right = plan[plan.rindex("Sort [user_id"):]
+    assert right.count("FileScan parquet") == 1 and right.count("Exchange") == 1
 
 
 def test_funnel_by_date(frames):

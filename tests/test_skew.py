@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators import engagement, quality
+from tidegauge.operators.prepare import prep_sessions, with_user_columns
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -52,3 +53,28 @@ def test_slots_of_a_hot_user_are_reduced_before_the_window(skewed):
     starts = engagement._session_starts(skewed, "30 minutes", "event_time")
     assert starts.filter("user_id = 0").count() < 300
     assert starts.agg(F.sum("events")).first()[0] == ROWS
+
+
+def test_events_of_a_hot_session_are_split(spark, skewed):
+    events = skewed.withColumn("session_id", F.col("user_id").cast("string"))
+    start = F.lit("2025-01-01").cast("timestamp_ntz")
+    sessions = spark.range(5000).select(
+        F.col("id").cast("string").alias("session_id"), start.alias("session_start"), start.alias("session_end"))
+    met = quality.events_with_window(events, sessions).agg(F.count("session_start").alias("n"), F.max("event_time"))
+    assert "skew=true" in _final_plan(met) and met.first()["n"] == ROWS
+
+
+def test_sessions_of_a_hot_user_are_split_when_keys_are_joined(spark, skewed):
+    sessions = skewed.select(
+        F.col("event_id").cast("string").alias("session_id"), "user_id", F.col("event_time").alias("session_start"))
+    users = spark.range(5000).select(F.col("id").alias("user_id"), F.lit("control").alias("variant"))
+    keyed = with_user_columns(prep_sessions(sessions), users, ["variant"], "sessions").agg(
+        F.count("variant").alias("n"), F.max("session_id"), F.max("session_start"))
+    assert "skew=true" in _final_plan(keyed) and keyed.first()["n"] == ROWS
+
+
+def test_facts_of_a_hot_user_are_split_against_signups(spark, skewed):
+    later = F.lit("2030-01-01").cast("timestamp_ntz")
+    users = spark.range(5000).select(F.col("id").alias("user_id"), later.alias("signup_time"))
+    early = quality.before_signup(skewed, users, "event_time").agg(F.count("event_id").alias("n"), F.max("event_time"))
+    assert "skew=true" in _final_plan(early) and early.first()["n"] == ROWS
