@@ -21,14 +21,32 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.llm.common import quoted
+from tidegauge.llm.common import quoted, small_batches
 
 _LEAF = 6  # bytes that are merged without halving
 _SHORT = 48  # bytes that are merged without a heap
-_PIECES = 300_000  # encoded pieces a worker remembers
+_KNOWN = 100_000  # entries of each generation of what a worker remembers
 _LONG = 1_000_000  # characters from which pieces are not listed at once
 
 
+class _Recent(dict):
+    """A bounded memory: when it is full, it becomes the older generation, and what is used again comes back."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= _KNOWN:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Encodes and decodes bytes by a rank file."""
 
@@ -38,9 +56,9 @@ class Encoder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.split = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[bytes, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.known = _Recent(self.piece)
+        self.parts = _Recent(self.merge)
+        self.pairs = _Recent(self._stable)
 
     def merge(self, data: bytes) -> tuple[int, ...]:
         """Plain merging: the pair of lowest rank first, of equal ones the leftmost."""
@@ -91,29 +109,23 @@ class Encoder:
             at = end[at]
         return tuple(out)
 
-    def stable(self, left: int, right: int) -> bool:
+    def _stable(self, pair: tuple[int, int]) -> bool:
         """Whether two tokens stay as they are when they stand side by side."""
-        key = left, right
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > _PIECES:
-                self.pairs.clear()
-            found = self.pairs[key] = self.merge(self.tokens[left] + self.tokens[right]) == key
-        return found
+        return self.merge(self.tokens[pair[0]] + self.tokens[pair[1]]) == pair
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The tokens of two encoded neighbours together."""
         if not left or not right:
             return left or right
-        if self.stable(left[-1], right[0]):
+        if self.pairs[left[-1], right[0]]:
             return left + right
         take_left, take_right = 1, 1
         while True:
             head, tail = left[: len(left) - take_left], right[take_right:]
             window = b"".join(map(self.tokens.__getitem__, left[len(left) - take_left :] + right[:take_right]))
             middle = self.merge(window)
-            loose_left = bool(head) and not self.stable(head[-1], middle[0])
-            loose_right = bool(tail) and not self.stable(middle[-1], tail[0])
+            loose_left = bool(head) and not self.pairs[head[-1], middle[0]]
+            loose_right = bool(tail) and not self.pairs[middle[-1], tail[0]]
             if not loose_left and not loose_right:
                 return head + middle + tail
             take_left = min(len(left), 2 * take_left) if loose_left else take_left
@@ -123,12 +135,7 @@ class Encoder:
         """Halves recursively, then joins."""
         n = len(data)
         if n <= _LEAF:
-            found = self.parts.get(data)
-            if found is None:
-                if len(self.parts) > _PIECES:
-                    self.parts.clear()
-                found = self.parts[data] = self.merge(data)
-            return found
+            return self.parts[data]
         return self.join(self.tree(data[: n // 2]), self.tree(data[n // 2 :]))
 
     def piece(self, piece: str) -> bytes:
@@ -139,18 +146,12 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        known, out = self.known, []
-        pieces = self.split.findall(text) if len(text) < _LONG else (m.group() for m in self.split.finditer(text))
-        for piece in pieces:
-            packed = known.get(piece)
-            if packed is None:
-                packed = self.piece(piece)
-                if len(piece) <= 32:
-                    if len(known) >= _PIECES:
-                        known.clear()
-                    known[piece] = packed
-            out.append(packed)
-        return b"".join(out)
+        known = self.known
+        if len(text) < _LONG:
+            pieces = self.split.findall(text)
+        else:
+            pieces = (m.group() for m in self.split.finditer(text))
+        return b"".join(known[p] if len(p) <= 32 else self.piece(p) for p in pieces)
 
     def decode(self, packed: bytes) -> bytes:
         ids = struct.unpack(f"<{len(packed) // 4}I", packed)
@@ -195,5 +196,6 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
 def tokenize(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """The documents with `ids` (packed) and `n_tokens`. Nothing is shuffled; no row is added or removed.
     Null and empty texts have no tokens; texts of any length are encoded whole."""
+    small_batches(docs.sparkSession)
     return docs.withColumn("ids", encoded(quoted(text_col).cast("string"), path, pattern)).withColumn(
         "n_tokens", (F.length("ids") / 4).cast("long"))

@@ -32,6 +32,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded rows and bytes for the rest of the session, as whole texts go through them:
+    the defaults let each Python worker hold some hundreds of megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 _shipped: set[str] = set()
 
 

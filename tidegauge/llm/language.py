@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidegauge.llm.common import fresh, quoted
+from tidegauge.llm.common import fresh, quoted, small_batches
 
 WINDOW = 128  # bytes read as one sequence
 SAMPLE_PER_LANGUAGE = 400  # documents; the bound of the training sample
@@ -219,6 +219,7 @@ def identify(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame
     """The documents with `lang_pred` and `score`. A null text, or one without a letter, is `und` with score
     0; so is every text if no language was learned. No row is added or removed; columns of these names are
     replaced."""
+    small_batches(docs.sparkSession)
     @F.pandas_udf("lang_pred string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:

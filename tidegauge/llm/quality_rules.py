@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidegauge.llm.common import quoted
+from tidegauge.llm.common import quoted, small_batches
 
 # Symbols that are counted.
 SYMBOLS = b"#*$%&|<>"
@@ -119,6 +119,7 @@ def _within(condition: str, prefix: str) -> str:
 def ledger(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The documents with `measures` (a struct) and `failed`, the bits of the rules that they fail. Null
     and empty texts measure zero. No rows are added or removed."""
+    small_batches(docs.sparkSession)
     measured = docs.withColumn("measures", measurements(quoted(text_col).cast("string")))
     return measured.withColumn("failed", _failure_bits(rules, "measures"))
 
@@ -150,6 +151,7 @@ def ablation(entries: DataFrame, policy: str = POLICY, rules: Sequence[Rule] = R
 def passing(docs: DataFrame, text_col: str = "text", policy: str = POLICY) -> DataFrame:
     """The documents that a policy keeps, with their own columns."""
     failed = _failure_bits(RULES, "measures")
+    small_batches(docs.sparkSession)
     measured = docs.select(
         F.struct(*[quoted(c) for c in docs.columns]).alias("doc"),
         measurements(quoted(text_col).cast("string")).alias("measures"))
