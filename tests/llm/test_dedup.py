@@ -66,7 +66,10 @@ def test_near_odd_rows(edge_docs, no_docs):
     assert near_dup.near_groups(no_docs).count() == near_dup.drop_near_copies(no_docs).count() == 0
 
 
-def test_near_group_with_chains_and_a_shared_passage(spark):
+@pytest.mark.parametrize("direct", [near_dup._MEMBERS, 0])
+def test_near_group_with_chains_and_a_shared_passage(spark, monkeypatch, direct):
+    """With no bucket compared directly, all that is left goes through the prefixes."""
+    monkeypatch.setattr(near_dup, "_MEMBERS", direct)
     rng = np.random.default_rng(5)
     word = lambda n: " ".join(f"w{x}" for x in rng.integers(10**6, size=n))
     passage = word(60)
@@ -95,7 +98,7 @@ def test_sketch_is_filled_and_close_to_the_similarity():
 
 
 def test_components_of_a_long_chain(spark):
-    nodes = spark.range(300).withColumnRenamed("id", "node")
+    nodes = spark.range(300).select(F.col("id").alias("node"), F.col("id").alias("label"))
     links = spark.range(299).select(F.col("id").alias("b"), (F.col("id") + 1).alias("a")).where("a != 150")
     labels = near_dup.components(nodes, links)
     assert labels.count() == 300

@@ -8,7 +8,8 @@ work is near the size of the set, and the share of equal coordinates is concentr
 
 Classes that agree on all coordinates of a band meet in a bucket. A bucket links its members to its
 smallest one, not to each other; links are confirmed on the full sets, and confirmed links are contracted.
-Only buckets that then still hold several components compare members across these (see `_rest`).
+Only buckets that then still hold several components compare members across these (see `_rest_links`),
+the large ones in blocks or after prefix filtering, which lose no pair either.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidegauge.llm.common import fresh, quoted, stored
+from tidegauge.llm.common import fresh, quoted, small_batches, stored
 
 SHINGLE = 5
 SIMILAR = 75  # per cent of the union
@@ -32,6 +33,9 @@ COORDS = ROWS * BANDS
 # With these, two sets of similarity 0.75 miss all bands once in 12,000 pairs, of 0.8 once in 2 million.
 
 _WORDS = 300_000  # words whose hash a worker remembers
+_MEMBERS = 16  # of a bucket that compares its members directly
+_BLOCK = 128  # members, or strangers, that are compared in one group
+_FREQUENT = 20_000  # shingles that are put last in the order of prefixes
 _HASH_WORD = 0x9E3779B97F4A7C15
 
 
@@ -151,14 +155,17 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInPandas(_verified, "a bigint, b bigint")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label) for every row of `nodes`: linked nodes share a label. Each round every node joins its
-    smallest neighbour and the links are contracted; from the second round on, smallest is by a hash of
-    the round, which shortens chains by a constant factor. Links that are left are written each round."""
-    labels = nodes.select("node", F.col("node").alias("label"))
-    links = stored(links.where("a != b").select("a", "b").distinct(), "links")
-    turn = 0
-    while not links.isEmpty():
+def components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) of `labels` after more links between nodes: what they connect shares a label. Links
+    are turned into links between labels first, so that only these are contracted. Each round every
+    label joins its smallest neighbour; from the second round on, smallest is by a hash of the round, which
+    shortens chains by a constant factor. Links that are left are written each round."""
+    links = stored(_between(links, labels).select(
+        F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), "links")
+    if links.isEmpty():
+        return labels
+    turn, left = 0, True
+    while left:
         order = F.col("v") if turn == 0 else F.xxhash64(F.lit(turn), F.col("v"))
         ends = links.select("a", F.col("b").alias("v")).unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("v")))
         ends = ends.unionAll(ends.select("a", F.col("a").alias("v")))
@@ -169,21 +176,117 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         of_a, of_b = (joined.select(F.col("old").alias(k), F.col("new").alias(f"new_{k}")) for k in "ab")
         links = links.join(of_a, "a").join(of_b, "b").select(F.col("new_a").alias("a"), F.col("new_b").alias("b"))
         links = stored(links.where("a != b").distinct(), "links")
-        turn += 1
+        turn, left = turn + 1, not links.isEmpty()
     return stored(labels, "labels")
 
 
-def _rest(members: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of bucket members in different components that were not compared yet. Buckets whose members
-    are all linked by now, which the large groups of copies are, give none."""
-    named = members.join(labels, "node")
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = named.join(mixed.select("bucket"), "bucket")
-    left = open_.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    right = open_.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    pairs = left.join(right, "bucket").where("label_a < label_b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose nodes have different labels, with these."""
+    a, b = (labels.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").where("label_a != label_b")
+
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that share a key and differ in their label, from rows (key, node, label)."""
+    left = rows.select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
+    right = rows.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    return left.join(right, "key").where("a > b and label_a != label_b").select("a", "b").distinct()
+
+
+def _first_links(key, strangers: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """Each stranger's first confirmed link into a block of members, if there is one."""
+    sets = [shingles(text) for text in members["text"]]
+    found = []
+    for node, text in zip(strangers["node"], strangers["text"]):
+        own = shingles(text)
+        for other, values in zip(members["node"], sets):
+            if similar(own, values):
+                found.append((node, other))
+                break
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _into_groups(rows: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of strangers (node) to the members of a component (label), from distinct rows (label, node).
+    Members lie in blocks and strangers in chunks of bounded size, every chunk meets every block of its
+    component, and the full sets are compared there: no row is made for a pair."""
+    asked = rows.groupBy("label").agg(F.count("*").alias("asking"))
+    sizes = labels.join(asked, "label").groupBy("label").agg(F.count("*").alias("n"), F.first("asking").alias("asking"))
+    sizes = stored(sizes.select(
+        "label", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.col("asking") / _BLOCK).cast("int").alias("chunks")), "group_sizes")
+
+    def dealt(nodes: DataFrame, own: str, all_of: str) -> DataFrame:
+        place = F.pmod(F.xxhash64("node"), F.col(own + "s")).cast("int")
+        spread = nodes.join(sizes, "label").withColumn(own, place).withColumn(
+            all_of, F.explode(F.sequence(F.lit(0), F.col(all_of + "s") - 1)))
+        # Both sides of the cogroup need columns of their own.
+        own_texts = texts.select(F.col("node").alias("node"), F.col("text").alias("text"))
+        return spread.join(own_texts, "node").select(
+            *[F.col(c).alias(c) for c in ("label", "block", "chunk", "node", "text")])
+
+    strangers = dealt(rows.select("label", "node"), "chunk", "block")
+    members = dealt(labels.select("label", "node"), "block", "chunk")
+    keys = ["label", "block", "chunk"]
+    return strangers.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(_first_links, "a bigint, b bigint")
+
+
+def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shingles found more than once in a batch, with their counts."""
+    for batch in batches:
+        found = [shingles(text) for text in batch["text"]]
+        values, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64),) * 2
+        yield pd.DataFrame({"key": values[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """(key, node, label) for a part of each set of `texts` (node, label, text) in which two similar sets
+    always meet: of n shingles in an order that is the same for all sets, the first n - ceil(0.75 n) + 1.
+    The order puts frequent shingles last. Any order gives the same pairs in the end, so that the list
+    of frequent ones may be cut to a size that can be broadcast."""
+    counts = texts.mapInPandas(_frequent, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= _MEMBERS).orderBy(F.desc("n"), "key").limit(_FREQUENT).collect()
+    frequent = texts.sparkSession.sparkContext.broadcast(np.array(sorted(r["key"] for r in top), np.int64).view(np.uint64))
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys, sizes = [], []
+            for text in batch["text"]:
+                values = shingles(text)
+                common = np.isin(values, frequent.value)
+                size = len(values) - -(-SIMILAR * len(values) // 100) + 1
+                keys.append(np.concatenate((values[~common], values[common]))[:size])
+                sizes.append(size)
+            yield pd.DataFrame({
+                "key": np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64),
+                "node": np.repeat(batch["node"].to_numpy(), sizes), "label": np.repeat(batch["label"].to_numpy(), sizes)})
+
+    return texts.mapInPandas(first, "key bigint, node bigint, label bigint")
+
+
+def _rest_links(members: DataFrame, labels: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
+    """Links between bucket members that are still in different components; `tried` pairs are known.
+
+    Small buckets compare all such members. In a large bucket in which most members are one component
+    already, the others are compared with that component in blocks, and with each other. A large
+    bucket without such a component, as a passage that many documents share makes it, passes a finer sieve
+    first: the prefixes of the full sets, in which no similar pair is missed.
+    """
+    named = members.join(labels, "node").select(F.col("bucket").alias("key"), "node", "label")
+    sizes = named.groupBy("key", "label").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("key").agg(
+        F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("k")).where("k > 1")
+    mixed = mixed.select("key", "size", F.col("m.label").alias("main"), (2 * F.col("m.n") >= F.col("size")).alias("led"))
+    open_ = stored(named.join(mixed, "key"), "open")
+    large = F.col("size") > _MEMBERS
+    strangers = open_.where(large & F.col("led") & (F.col("label") != F.col("main")))
+    grouped = _into_groups(
+        stored(strangers.select(F.col("main").alias("label"), "node").distinct(), "strangers"), labels, texts)
+    direct = open_.where(~large).unionAll(strangers)
+    sieve = texts.join(open_.where(large & ~F.col("led")).select("node", "label").distinct(), "node")
+    sieved = _cross_pairs(stored(_prefixes(stored(sieve, "sieve")), "prefixes"))
+    pairs = stored(_cross_pairs(direct.select("key", "node", "label")).unionAll(sieved).distinct(), "pairs")
+    return grouped.unionAll(_confirm(pairs.join(tried, ["a", "b"], "left_anti"), texts))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,6 +297,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     component. Rows that repeat a text share a component; null ids lose against any other, and a component
     of null ids keeps its rows. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     text = quoted(text_col).cast("string")
     rows = docs.select(quoted(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.encode(text, "UTF-8").alias("text"))
     kind = dict(rows.dtypes)["id"]
@@ -216,15 +320,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # First each class with the hub it shares most bands with, then the hubs that are still apart.
     best = stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     best = stored(best, "best")
-    links = stored(_confirm(best, texts), "first_links")
-    nodes = classes.select("node")
-    labels = components(nodes, links)
-    other = _apart(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
-    links = links.unionAll(stored(_confirm(other, texts), "star_links"))
-    labels = components(nodes, links)
-    rest = _rest(members.select("bucket", "node"), labels, stars.select("a", "b"))
-    links = links.unionAll(stored(_confirm(rest, texts), "rest_links"))
-    labels = components(nodes, links)
+    labels = components(classes.select("node", F.col("node").alias("label")), _confirm(best, texts))
+    other = _between(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+    labels = components(labels, _confirm(other, texts))
+    rest = _rest_links(members.select("bucket", "node"), labels, texts, stars.select("a", "b"))
+    labels = components(labels, rest)
 
     lowest = labels.join(classes.select("node", "first_id"), "node")
     lowest = lowest.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -236,11 +336,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    a, b = (labels.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
-    return pairs.join(a, "a").join(b, "b").where("label_a != label_b").select("a", "b")
-
-
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
     other = fresh(docs, "keep_id")
