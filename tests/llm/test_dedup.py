@@ -4,6 +4,7 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,20 @@ def test_near_group_with_chains_and_a_shared_passage(spark, monkeypatch, direct)
     assert got[59][1] == 0 and got[159][1] == 159 and got[499][1] == 300
 
 
+def test_strangers_are_compared_in_blocks():
+    """Links between different components only, as many as join them."""
+    base = [f"w{i}" for i in range(60)]
+    text = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(base)).encode()
+    frame = lambda *rows: pd.DataFrame(rows, columns=["node", "label", "text"])
+    members = frame((1, 1, text()), (2, 1, text(5)), (3, 3, b"something else of five words here"))
+    strangers = frame((7, 7, text(9)), (8, 8, text(9)), (9, 9, b"alone " * 9))
+    got = near_dup._block_links((0, 0, 0), strangers, members)
+    assert got["a"].tolist() == [7, 8] and set(got["b"]) <= {1, 2}
+    among = near_dup._block_links((0, 0, 0), strangers, strangers)
+    assert len(among) == 1 and set(among.iloc[0]) == {7, 8}
+    assert near_dup._block_links((0, 0, 0), strangers.iloc[2:], members).empty
+
+
 def test_sketch_is_filled_and_close_to_the_similarity():
     rng = np.random.default_rng(3)
     for size, share in ((3, 1.0), (40, 0.5), (1000, 0.75), (5000, 0.9)):

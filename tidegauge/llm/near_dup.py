@@ -193,42 +193,50 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     return left.join(right, "key").where("a > b and label_a != label_b").select("a", "b").distinct()
 
 
-def _first_links(key, strangers: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """Each stranger's first confirmed link into a block of members, if there is one."""
+def _block_links(key, strangers: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """Confirmed links of strangers to members, as many as join different components: a pair whose
+    components are joined by now needs no look."""
+    root: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while root.setdefault(label, label) != label:
+            label = root[label]
+        return label
+
     sets = [shingles(text) for text in members["text"]]
     found = []
-    for node, text in zip(strangers["node"], strangers["text"]):
+    for node, label, text in zip(strangers["node"], strangers["label"], strangers["text"]):
         own = shingles(text)
-        for other, values in zip(members["node"], sets):
-            if similar(own, values):
+        for other, its, values in zip(members["node"], members["label"], sets):
+            a, b = find(label), find(its)
+            if a != b and similar(own, values):
                 found.append((node, other))
-                break
+                root[a] = b
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _into_groups(rows: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links of strangers (node) to the members of a component (label), from distinct rows (label, node).
-    Members lie in blocks and strangers in chunks of bounded size, every chunk meets every block of its
-    component, and the full sets are compared there: no row is made for a pair."""
-    asked = rows.groupBy("label").agg(F.count("*").alias("asking"))
-    sizes = labels.join(asked, "label").groupBy("label").agg(F.count("*").alias("n"), F.first("asking").alias("asking"))
+def _across(strangers: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between strangers and members of the same group in different components, from rows (group,
+    node, label). Members lie in blocks and strangers in chunks of bounded size, every chunk meets every
+    block of its group, and the full sets are compared there: no row is made for a pair."""
+    asked = strangers.groupBy("group").agg(F.count("*").alias("asking"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("n")).join(asked, "group")
     sizes = stored(sizes.select(
-        "label", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"),
+        "group", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"),
         F.ceil(F.col("asking") / _BLOCK).cast("int").alias("chunks")), "group_sizes")
 
     def dealt(nodes: DataFrame, own: str, all_of: str) -> DataFrame:
         place = F.pmod(F.xxhash64("node"), F.col(own + "s")).cast("int")
-        spread = nodes.join(sizes, "label").withColumn(own, place).withColumn(
+        spread = nodes.join(sizes, "group").withColumn(own, place).withColumn(
             all_of, F.explode(F.sequence(F.lit(0), F.col(all_of + "s") - 1)))
         # Both sides of the cogroup need columns of their own.
         own_texts = texts.select(F.col("node").alias("node"), F.col("text").alias("text"))
         return spread.join(own_texts, "node").select(
-            *[F.col(c).alias(c) for c in ("label", "block", "chunk", "node", "text")])
+            *[F.col(c).alias(c) for c in ("group", "block", "chunk", "node", "label", "text")])
 
-    strangers = dealt(rows.select("label", "node"), "chunk", "block")
-    members = dealt(labels.select("label", "node"), "block", "chunk")
-    keys = ["label", "block", "chunk"]
-    return strangers.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(_first_links, "a bigint, b bigint")
+    keys = ["group", "block", "chunk"]
+    return dealt(strangers, "chunk", "block").groupBy(*keys).cogroup(
+        dealt(members, "block", "chunk").groupBy(*keys)).applyInPandas(_block_links, "a bigint, b bigint")
 
 
 def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,25 +276,31 @@ def _rest_links(members: DataFrame, labels: DataFrame, texts: DataFrame, tried:
     """Links between bucket members that are still in different components; `tried` pairs are known.
 
     Small buckets compare all such members. In a large bucket in which most members are one component
-    already, the others are compared with that component in blocks, and with each other. A large
-    bucket without such a component, as a passage that many documents share makes it, passes a finer sieve
-    first: the prefixes of the full sets, in which no similar pair is missed.
+    already, the others are compared with that component, and with each other if they are many, in blocks.
+    A large bucket without such a component, as a passage that many documents share makes it, passes a
+    finer sieve first: the prefixes of the full sets, in which no similar pair is missed.
     """
     named = members.join(labels, "node").select(F.col("bucket").alias("key"), "node", "label")
     sizes = named.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(
         F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("k")).where("k > 1")
-    mixed = mixed.select("key", "size", F.col("m.label").alias("main"), (2 * F.col("m.n") >= F.col("size")).alias("led"))
+    mixed = mixed.select(
+        "key", "size", F.col("m.label").alias("main"), (F.col("size") - F.col("m.n")).alias("others"),
+        (2 * F.col("m.n") >= F.col("size")).alias("led"))
     open_ = stored(named.join(mixed, "key"), "open")
-    large = F.col("size") > _MEMBERS
+    large, few = F.col("size") > _MEMBERS, F.col("others") <= _MEMBERS
     strangers = open_.where(large & F.col("led") & (F.col("label") != F.col("main")))
-    grouped = _into_groups(
-        stored(strangers.select(F.col("main").alias("label"), "node").distinct(), "strangers"), labels, texts)
-    direct = open_.where(~large).unionAll(strangers)
+    led = stored(strangers.select(F.col("main").alias("group"), "node", "label").distinct(), "strangers")
+    own = labels.join(led.select(F.col("group").alias("label")).distinct(), "label")
+    with_main = _across(led, own.select(F.col("label").alias("group"), "node", "label"), texts)
+    many = stored(strangers.where(~few).select(F.col("key").alias("group"), "node", "label"), "many")
+    among = _across(many, many, texts)
     sieve = texts.join(open_.where(large & ~F.col("led")).select("node", "label").distinct(), "node")
     sieved = _cross_pairs(stored(_prefixes(stored(sieve, "sieve")), "prefixes"))
-    pairs = stored(_cross_pairs(direct.select("key", "node", "label")).unionAll(sieved).distinct(), "pairs")
-    return grouped.unionAll(_confirm(pairs.join(tried, ["a", "b"], "left_anti"), texts))
+    direct = open_.where(~large).unionAll(strangers.where(few)).select("key", "node", "label")
+    pairs = stored(_cross_pairs(direct).unionAll(sieved).distinct(), "pairs")
+    tested = _confirm(pairs.join(tried, ["a", "b"], "left_anti"), texts)
+    return with_main.unionAll(among).unionAll(tested)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
