@@ -156,7 +156,8 @@ def test_probabilities_sum_to_one(spark, texts):
     words = maxent.count_words(rows.select("text"))
     weights, bias = maxent.train(rows, words, 1)
     feature = np.zeros((3, 1), np.int64) + np.array([[5], [maxent.BUCKETS + 9], [2 * maxent.BUCKETS + 1]])
-    log_p = maxent._log_class(weights, bias, feature)[0]
+    every = np.arange(maxent.CLASSES)
+    log_p = maxent._log_class(weights, bias, np.repeat(feature, len(every), axis=1), every)
     assert np.exp(log_p).sum() == pytest.approx(1, abs=1e-5)
     room = words.class_total + words.class_distinct + 1
     inside = np.zeros(maxent.CLASSES)

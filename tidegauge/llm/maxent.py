@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidegauge.llm.common import quoted, stored
+from tidegauge.llm.common import quoted, small_batches, stored
 
 END = b"\n"  # no word has white space
 HEAD = 200_000  # words that are broadcast at most
@@ -156,14 +156,22 @@ def _features(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.stack((one, BUCKETS + two, 2 * BUCKETS + both))
 
 
-def _log_class(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural log probabilities of all classes."""
-    z = weights[rows[0]]
-    z += weights[rows[1]]
-    z += weights[rows[2]]
+def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Unnormalised log weights of all classes, one row per token."""
+    z = np.take(weights, rows[0], axis=0)
+    for feature in rows[1:]:
+        z += np.take(weights, feature, axis=0)
     z += bias
-    np.clip(z, -30, 30, out=z)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    np.minimum(z, np.float32(30), out=z)
+    return np.maximum(z, np.float32(-30), out=z)
+
+
+def _log_class(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token's class."""
+    z = _logits(weights, bias, rows)
+    own = z[np.arange(len(classes)), classes]
+    np.exp(z, out=z)
+    return own - np.log(z.sum(axis=1))
 
 
 def _coded(coder: _Coder, texts) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -225,7 +233,9 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tup
 
 def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, classes: np.ndarray, seen: np.ndarray) -> None:
     """One gradient step on a batch; the step of a feature shrinks with the square root of its count."""
-    slope = -np.exp(_log_class(weights, bias, rows))
+    slope = _logits(weights, bias, rows)
+    np.exp(slope, out=slope)
+    slope *= (-1 / slope.sum(axis=1))[:, None]
     slope[np.arange(len(classes)), classes] += 1
     for feature in rows:
         order = np.argsort(feature, kind="stable")
@@ -247,6 +257,7 @@ def score(
     without ASCII white space, A-Z lower-cased; each text ends with one end token. A null text counts as
     empty and has that token only. Words are told apart by 64-bit hashes. Every row gives a row, repeated ones too.
     """
+    small_batches(docs.sparkSession)
     text = F.encode(F.coalesce(quoted(text_col).cast("string"), F.lit("")), "UTF-8")
     learn = docs.where(train_rows).select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(rounds)).alias("part"))
     vocabulary = count_words(learn.select("text"))
@@ -277,8 +288,7 @@ def apply(
             model, plain = np.empty(len(codes)), np.zeros(len(codes))
             for at in range(0, len(codes), _CHUNK):
                 part = slice(at, at + _CHUNK)
-                log_p = _log_class(weights, bias, features[:, part])
-                model[part] = log_p[np.arange(len(log_p)), classes[part]]
+                model[part] = _log_class(weights, bias, features[:, part], classes[part])
             model /= np.log(10)
             known = place > 0
             model[known] += in_class[place[known] - 1]
@@ -291,6 +301,7 @@ def apply(
                 "rest": [np.array([_key(w[i]) for i in r], np.int64) for w, r in zip(words, rest)],
                 "rest_class": [classes[a + r].astype(np.int32) for a, r in zip(starts, rest)]})
 
+    small_batches(docs.sparkSession)
     text = F.encode(F.coalesce(quoted(text_col).cast("string"), F.lit("")), "UTF-8")
     inputs = docs.select(quoted(id_col).alias("id"), text.alias("text"))
     kind = dict(inputs.dtypes)["id"]
