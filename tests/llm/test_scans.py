@@ -70,6 +70,24 @@ def test_boosting_learns_a_feature_and_calibrates():
     assert pii.fit([]).threshold == float("inf")
 
 
+def test_many_emails_do_not_vouch_for_numbers(spark):
+    rows = [(i, f"mail a{i}@b.io, c{i}@d.io, e{i}@f.io, g{i}@h.io now") for i in range(1000)]
+    rows += [(2000 + i, f"order 1234 5678 9012 3456 of 2024-03-{10 + i % 20} and 1939-1945 in{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in pii.find_personal(docs).collect()}
+    assert all(found[i] == ["email"] * 4 for i in range(1000))
+    assert all(found[2000 + i] == [] for i in range(40))
+
+
+def test_each_group_has_its_own_threshold():
+    cell = dict.fromkeys(pii.FEATURES, 0)
+    cells = [
+        cell | {"shape": shape, "confirmed": yes, "held": held, "n": n}
+        for held in (False, True) for shape, yes, n in ((0, True, 9000), (4, True, 30), (4, False, 70))]
+    model = pii.fit(cells)
+    assert set(model.thresholds) == {pii._group(cell)}
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é mail me@a.io now"), (2, None)], "doc_id bigint, text string")
     found = pii.find_personal(docs).join(docs, "doc_id")
