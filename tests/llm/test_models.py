@@ -165,6 +165,49 @@ def test_probabilities_sum_to_one(spark, texts):
     assert np.allclose(inside + 1, room)  # the rest of a class is one unseen word
 
 
+def test_contexts_tell_words_of_a_class_apart(spark):
+    # Endings are the same, so the words share a class; 600 words before them are more than a fixed table tells apart.
+    rows = [(i, f"w{i % 600:03d}x a{i % 600:03d}zzz") for i in range(6000)]
+    rows += [(10_000, "w007x a007zzz"), (10_001, "w007x a008zzz")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in maxent.score(docs, F.col("doc_id") < 10_000).collect()}
+    assert len(got) == len(rows) and got[10_000] > got[10_001] + 0.5
+
+
+def test_words_after_a_context_sum_to_one(spark, monkeypatch):
+    words = ["a", "b", "c", "d", "\n"]
+    learnt = [(i, t) for i, t in enumerate(["a b a c b a", "b a d a", "a b d"] * 9)]
+    asked = [(100 + i, f"a b {w}") for i, w in enumerate([*words[:4], ""])] + [(200, "a b qq")]
+    docs = spark.createDataFrame(learnt + asked, "doc_id bigint, text string")
+    rows = docs.where("doc_id < 100").select(F.encode("text", "UTF-8").alias("text"))
+    counted = maxent.count_words(rows)
+    weights, bias = np.zeros((maxent.FEATURES * maxent.BUCKETS, maxent.CLASSES), np.float32), np.zeros(maxent.CLASSES, np.float32)
+    results = []
+    for tokens in (10**6, 7):  # one block, and many
+        monkeypatch.setattr(maxent, "_BLOCK_TOKENS", tokens)
+        got = maxent.apply_contexts(docs, F.col("doc_id") < 100, counted, weights, bias).collect()
+        results.append({r["doc_id"]: tuple(r)[1:] for r in got})
+    assert results[0] == results[1]
+    # By hand: counts of what follows the last two words, one feature after the other.
+    texts = [[*t.split(), "\n"] for _, t in learnt]
+    flat = Counter(w for t in texts for w in t)
+    keys = {w: maxent._key(w.encode()) for w in flat}
+    classes = {w: int(counted.classes[list(counted.keys).index(keys[w])]) for w in flat}
+    contexts = (lambda t, i: t[i - 2] if i > 1 else None, lambda t, i: t[i - 1] if i else None, lambda t, i: (t[i - 1] if i else None, t[i - 2] if i > 1 else None))
+    def p(text, i, word):
+        c = classes[word]
+        q, u = 1 / maxent.CLASSES, (flat[word] + 1) / (counted.class_total[c] + counted.class_distinct[c] + 1)
+        for f in contexts:
+            after = [t[j] for t in texts for j in range(len(t)) if f(t, j) == f(text, i)]
+            in_class = sum(classes[w] == c for w in after)
+            q, u = (in_class + maxent.PRIOR * q) / (len(after) + maxent.PRIOR), (after.count(word) + maxent.PRIOR * u) / (in_class + maxent.PRIOR)
+        return q * u
+    for k, w in enumerate(words[:4]):
+        text = ["a", "b", w, "\n"]
+        want = sum(math.log10(p(text, i, x)) for i, x in enumerate(text))
+        assert results[0][100 + k][-1] == pytest.approx(want, rel=1e-4)
+
+
 def test_scores_of_odd_rows(edge_docs, no_docs):
     got = maxent.score(edge_docs, F.col("doc_id").isNotNull()).collect()
     assert sorted((r["doc_id"] or -1, r["n_tokens"]) for r in got) == sorted(

@@ -6,6 +6,13 @@ from a softmax over hashed features: the last word, the last but one (a skip), a
 are trained by distributed gradient updates: tasks walk their documents in small batches from the current
 weights, and the updates are averaged per feature, weighted by how often each task saw it.
 
+What is known about contexts grows with the corpus: for each of the three features, the exact counts of the
+feature, of each class after it and of each word after it are a table by 64-bit hash. The table is dealt out
+in blocks by hash. Texts send each block the keys they need, once per batch of texts, and get the totals back.
+A feature then scales both factors, the class and the word in its class, towards what followed it, by as much
+as it was seen against `PRIOR`; each factor sums to one after every feature. An occurrence that was learnt
+from does not count for its own score.
+
 Counts cover the whole training corpus. The most frequent words, at most `HEAD`, are broadcast with their
 probabilities; the counts of all other words stay a table, and the words meet them in a join.
 """
@@ -13,6 +20,7 @@ probabilities; the counts of all other words stay a table, and the words meet th
 from __future__ import annotations
 
 import dataclasses
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +43,8 @@ STEP = 0.5
 _CHUNK = 16_384  # tokens of a batch
 _FLUSH = 250_000  # distinct words counted before they are passed on
 _WORDS = 300_000  # words whose code a worker remembers
+PRIOR = 8.0  # occurrences that the estimate without a feature counts for
+_BLOCK_TOKENS = 1_000_000  # learnt tokens for each block of the table of contexts
 _BLOCKS = 16  # parts in which updates are averaged
 
 
@@ -262,7 +272,142 @@ def score(
     learn = docs.where(train_rows).select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(rounds)).alias("part"))
     vocabulary = count_words(learn.select("text"))
     weights, bias = train(learn, vocabulary, rounds)
-    return apply(docs, vocabulary, weights, bias, id_col, text_col)
+    return apply_contexts(docs, train_rows, vocabulary, weights, bias, id_col, text_col)
+
+
+def _mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """Hashes of pairs of unsigned 64-bit numbers."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b) if np.isscalar(b) else a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def _requests(words: np.ndarray, classes: np.ndarray, starts: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys of a batch, ascending, and the places in them: for each feature three times the tokens
+    (feature, class after it, word after it), then the words at `rest` by themselves."""
+    words = words.astype(np.uint64)
+    before = _mix(words, 1)
+    one, two = np.zeros_like(words), np.zeros_like(words)
+    one[1:], two[2:] = before[:-1], before[:-2]
+    one[starts] = 0
+    two[starts] = 0
+    second = starts + 1
+    two[second[second < len(two)]] = 0
+    keys = []
+    for kind, context in enumerate((two, one, _mix(one, two))):
+        feature = _mix(context, 11 + kind)
+        keys += [feature, _mix(feature, classes.astype(np.uint64)), _mix(_mix(feature, 101), words)]
+    return np.unique(np.concatenate([*keys, _mix(words[rest], 7)]), return_inverse=True)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Bytes of equal significance side by side, which compresses small numbers."""
+    return zlib.compress(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(flat.T).view(kind).ravel()
+
+
+def apply_contexts(
+    docs: DataFrame, train_rows, vocabulary: Vocabulary, weights: np.ndarray, bias: np.ndarray,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Counts the contexts in the documents of `train_rows` and scores all documents with them."""
+    spark = docs.sparkSession
+    total, distinct = vocabulary.total, vocabulary.distinct
+    blocks = 1 + total // _BLOCK_TOKENS
+    room = (vocabulary.class_total + vocabulary.class_distinct + 1).astype(float)
+    sent = spark.sparkContext.broadcast((vocabulary.keys, vocabulary.classes, vocabulary.counts, weights, bias))
+    message = "chunk bigint, block int, keys binary, counts binary, parts array<binary>, ids array<string>"
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = sent.value[0]
+        coder = _Coder(keys, sent.value[1])
+        for batch in batches:
+            if not len(batch):
+                continue
+            codes, starts, words = _coded(coder, batch["text"])
+            place = codes >> 18
+            known, flat = place > 0, [w for each in words for w in each]
+            hashed = np.empty(len(codes), np.int64)
+            hashed[known] = keys[place[known] - 1] if len(keys) else 0
+            away = np.flatnonzero(~known)
+            hashed[away] = np.fromiter((_key(flat[i]) for i in away), np.int64, len(away))
+            sizes, learn = np.diff(np.append(starts, len(codes))), batch["learn"].to_numpy(bool)
+            asked, at = _requests(hashed, codes >> 12 & 63, starts, away)
+            learnt = np.repeat(learn, sizes)
+            n = np.bincount(at, np.concatenate([np.tile(learnt, 3 * FEATURES), learnt[away]]), len(asked)).astype(np.int64)
+            local, index = np.unique(hashed, return_inverse=True)
+            code_of = np.zeros(len(local), np.int64)
+            code_of[index] = codes
+            parts = [_pack(x) for x in (local, code_of, index.astype(np.int32), sizes, learn.astype(np.int8))]
+            block = ((asked >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+            edges = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
+            chunk = int(batch["row"].iloc[0])
+            each = list(zip(edges[:-1], edges[1:]))
+            yield pd.DataFrame({
+                "chunk": chunk, "block": [-1, *block[edges[:-1]]],
+                "keys": [None, *[_pack(np.diff(asked[a:b], prepend=np.uint64(0))) for a, b in each]],
+                "counts": [None, *[_pack(n[a:b]) for a, b in each]], "parts": [parts] + [None] * len(each),
+                "ids": [list(batch["id"])] + [None] * len(each)})
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["block"].iloc[0] < 0:
+            return rows
+        keys = [np.cumsum(_unpack(k, np.uint64), dtype=np.uint64) for k in rows["keys"]]
+        every, at = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.zeros(len(every), np.int64)
+        np.add.at(sums, at, np.concatenate([_unpack(c, np.int64) for c in rows["counts"]]))
+        ends = np.cumsum([len(k) for k in keys])
+        return rows.assign(keys=None, counts=[_pack(x) for x in np.split(sums[at], ends[:-1])])
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        _, _, counts, weights, bias = sent.value
+        rows = rows.sort_values("block")
+        local, code_of, index, sizes, learn = (
+            _unpack(d, k) for d, k in zip(rows["parts"].iloc[0], (np.int64, np.int64, np.int32, np.int64, np.int8)))
+        codes, starts = code_of[index], np.cumsum(sizes) - sizes
+        place, classes = codes >> 18, codes >> 12 & 63
+        away = np.flatnonzero(place == 0)
+        _, at = _requests(local[index], classes, starts, away)
+        sums = np.concatenate([_unpack(c, np.int64) for c in rows["counts"].iloc[1:]])[at]
+        n = np.zeros(len(codes), np.int64)
+        n[place > 0] = counts[place[place > 0] - 1] if len(counts) else 0
+        n[away] = sums[len(sums) - len(away):]
+        seen = sums[: len(sums) - len(away)].reshape(FEATURES, 3, -1) - np.repeat(learn, sizes)
+        features, of_class = _features(codes, starts), np.empty(len(codes))
+        for i in range(0, len(codes), _CHUNK):
+            part = slice(i, i + _CHUNK)
+            of_class[part] = np.exp(_log_class(weights, bias, features[:, part], classes[part]))
+        of_word = (n + 1) / room[classes]
+        for feature, with_class, with_word in seen:
+            of_class = (with_class + PRIOR * of_class) / (feature + PRIOR)
+            of_word = (with_word + PRIOR * of_word) / (with_class + PRIOR)
+        base = np.log10((n + 1) / (total + distinct + 1))
+        return pd.DataFrame({
+            "id": list(rows["ids"].iloc[0]), "n_tokens": sizes, "n_known": np.add.reduceat((n > 0).astype(np.int64), starts),
+            "base_score": np.add.reduceat(base, starts),
+            "score": np.add.reduceat(np.log10(of_class) + np.log10(of_word), starts)})
+
+    small_batches(spark)
+    text = F.encode(F.coalesce(quoted(text_col).cast("string"), F.lit("")), "UTF-8")
+    kind = docs.select(quoted(id_col)).schema[0].dataType
+    inputs = docs.select(
+        (F.hex(quoted(id_col)) if kind.typeName() == "binary" else quoted(id_col).cast("string")).alias("id"), text.alias("text"),
+        F.coalesce(train_rows, F.lit(False)).alias("learn"), F.monotonically_increasing_id().alias("row"))
+    asked = inputs.mapInPandas(ask, message)
+    # The texts' own parts travel with the keys, each as a group of its own, so that texts are read once.
+    own = F.when(F.col("block") < 0, F.col("chunk")).otherwise(F.lit(-1))
+    answered = asked.groupBy("block", own.alias("own")).applyInPandas(lambda rows: answer(rows), message)
+    scored = answered.groupBy("chunk").applyInPandas(
+        lambda rows: finish(rows), "id string, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scored.select(
+        (F.unhex("id") if kind.typeName() == "binary" else F.col("id").cast(kind)).alias(id_col), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        "base_score", "score")
 
 
 def apply(
