@@ -45,6 +45,14 @@ def test_ownership_decides_loose_candidates(spark):
     assert all(found[i] == [] for i in (10, 11, 12, 13, 30))
 
 
+def test_very_many_repositories_of_one_owner_are_copies(spark):
+    own, copied = "ghp_" + "aB3dE5gH7jK9mN1pQ3rS", "ghp_" + "zY8xW6vU4tS2rQ0pO8nM"
+    rows = [(i, f"x {copied}", "hot") for i in range(150)] + [(1000 + i, f"x {own}", "hot") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r["doc_id"]: [s["verdict"] for s in r["spans"]] for r in secret_scan.scan(docs).collect()}
+    assert all(found[i] == [] for i in range(150)) and all(found[1000 + i] == ["live"] for i in range(5))
+
+
 def test_personal_data_of_the_corpus(spark, texts):
     for r in queries.op8_pii(spark, FOLDER).collect():
         spans = brute.found(brute.PERSONAL, texts[r["doc_id"]])

@@ -1,8 +1,8 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Patterns propose candidate strings with their places. The hashes of all candidates are aggregated over the
-corpus by owner and repository: a string that many owners carry is an example that was copied around, one
-that stays with its owner and looks random is a live-looking credential. Strict kinds are always reported;
+corpus by owner and repository: a string that many owners or very many repositories carry is an example that
+was copied around, one that stays with its owner and looks random is a live-looking credential. Strict kinds are always reported;
 candidates of the loose kinds become spans only if the corpus shows them as live.
 """
 
@@ -49,6 +49,7 @@ LOOSE = (
 KINDS = (*STRICT, *LOOSE)
 
 COPIED_OWNERS = 3  # owners from which on a string counts as a copied example
+COPIED_REPOS = 100  # repositories from which on it does so whatever the number of owners
 LIVE_SYMBOLS = 8  # different characters that a live-looking value has at least
 
 _SPAN = "array<struct<start:bigint,end:bigint,place:int,kind:string,strict:boolean,key:string,random:boolean>>"
@@ -88,10 +89,11 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     repo_col: str | None = None, kinds: Sequence[Kind] = KINDS, copied_owners: int = COPIED_OWNERS,
+    copied_repos: int = COPIED_REPOS,
 ) -> DataFrame:
     """One row per document: id and `spans`, an array of (start, end, place, kind, strict, owners, repos,
     verdict) in which positions are code points and the end is exclusive. Verdicts are `copied` (at least
-    `copied_owners` owners), `live` (looks random) and `plain`. Loose candidates are kept if live.
+    `copied_owners` owners or `copied_repos` repositories), `live` (looks random) and `plain`. Loose candidates are kept if live.
 
     Each document is a repository unless `repo_col` names one; null owners and repositories count as one
     each. Null and empty texts have no spans. Every row gives a row, repeated ones too.
@@ -106,7 +108,8 @@ def scan(
         "row", "owner", "repo", "s.*")
     counts = ownership(each.select("key", "owner", "repo"))
     judged = each.drop("owner", "repo").join(counts, "key").withColumn(
-        "verdict", F.when(F.col("owners") >= copied_owners, "copied").when(F.col("random"), "live").otherwise("plain"))
+        "verdict", F.when((F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos), "copied")
+        .when(F.col("random"), "live").otherwise("plain"))
     spans = judged.where(F.col("strict") | (F.col("verdict") == "live")).groupBy("row").agg(F.sort_array(F.collect_list(
         F.struct("start", "place", "end", "kind", "strict", "owners", "repos", "verdict"))).alias("found"))
     rows = seen.select("row", "id").join(spans, "row", "left")
