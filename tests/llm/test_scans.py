@@ -136,6 +136,12 @@ def test_ablation(corpus):
         assert only == sum(e["failed"] & quality_rules.policy_mask(quality_rules.POLICY) == bit for e in entries)
 
 
+def test_ablation_is_a_query(spark, corpus):
+    got = {r["rule"]: (r["failed"], r["only_this"]) for r in queries.QUERIES["op7_rule_ablation"](spark, FOLDER).collect()}
+    want = quality_rules.ablation(quality_rules.ledger(corpus)).collect()
+    assert got == {r["rule"]: (r["failed"], r["only_this"]) for r in want} and len(got) == len(quality_rules.RULES)
+
+
 @pytest.mark.parametrize("run", [secret_scan.scan, pii.find_personal, quality_rules.ledger, quality_rules.passing])
 def test_empty_table(no_docs, run):
     assert run(no_docs).count() == 0

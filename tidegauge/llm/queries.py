@@ -80,6 +80,10 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         (~quality_rules.rejected(F.col("failed"))).alias("kept"))
 
 
+def op7_rule_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.ablation(quality_rules.ledger(_table(spark, folder, "documents").select("text")))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal(_table(spark, folder, "documents"))
     strict = F.filter("spans", lambda s: s["strict"])
@@ -115,4 +119,4 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_exact_dedup, op3_language, op4_bpe, op5_secret_scan, op6_near_dup, op7_quality_rules,
-    op8_pii, op9_maxent, op10_chat_formatting)}
+    op7_rule_ablation, op8_pii, op9_maxent, op10_chat_formatting)}
