@@ -9,6 +9,7 @@ import duckdb
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations",
+    "embeddings", "benchmark",
 ]
 
 
