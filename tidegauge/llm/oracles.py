@@ -50,7 +50,58 @@ g AS (SELECT conv_id, count(*) AS n_turns,
 SELECT CAST(conv_id AS BIGINT) AS conv_id, 'messages' AS layout, n_turns, sha256(said) AS turns_sha256,
   CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g"""
 
+_PARTS, _ENTRIES, _ROUNDS = 8, 16, 6
+
+
+def _vector_codes() -> str:
+    """Every round written out: the nearest entry of each part, then the floored mean of its parts."""
+    steps = [f"""v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT max(len(e)) // {_PARTS} AS width FROM v),
+p AS MATERIALIZED (SELECT vec_id, (i - 1) // width AS part, (i - 1) % width AS place, e[i] AS x
+  FROM v, w, unnest(range(1, {_PARTS} * width + 1)) t(i)),
+r AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v),
+c0 AS MATERIALIZED (SELECT part, entry, place, x AS c FROM p JOIN r USING (vec_id) WHERE entry < {_ENTRIES})"""]
+    for k in range(_ROUNDS + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT vec_id, part, entry, far FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id, part ORDER BY far, entry) AS best FROM (
+    SELECT vec_id, part, entry, sum((x - c) * (x - c)) AS far FROM p JOIN c{k} USING (part, place) GROUP BY ALL)) WHERE best = 1)""")
+        if k < _ROUNDS:
+            steps.append(f"""m{k} AS (SELECT part, entry, place, sum(x) AS total, count(*) AS n FROM p JOIN a{k} USING (vec_id, part) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT part, entry, place, CAST(coalesce((total - ((total % n) + n) % n) // n, c) AS BIGINT) AS c
+  FROM c{k} LEFT JOIN m{k} USING (part, entry, place))""")
+    steps.append(f"""f AS (SELECT vec_id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+  FROM a{_ROUNDS} GROUP BY 1),
+h AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM c{_ROUNDS})""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM f JOIN v USING (vec_id), h"""
+
+
+# Checksums of words by the usual table of 256 remainders, which is made in the first line.
+RESAMPLING = r"""WITH crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)
+  ORDER BY n) AS tab FROM range(256) t(n)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+m AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+f AS (SELECT doc_id, unnest(words) AS word FROM d),
+x AS (SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM f UNION SELECT word FROM m)),
+b AS (SELECT word, xor(list_reduce(list_transform(range(len(digits) // 2), lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT)),
+  lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM x, crc),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN b USING (word) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM m JOIN b USING (word) GROUP BY 1),
+g AS (SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM s) + 10000)::DOUBLE
+  / ((s + 1) * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+k AS (SELECT doc_id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS mean FROM f JOIN b USING (word) JOIN g USING (bucket) GROUP BY 1),
+z AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(mean, 0) AS weight,
+  CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN k USING (doc_id)),
+y AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM z),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+  count(*) FILTER (n_features >= 20) OVER () AS fit FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * fit // 100 THEN place END AS rank FROM o"""
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": EXACT, "op7_quality_rules": QUALITY, "op7_rule_ablation": ABLATION,
-    "op10_chat_formatting": CHAT,
+    "op10_chat_formatting": CHAT, "op12_vector_codes": _vector_codes(), "op13_resampling": RESAMPLING,
 }

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import (
-    bpe, chat, exact_dedup, language, maxent, mixing, near_dup, pii, quality_rules, secret_scan,
+    bpe, chat, exact_dedup, language, maxent, mixing, near_dup, pii, quality_rules, resampling, secret_scan,
+    token_counts, vector_codes,
 )
 from tidegauge.llm.common import ship_package
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+COUNTED_BY, TOKEN_LIMIT = "byte_bpe_50k.json", 1024
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -117,6 +119,25 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path(COUNTED_BY), TOKEN_LIMIT).drop("text")
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.compress(_table(spark, folder, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = resampling.weighted(docs, _table(spark, folder, "benchmark"))
+    return resampling.draw(found.drop("text")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_exact_dedup, op3_language, op4_bpe, op5_secret_scan, op6_near_dup, op7_quality_rules,
-    op7_rule_ablation, op8_pii, op9_maxent, op10_chat_formatting)}
+    op7_rule_ablation, op8_pii, op9_maxent, op10_chat_formatting, op11_token_counts, op12_vector_codes,
+    op13_resampling)}
