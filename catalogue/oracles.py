@@ -688,6 +688,73 @@ FROM es JOIN s USING (session_id) WHERE event_time < session_start + INTERVAL 10
         "customer_exists", "orders", bad("orders", "o_custkey NOT IN (SELECT c_custkey FROM customer)"))
     o["shipped_before_ordered"] = """SELECT l_linenumber, count(*) AS violations
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate GROUP BY 1"""
+    # kept range by range, files
+    for table in ("fact_user_daily", "agg_daily_kpis", "agg_retention_cohort", "agg_funnel_daily", "agg_lifecycle_daily"):
+        o[f"rebuilt_{table}"] = o[f"files_{table}"] = o[f"job_{table}"]
+    for table in ("orders", "customer"):
+        o[f"{table}_csv"] = o[f"{table}_parquet"] = f"SELECT * FROM {table}"
+    o["rebuilt_user_state"] = query(*FACT, select="""
+SELECT u.user_id, max(f.date) FILTER (is_active = 1) AS last_active, max(p.date) AS last_premium_day,
+  max_by(p.is_premium, p.date) AS last_premium, CAST(sum(is_active) AS BIGINT) AS active_days,
+  CAST(sum(f.sessions_count) AS BIGINT) AS sessions_count, CAST(sum(f.session_duration_sec) AS BIGINT) AS session_duration_sec,
+  CAST(sum(f.lessons_completed) AS BIGINT) AS lessons_completed, CAST(sum(f.xp_earned) AS BIGINT) AS xp_earned,
+  CAST(sum(f.hearts_lost) AS BIGINT) AS hearts_lost
+FROM u JOIN fact f USING (user_id) LEFT JOIN (SELECT * FROM el WHERE is_premium IS NOT NULL) p USING (user_id, date) GROUP BY 1""")
+    o["fact_text_ids"] = o["fact_user_daily"]
+    o["last_event_text_ids"] = query(E, select="""
+SELECT user_id, event_date AS date, streak_length AS streak_length_end_of_day, is_premium FROM e
+QUALIFY row_number() OVER (PARTITION BY user_id, event_date ORDER BY event_id DESC) = 1""")
+
+    # measures with large domains, sketches and bitmaps
+    points = ", ".join(f"round(quantile_cont(o_totalprice, {p}), 6) AS p{round(100 * p)}" for p in (0.01, 0.25, 0.5, 0.75, 0.99))
+    o["order_prices"] = f"""SELECT count(o_totalprice) AS "count", round(avg(o_totalprice), 6) AS mean,
+  round(stddev_samp(o_totalprice), 6) AS std, min(o_totalprice) AS min, {points}, max(o_totalprice) AS max FROM orders"""
+    o["approx_actives"] = query(
+        E, UD, f"w AS ({trailing('wau', 7, 'variant')})", f"m AS ({trailing('mau', 30, 'variant')})", select="""
+SELECT date, variant, wau, mau, TRUE AS wau_in_bounds, TRUE AS mau_in_bounds FROM w JOIN m USING (date, variant)""")
+    o["retention_bitmaps_orders"] = query(
+        OE, OU, "u AS (SELECT * FROM ou)", OUD, cohorts("range(91)", by_variant=False), select="SELECT * FROM ret")
+    o["retention_bitmaps_variant"] = o["retention_incomplete"]
+    o["return_on_or_after"] = query(OE, OU, OUD, select=f"""
+SELECT signup_date AS cohort_date, CAST(count(*) FILTER (last >= signup_date + n) AS BIGINT) AS retained_users, n AS day_n,
+  count(*) AS cohort_size, {div('count(*) FILTER (last >= signup_date + n)', 'count(*)')} AS retention_rate
+FROM ou JOIN (SELECT user_id, max(date) AS last FROM ud GROUP BY 1) USING (user_id)
+  CROSS JOIN (SELECT CAST(unnest([1, 7, 30, 90]) AS INTEGER) AS n)
+WHERE signup_date + n <= (SELECT max(date) FROM ud) GROUP BY signup_date, n""")
+    by_user = f"""pd AS (SELECT user_id, event_date, count(*) FILTER (event_name = 'lesson_started') AS started,
+    count(*) FILTER (event_name = 'lesson_completed') AS completed, sum(greatest(-hearts_delta, 0)) AS hearts,
+    max(CASE WHEN event_name IN {ACTIVE} THEN 1 ELSE 0 END) AS active, bool_or(event_name = 'lesson_started') AS saw,
+    bool_or(event_name = 'lesson_completed') AS paid FROM e WHERE event_date >= {ROLL} GROUP BY 1, 2),
+pu AS (SELECT user_id, sum(started) AS started, sum(completed) AS completed, sum(hearts) AS hearts, sum(active) AS active,
+    count(*) FILTER (saw) AS saw, count(*) FILTER (saw AND paid) AS buying FROM pd GROUP BY 1),
+ps AS (SELECT user_id, sum(session_duration_sec) AS seconds, count(*) AS sessions FROM s
+  WHERE CAST(session_start AS DATE) >= {ROLL} GROUP BY 1),
+su AS (SELECT * FROM (SELECT user_id, variant, unnest([
+    {{'metric': '{GUARD_NAMES[0]}', 'x': coalesce(seconds, 0)::DOUBLE, 'y': coalesce(sessions, 0)::DOUBLE}},
+    {{'metric': '{GUARD_NAMES[1]}', 'x': coalesce(completed, 0)::DOUBLE, 'y': coalesce(started, 0)::DOUBLE}},
+    {{'metric': '{GUARD_NAMES[2]}', 'x': coalesce(hearts, 0)::DOUBLE, 'y': coalesce(active, 0)::DOUBLE}},
+    {{'metric': '{GUARD_NAMES[3]}', 'x': coalesce(buying, 0)::DOUBLE, 'y': coalesce(saw, 0)::DOUBLE}}], recursive := true)
+  FROM u LEFT JOIN pu USING (user_id) LEFT JOIN ps USING (user_id)) WHERE x <> 0 OR y <> 0)"""
+    o["guardrail_by_user"] = query(E, U, S, by_user, """av AS (SELECT metric, variant, avg(x) / avg(y) AS r,
+    (var_samp(x) - 2 * avg(x) / avg(y) * covar_samp(x, y) + pow(avg(x) / avg(y), 2) * var_samp(y)) / count(*) / avg(y) / avg(y) AS v
+  FROM su GROUP BY 1, 2),
+d AS (SELECT metric, c.r AS control, t.r AS treatment, t.r - c.r AS diff, sqrt(c.v + t.v) AS err
+  FROM (SELECT * FROM av WHERE variant = 'control') c JOIN (SELECT * FROM av WHERE variant = 'treatment') t USING (metric))""",
+        select="""SELECT metric, round(control, 6) AS control, round(treatment, 6) AS treatment, round(diff, 6) AS difference,
+  round(diff - 1.96 * err, 6) AS low, round(diff + 1.96 * err, 6) AS high, round(diff / err, 6) AS z,
+  abs(diff / err) > 1.96 AS significant FROM d""")
+    o["guardrail_bootstrap"] = query(E, U, S, by_user, """
+po AS (SELECT k, sum(exp(-1) / gamma(k + 1)) OVER (ORDER BY k) AS upto FROM range(17) t(k)),
+w AS (SELECT su.*, i, (SELECT count(*) FROM po WHERE upto <= share) AS n FROM (SELECT su.*, i,
+    CAST('0x' || substr(md5(user_id || ':' || i || ':42'), 1, 8) AS BIGINT) / 4294967296 AS share FROM su, range(1, 101) t(i)) su),
+b AS (SELECT metric, i, variant, sum(n * x) / sum(n * y) AS r FROM w GROUP BY ALL),
+db AS (SELECT metric, t.r - c.r AS diff FROM (SELECT * FROM b WHERE variant = 'control') c
+  JOIN (SELECT * FROM b WHERE variant = 'treatment') t USING (metric, i)),
+a AS (SELECT metric, sum(x) FILTER (variant = 'treatment') / sum(y) FILTER (variant = 'treatment')
+    - sum(x) FILTER (variant = 'control') / sum(y) FILTER (variant = 'control') AS difference FROM su GROUP BY 1)""",
+        select="""SELECT metric, round(difference, 6) AS difference, round(quantile_cont(diff, 0.025), 6) AS low,
+  round(quantile_cont(diff, 0.975), 6) AS high FROM a JOIN db USING (metric) GROUP BY metric, difference""")
+
     o["table_rows"] = "\nUNION ALL\n".join(
         f"""SELECT '{t}' AS "table", count(*) AS "rows" FROM {t}""" for t in ("customer", "events", "lineitem", "nation", "orders"))
     return o

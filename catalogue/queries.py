@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,9 +22,10 @@ from tidegauge.operators import (
     sparse,
     streaks,
 )
-from tidegauge.plans import build_tables
+from tidegauge.plans import build_tables, rebuild
 from tidegauge.functions.scalars import percent_text
-from tidegauge.sources import adapters
+from tidegauge.session import scratch_folder
+from tidegauge.sources import adapters, files
 
 # The test events cover 30 days, so the experiment is taken to start on day 15.
 ROLLOUT_DAYS = 15
@@ -662,7 +664,132 @@ def table_rows(spark, folder):
     return quality.row_counts({n: adapters.table(spark, folder, n) for n in names})
 
 
+# --- kept range by range, written and read again ---------------------------------------------------
+
+RANGES = [(None, "2024-01-10"), ("2024-01-11", "2024-01-17"), ("2024-01-18", None)]
+_stored: dict[tuple, str] = {}
+
+
+def _once(p, what: str, write) -> str:
+    """A folder in the shared one, filled once per application and test folder."""
+    key = (p.spark.sparkContext.applicationId, p.folder, what)
+    if key not in _stored:
+        folder = f"{scratch_folder(p.spark)}/{what}-{uuid.uuid4().hex}"
+        write(folder)
+        _stored[key] = folder
+    return _stored[key]
+
+
+def _raw_files(p, file_format: str) -> str:
+    def write(folder):
+        lessons = adapters.product_lessons(adapters.table(p.spark, p.folder, "part"))
+        raw = {"users": p.users, "sessions": p.sessions, "events": p.events, "lessons": lessons}
+        for name, df in raw.items():
+            files.write_raw_table(df, files.table_path(folder, name, file_format), name, file_format)
+
+    return _once(p, f"raw-{file_format}", write)
+
+
+def _rebuilt(table):
+    """A table from builds of consecutive ranges of days."""
+    def write(p, out):
+        for first, last in RANGES:
+            rebuild.rebuild_days(p.spark, _raw_files(p, "parquet"), out, date_min=first, date_max=last)
+
+    def run(p):
+        out = _once(p, "ranges", lambda folder: write(p, folder))
+        return files.read_table(p.spark, files.table_path(out, table, "parquet"), "parquet")
+
+    return run
+
+
+def _built(table):
+    """A table of the whole job, from text files to text files."""
+    def run(p):
+        out = _once(p, "job", lambda folder: build_tables.run_build(p.spark, _raw_files(p, "csv"), folder))
+        return files.read_table(p.spark, files.table_path(out, table, "csv"), "csv", files.LAYOUTS[table])
+
+    return run
+
+
+def rebuilt_user_state(p):
+    state = _rebuilt(rebuild.STATE)(p)
+    return state.where(F.col("as_of") == state.agg(F.max("as_of")).scalar()).drop("as_of", "horizon")
+
+
+def _round_trip(name, file_format):
+    """A table written and read back; text gets its types from the layout."""
+    def run(spark, folder):
+        df = adapters.table(spark, folder, name)
+        path = f"{scratch_folder(spark)}/copy-{uuid.uuid4().hex}"
+        files.write_table(df, path, file_format)
+        return files.read_table(spark, path, file_format, df.schema)
+
+    return run
+
+
+def last_event_text_ids(p):
+    """The last event of a day among events that share its only time."""
+    events = p.events.withColumns({
+        "event_id": F.format_string("evt_%09d", "event_id"), "event_time": F.date_trunc("day", "event_time").cast("timestamp_ntz")})
+    return fact.daily_event_features(events).select("user_id", "date", "streak_length_end_of_day", "is_premium")
+
+
+def fact_text_ids(p):
+    events = p.events.withColumn("event_id", F.format_string("evt_%09d", "event_id"))
+    return fact.build_fact_user_daily(p.users, events, p.sessions)
+
+
+# --- measures with large domains, sketches and bitmaps ---------------------------------------------
+
+def order_prices(spark, folder):
+    prices = quality.distribution(adapters.table(spark, folder, "orders"), "o_totalprice", (0.01, 0.25, 0.5, 0.75, 0.99))
+    return rounded(prices, "mean", "std", "p1", "p25", "p50", "p75", "p99")
+
+
+def approx_actives(p):
+    """Exact counts, and whether the merged sketches come within five percent of them."""
+    sketches = activity.daily_user_sketches(p.events)
+    near = activity.approx_active_users(sketches).withColumnsRenamed({"wau": "near_wau", "mau": "near_mau"})
+    exact = activity.compute_active_users(p.events).join(near, ["date", "variant"])
+    return exact.select("date", "variant", "wau", "mau", *[
+        (F.abs(F.col(f"near_{c}") - F.col(c)) <= 0.05 * F.col(c)).alias(f"{c}_in_bounds") for c in ("wau", "mau")])
+
+
+def _bitmaps(o):
+    return retention.activity_bitmaps(o.users, o.events, 90, active_event_names=o.names)
+
+
+def retention_bitmaps_orders(o):
+    return retention.retention_of_bitmaps(_bitmaps(o), range(91))
+
+
+def retention_bitmaps_variant(p):
+    return retention.retention_of_bitmaps(
+        retention.activity_bitmaps(p.users, p.events, 30), (1, 7, 30), drop_incomplete=False)
+
+
+def return_on_or_after(o):
+    return retention.retention_of_bitmaps(_bitmaps(o), (1, 7, 30, 90), unbounded=True)
+
+
+def _user_sums(p):
+    return experiment.user_guardrails(
+        p.sessions, p.events, p.users, start=p.rollout(), shown=SHOWN, bought=BOUGHT)
+
+
+def guardrail_by_user(p):
+    return rounded(
+        experiment.guardrail_by_user(_user_sums(p)), "control", "treatment", "difference", "low", "high", "z")
+
+
+def guardrail_bootstrap(p):
+    return rounded(experiment.guardrail_bootstrap(_user_sums(p)), "difference", "low", "high")
+
+
 _PRODUCT = [
+    rebuilt_user_state, last_event_text_ids, fact_text_ids, approx_actives, retention_bitmaps_variant,
+    guardrail_by_user, guardrail_bootstrap,
     dau, wau, mau, dau_all, wau_all, mau_all, dau_country, wau_country, active_users, dau_rolling7,
     dau_range, dau_segment, retention_variant, retention_all, retention_incomplete, retention_curve,
     retention_trend, sessionize, session_of_event, sessions_per_user,
@@ -684,8 +811,9 @@ _PRODUCT = [
 _ORDERS = [
     mau_orders, retention_orders, lifecycle_counts_orders, agg_lifecycle_orders,
     lifecycle_transitions_orders, transitions_from_spans_orders, lifecycle_recent_orders, assigned_arms,
+    retention_bitmaps_orders, return_on_or_after,
 ]
-_TABLES = [lineitem_keys, orders_reference, lesson_present, lesson_exists, shipped_before_ordered, table_rows]
+_TABLES = [order_prices, lineitem_keys, orders_reference, lesson_present, lesson_exists, shipped_before_ordered, table_rows]
 # The tables of the build job, by arm and by country.
 _JOB_TABLES = [
     "fact_user_daily", "agg_daily_kpis", "agg_retention_cohort", "agg_funnel_daily", "agg_lifecycle_daily"]
@@ -709,5 +837,8 @@ def all_queries():
             for name, keys in _JOB_KEYS.items() for table in _JOB_TABLES
             if not (name == "job_country" and table == "agg_funnel_daily")
         },
+        **{f"{kind}_{table}": _on(Product, make(table)) for kind, make in (("rebuilt", _rebuilt), ("files", _built))
+           for table in _JOB_TABLES},
+        **{f"{name}_{kind}": _round_trip(name, kind) for name in ("orders", "customer") for kind in files.FORMATS},
         **{q.__name__: q for q in _TABLES},
     }

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidegauge.operators.prepare import active_user_days, group_keys
+from tidegauge.operators.prepare import active_names, active_user_days, group_keys, prep_events
 
 
 def running_totals(changes: DataFrame, labels: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -140,6 +140,47 @@ def compute_active_users(
     return trailing_active_users(user_days, {"dau": 1, "wau": 7, "mau": 30}, keys)
 
 
+def daily_user_sketches(
+    events: DataFrame,
+    *,
+    active_event_names: Sequence[str] | None = None,
+    group_cols: Sequence[str] | None = ("variant",),
+    users: DataFrame | None = None,
+    precision: int = 12,
+) -> DataFrame:
+    """date, keys, sketch: a mergeable sketch of the active users of each day and key, to be stored and added to
+    day by day. It has at most 2^precision bytes, and its count a standard error of 1.04 / 2^(precision / 2).
+
+    Where events have the keys, sketches are updated on the map side and users are never shuffled."""
+    keys = group_keys(group_cols)
+    names = active_names(active_event_names)
+    prepared = prep_events(events, active_event_names=names).filter(F.col("event_name").isin(names))
+    if any(k not in events.columns for k in keys):
+        prepared = active_user_days(
+            events, active_event_names=names, group_cols=keys, users=users).withColumnRenamed("date", "event_date")
+    return prepared.groupBy(F.col("event_date").alias("date"), *keys).agg(
+        F.hll_sketch_agg("user_id", precision).alias("sketch"))
+
+
+def approx_active_users(
+    sketches: DataFrame, windows: Mapping[str, int] = {"wau": 7, "mau": 30}, group_cols: Sequence[str] | None = ("variant",),
+) -> DataFrame:
+    """date, keys and an estimate of the distinct users of each trailing window, from stored daily sketches alone:
+    a day's sketch is merged into every day it counts for. Each group runs from its first to its last day."""
+    if any(days <= 0 for days in windows.values()):
+        raise ValueError("a trailing window spans at least one day")
+    keys = group_keys(group_cols)
+    until = F.max("date").over(W.partitionBy(*keys))
+    longest = max(windows.values())
+    spread = sketches.withColumn("until", until).select(
+        *keys, "sketch", F.col("date").alias("day"),
+        F.explode(F.sequence("date", F.least("until", F.date_add("date", longest - 1)))).alias("date"))
+    age = F.datediff("date", "day")
+    return spread.groupBy("date", *keys).agg(*[
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(F.when(age < days, F.col("sketch")))), F.lit(0)).alias(name)
+        for name, days in windows.items()])
+
+
 def rolling_mean(daily: DataFrame, column: str, *, rows: int = 7, full_only: bool = False,
                  name: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Mean over the last `rows` rows by date. A daily series is one row per day and key, so the

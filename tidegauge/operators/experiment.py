@@ -3,15 +3,17 @@ works on at most one row per day and arm."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.checks import require_columns
-from tidegauge.functions.scalars import divide_or_null, lift, strict_date, symmetric_gap
+from tidegauge.functions.scalars import clip_at_zero, divide_or_null, flag, lift, strict_date, symmetric_gap
 from tidegauge.operators.activity import rolling_mean
 from tidegauge.operators.dashboards import event_guardrails, session_duration
 from tidegauge.operators.prepare import (
+    active_names,
     active_user_days,
     as_date,
     enough_volume,
@@ -319,3 +321,95 @@ def guardrail_test(daily: DataFrame, metrics: Sequence[str] = tuple(GUARDRAILS),
         "metric", F.col("mean_control").alias("control"), F.col("mean_treatment").alias("treatment"),
         z.alias("z"), (F.abs(z) > SIGNIFICANT_Z).alias("significant"),
     )
+
+
+def user_guardrails(
+    sessions: DataFrame,
+    events: DataFrame,
+    users: DataFrame,
+    *,
+    start=None,
+    active_event_names: Sequence[str] | None = None,
+    shown: str = "paywall_shown",
+    bought: str = "purchase",
+) -> DataFrame:
+    """user_id, variant, metric, top, bottom: what each user adds to the two sums of each guardrail, which is their
+    ratio: seconds per session, completions per started lesson, hearts lost per active day and days with a purchase
+    per day on which the paywall was seen. Users without either sum are left out of a metric."""
+    names = active_names(active_event_names)
+    members = unique_users(users, ["variant"]).select("user_id", "variant")
+    lengths = prep_sessions(sessions)
+    days = prep_events(events, active_event_names=names)
+    if start is not None:
+        lengths = lengths.where(F.col("session_date") >= as_date(start))
+        days = days.where(F.col("event_date") >= as_date(start))
+    name = F.col("event_name")
+    per_day = days.groupBy("user_id", "event_date").agg(
+        F.count_if(name == "lesson_started").alias("started"), F.count_if(name == "lesson_completed").alias("completed"),
+        F.sum(clip_at_zero(-F.col("hearts_delta"))).alias("hearts"),
+        F.max(flag(F.col("is_active_event"))).alias("active"),
+        F.max(flag(name == shown)).alias("saw"), F.max(flag(name == bought)).alias("paid"))
+    of_events = per_day.groupBy("user_id").agg(
+        *[F.sum(c).alias(c) for c in ("started", "completed", "hearts", "active", "saw")],
+        F.sum(F.col("saw") * F.col("paid")).alias("buying"))
+    of_sessions = lengths.groupBy("user_id").agg(
+        F.sum("session_duration_sec").alias("seconds"), F.count("session_duration_sec").alias("sessions"))
+    sums = members.join(of_events, "user_id", "left").join(of_sessions, "user_id", "left")
+    pairs = [("seconds", "sessions"), ("completed", "started"), ("hearts", "active"), ("buying", "saw")]
+    metrics = F.array(*[
+        F.struct(
+            F.lit(m).alias("metric"), F.coalesce(F.col(a), F.lit(0)).cast("double").alias("top"),
+            F.coalesce(F.col(b), F.lit(0)).cast("double").alias("bottom"))
+        for m, (a, b) in zip(GUARDRAILS, pairs)])
+    return sums.dropna(subset=["variant"]).select("user_id", "variant", F.explode(metrics).alias("m")).select(
+        "user_id", "variant", "m.*").where((F.col("top") != 0) | (F.col("bottom") != 0))
+
+
+def guardrail_by_user(user_sums: DataFrame) -> DataFrame:
+    """metric, control, treatment, difference, low, high, z, significant: ratios of the sums of `user_guardrails` per
+    arm, with a 95 % interval of their difference. Users are the independent units: the variance of a ratio comes from
+    the variances and the covariance of its two sums over users (delta method), in one aggregation."""
+    x, y = F.col("top"), F.col("bottom")
+    n = F.count(F.lit(1))
+    arms = user_sums.groupBy("metric", "variant").agg(
+        n.alias("n"), F.avg(x).alias("x"), F.avg(y).alias("y"), F.var_samp(x).alias("xx"), F.var_samp(y).alias("yy"),
+        F.covar_samp(x, y).alias("xy")).withColumn("ratio", F.try_divide(F.col("x"), F.col("y")))
+    r = F.col("ratio")
+    variance = F.try_divide(
+        F.col("xx") - 2 * r * F.col("xy") + r * r * F.col("yy"), F.col("n") * F.col("y") * F.col("y"))
+    both = arms.withColumn("variance", variance).groupBy("metric").agg(*[
+        F.max(_arm(F.col(c), arm)).alias(f"{c}_{arm}") for c in ("ratio", "variance") for arm in ARMS])
+    error = F.sqrt(F.greatest(F.col("variance_control") + F.col("variance_treatment"), F.lit(0.0)))
+    difference = F.col("ratio_treatment") - F.col("ratio_control")
+    z = F.try_divide(difference, error)
+    return both.select(
+        "metric", F.col("ratio_control").alias("control"), F.col("ratio_treatment").alias("treatment"),
+        difference.alias("difference"), (difference - SIGNIFICANT_Z * error).alias("low"),
+        (difference + SIGNIFICANT_Z * error).alias("high"), z.alias("z"), (F.abs(z) > SIGNIFICANT_Z).alias("significant"))
+
+
+def guardrail_bootstrap(user_sums: DataFrame, rounds: int = 100, seed: int = 42, level: float = 0.95) -> DataFrame:
+    """metric, difference, low, high: the interval of the difference of arms by a Poisson bootstrap over users.
+
+    In each round a user counts 0, 1, 2, ... times, by a hash of the user, the round and the seed, the same in every
+    metric and rerun. Weighted sums are combined on the map side; what is left is a row per round, metric and arm."""
+    total, term = 0.0, math.exp(-1)
+    steps = []
+    for k in range(1, 18):
+        total += term
+        term /= k
+        steps.append(total)
+    turns = user_sums.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
+    digest = F.md5(F.concat_ws(":", F.col("user_id").cast("string"), F.col("round"), F.lit(seed)))
+    share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0
+    weight = sum((flag(F.col("share") >= s) for s in steps), F.lit(0))
+    weighed = turns.withColumn("share", share).withColumn("weight", weight).where("weight > 0")
+    sums = weighed.groupBy("metric", "round", "variant").agg(
+        F.try_divide(F.sum(F.col("weight") * F.col("top")), F.sum(F.col("weight") * F.col("bottom"))).alias("ratio"))
+    rounds_of = sums.groupBy("metric", "round").agg(*[F.max(_arm(F.col("ratio"), a)).alias(a) for a in ARMS]).withColumn(
+        "drawn", F.col(TREATMENT) - F.col(CONTROL))
+    ends = [(1 - level) / 2, (1 + level) / 2]
+    interval = rounds_of.groupBy("metric").agg(*[F.percentile("drawn", p).alias(e) for e, p in zip(("low", "high"), ends)])
+    arms = user_sums.groupBy("metric", "variant").agg(F.try_divide(F.sum("top"), F.sum("bottom")).alias("ratio"))
+    seen = arms.groupBy("metric").agg(*[F.max(_arm(F.col("ratio"), a)).alias(a) for a in ARMS])
+    return seen.select("metric", (F.col(TREATMENT) - F.col(CONTROL)).alias("difference")).join(interval, "metric")

@@ -70,37 +70,78 @@ def _whole_ids(events: DataFrame) -> bool:
     return dict(events.dtypes).get("event_id") in ("tinyint", "smallint", "int", "bigint")
 
 
-def _time_and_id() -> Column:
-    """Time and then id of an event as one decimal, unknown times last: a maximum over it is a hash
-    aggregation, over a struct a sort aggregation."""
+_STEP = "20000000000000000000"  # more than any 64-bit number and its negative are apart
+
+
+def _micros() -> Column:
+    """Time of an event as a number, unknown times last."""
     micros = F.timestamp_diff(
         "MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("event_time").cast("timestamp_ntz"))
-    time = F.coalesce(micros, F.lit(10**18)).cast("decimal(19,0)") * F.lit("20000000000000000000").cast("decimal(20,0)")
-    number = F.coalesce(F.col("event_id").cast("bigint"), F.lit(-(2**63))).cast("decimal(19,0)")
-    return (time + number).cast("decimal(38,0)")
+    return F.coalesce(micros, F.lit(10**18))
+
+
+def _packed(number: Column) -> Column:
+    """Time and then a number as one decimal: a maximum over it is a hash aggregation, over a struct a sort
+    aggregation."""
+    time = _micros().cast("decimal(19,0)") * F.lit(_STEP).cast("decimal(20,0)")
+    return (time + number.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _time_and_id() -> Column:
+    return _packed(F.coalesce(F.col("event_id").cast("bigint"), F.lit(-(2**63))))
+
+
+def _mark(events: DataFrame) -> Column:
+    """A number from 0 to 2^63 - 1 for what tells events of one time apart."""
+    of = [c for c in ("event_id",) if c in events.columns] + ["streak_length", "is_premium"]
+    return F.expr(f"shiftrightunsigned(xxhash64({', '.join(of)}), 1)")
+
+
+def _with_last_events(per_day: DataFrame, ev: DataFrame) -> DataFrame:
+    """Settle the days whose latest time has several events: only those are looked up again, by their time, and
+    ordered by id. `per_day` has the latest time and the highest and lowest mark at it."""
+    step = F.lit(_STEP).cast("decimal(38,0)")
+    tied = F.pmod(F.col("high"), step) + F.pmod(F.col("low"), step) != F.lit(2**63 - 1)
+    marked = per_day.withColumn("tied", tied)
+    ids = [F.col("event_id").desc_nulls_last()] if "event_id" in ev.columns else []
+    order = W.partitionBy("user_id", "date").orderBy(
+        *ids, F.desc_nulls_last("streak_length"), F.desc_nulls_last("is_premium"))
+    rows = ev.select(
+        F.col("user_id").alias("t_user"), F.col("event_date").alias("t_date"), _micros().alias("t_time"),
+        *[c for c in ("event_id",) if c in ev.columns], "streak_length", "is_premium")
+    same = (F.col("user_id") == F.col("t_user")) & (F.col("date") == F.col("t_date")) & (F.col("time") == F.col("t_time"))
+    settled = (
+        marked.where("tied").select("user_id", "date", "time").join(rows, same)
+        .withColumn("place", F.row_number().over(order)).where("place = 1")
+        .select("user_id", "date", F.col("streak_length").alias("s_streak"), F.col("is_premium").alias("s_premium")))
+    joined = marked.join(settled, ["user_id", "date"], "left").withColumns({
+        "streak_length_end_of_day": F.when(F.col("tied"), F.col("s_streak")).otherwise(F.col("streak_length_end_of_day")),
+        "is_premium": F.when(F.col("tied"), F.col("s_premium")).otherwise(F.col("is_premium"))})
+    return joined.drop("tied", "time", "high", "low", "s_streak", "s_premium")
 
 
 def daily_event_features(
     events: DataFrame, *, active_event_names: Sequence[str] | None = None
 ) -> DataFrame:
     """user_id, date, activity and step flags, sums, and the last streak and premium status of the
-    day. One map-side combined aggregation over the events."""
+    day. One map-side combined hash aggregation over the events. The last event is that of the latest time, of
+    equal times the one with the largest id: whole-number ids are part of the order, others are looked up for
+    the days with such ties only."""
     require_columns(
         events, ["xp_delta", "hearts_delta", "streak_length", "is_premium"], "events"
     )
     ev = prep_events(events, active_event_names=active_event_names)
     name = F.col("event_name")
     completed = flag(name == "lesson_completed")
+    timing = {}
     if "event_time" in events.columns and _whole_ids(events):
         order = _time_and_id()
         streak, premium = (F.max_by(c, order) for c in ("streak_length", "is_premium"))
     elif "event_time" in events.columns:
-        order = [F.col("event_time").isNull(), F.col("event_time")]
-        order += [F.col("event_id")] if "event_id" in events.columns else []
-        latest = F.max(F.struct(
-            *[o.alias(f"o{i}") for i, o in enumerate(order)], "streak_length", "is_premium"
-        ))
-        streak, premium = latest["streak_length"], latest["is_premium"]
+        mark = _mark(events)
+        high, low = _packed(mark), _packed(F.lit(2**63 - 1) - mark)
+        streak, premium = (F.max_by(c, high) for c in ("streak_length", "is_premium"))
+        timing = {"time": F.max(_micros()), "high": F.max(high), "low": F.max(low)}
     else:
         require_columns(events, ["event_id"], "events without event_time")
 
@@ -109,9 +150,9 @@ def daily_event_features(
             return F.max_by(column, known)
 
         streak, premium = last_known("streak_length"), last_known("is_premium")
-    return (
-        ev.filter(F.col("user_id").isNotNull())
-        .groupBy("user_id", F.col("event_date").alias("date"))
+    known = ev.filter(F.col("user_id").isNotNull())
+    per_day = (
+        known.groupBy("user_id", F.col("event_date").alias("date"))
         .agg(
             F.max(flag(F.col("is_active_event"))).alias("is_active"),
             F.max(flag(name == "app_open")).alias("had_app_open"),
@@ -122,8 +163,10 @@ def daily_event_features(
             F.sum(clip_at_zero(-F.col("hearts_delta"))).alias("hearts_lost"),
             streak.alias("streak_length_end_of_day"),
             premium.alias("is_premium"),
+            *[c.alias(n) for n, c in timing.items()],
         )
     )
+    return _with_last_events(per_day, known) if timing else per_day
 
 
 def daily_session_features(sessions: DataFrame) -> DataFrame:
@@ -164,12 +207,15 @@ def busy_spans(
     date_max: str | None = None,
     sample_n_users: int | None = None,
     keep_user_cols: Sequence[str] = (),
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """The fact table before its quiet days are filled in: one row per user and busy day, on which
     something happened, standing for the days from `from_day` to `to_day`.
 
     Events and sessions are reduced to user-days, and only those are joined and ordered per user.
     Sums over the fact come from these rows without the users-by-days table, see `operators/sparse.py`.
+    `carried` has the user_id and last_active day before `date_min` of users that were active before it, so that
+    a build of a range goes on from the one before.
     """
     require_columns(users, ["user_id", "signup_date"], "users")
     attributes = [c for c in ("variant", "is_premium_at_signup") if c in users.columns]
@@ -187,6 +233,9 @@ def busy_spans(
     reported = members.withColumns({"start": start, "last": last}).filter(
         F.col("start") <= F.col("last")
     )
+    if carried is not None:
+        before = carried.select("user_id", F.col("last_active").alias("carried_active"))
+        reported = reported.join(before, "user_id", "left")
     features = daily_event_features(events, active_event_names=active_event_names).join(
         daily_session_features(sessions), ["user_id", "date"], "full"
     ).withColumnsRenamed({"user_id": "f_user", "date": "f_date"})
@@ -206,11 +255,12 @@ def _link(busy: DataFrame) -> DataFrame:
     up_to_here = per_user.rowsBetween(W.unboundedPreceding, W.currentRow)
     before_here = per_user.rowsBetween(W.unboundedPreceding, -1)
     active_day = F.when(F.col("is_active") == 1, F.col("f_date"))
+    carried = F.col("carried_active") if "carried_active" in busy.columns else F.lit(None).cast("date")
     return busy.withColumns({
         "from_day": F.when(F.row_number().over(per_user) == 1, F.col("start")).otherwise(F.col("f_date")),
         "to_day": F.coalesce(F.date_sub(F.lead("f_date").over(per_user), 1), F.col("last")),
-        "active_before": F.last(active_day, ignorenulls=True).over(before_here),
-        "active_so_far": F.last(active_day, ignorenulls=True).over(up_to_here),
+        "active_before": F.coalesce(F.last(active_day, ignorenulls=True).over(before_here), carried),
+        "active_so_far": F.coalesce(F.last(active_day, ignorenulls=True).over(up_to_here), carried),
     })
 
 
@@ -228,9 +278,8 @@ def fact_of_spans(spans: DataFrame, keep_user_cols: Sequence[str] = (), include_
     """The fact table: every span filled with its days in place."""
     days = spans.withColumn("date", F.explode(F.sequence("from_day", "to_day")))
     busy_today = F.col("date") == F.col("f_date")
-    last_active = F.when(busy_today, F.col("active_before")).when(
-        F.col("date") > F.col("f_date"), F.col("active_so_far")
-    )
+    # Before the first busy day, and for users without one, only what was carried over counts.
+    last_active = F.when(F.col("date") > F.col("f_date"), F.col("active_so_far")).otherwise(F.col("active_before"))
     active = F.coalesce(busy_today & (F.col("is_active") == 1), F.lit(False))
     state = F.lit(None).cast("string")
     if include_lifecycle:

@@ -70,7 +70,7 @@ def compute_lifecycle_counts(
     group_cols: Sequence[str] | None = ("variant",),
     date_min: str | None = None,
     date_max: str | None = None,
-    history: bool = True,
+    history: bool | str = True,
 ) -> DataFrame:
     """date, state, users, keys: users per state for every day, group and state, zeros included.
 
@@ -78,7 +78,8 @@ def compute_lifecycle_counts(
     up to the next active day and only their ends are counted. The user-by-day table is never
     built: the cost grows with active user-days, not with users times days. Activity before signup
     or before `date_min` counts as history, unless `history` is off: then states come from the
-    reported days alone, as in the fact table.
+    reported days alone, as in the fact table. With `history="signup"` they come from all days since the
+    signup, as in a fact table that is built range by range.
     """
     keys = group_keys(group_cols)
     spans = _state_spans(events, users, keys, active_event_names, date_min, date_max, history=history)
@@ -129,7 +130,7 @@ def compute_lifecycle_transitions(
 
 
 def _state_spans(
-    events, users, keys, active_event_names, date_min, date_max, *, history: bool = True
+    events, users, keys, active_event_names, date_min, date_max, *, history: bool | str = True
 ) -> DataFrame:
     """user_id, keys, until, label, start, stop: the reported days of each user as spans of one state,
     `stop` being the day after, and one empty span per user on the first reported day."""
@@ -154,6 +155,8 @@ def _state_spans(
         same = same & (F.col(k) == F.col(f"a_{k}") if k in own else F.col(k).isNotNull())
     if not history:
         same = same & (F.col("date") >= F.greatest("signup_date", first_day))
+    elif history == "signup":
+        same = same & (F.col("date") >= F.col("signup_date"))
     rows = members.join(other, same, "left").select(
         "user_id", "signup_date", *keys, "date",
         first_day.alias("first_day"), last_day.alias("last_day"),

@@ -232,40 +232,84 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
 
+_OCTAVE, _SLICES = 64, 4096  # ranges per factor of e, and slices of a range that holds a rank
+
+
+def _range_of(v: Column) -> Column:
+    """Number of the range of a value: it never falls where values rise, and there are at most 90,000 of them."""
+    size = F.when(v < 0, -F.log1p(-v)).otherwise(F.log1p(v))
+    return F.when(F.isnan(v), F.lit(2**62)).otherwise(F.greatest(
+        F.lit(-(2**61)), F.least(F.lit(2**61), F.floor(size * _OCTAVE)))).cast("bigint")
+
+
+def _slice_of(v: Column) -> Column:
+    """Number of the slice of a value between the least and the greatest value of its range."""
+    share = F.try_divide(v - F.col("low"), F.col("high") - F.col("low"))
+    return F.when(share.isNull() | F.isnan(share), F.lit(0)).otherwise(F.floor(share * _SLICES)).cast("bigint")
+
+
+def _holding(parts: DataFrame, within: Sequence[str], order: str, *kept: str) -> DataFrame:
+    """The parts of each `within` that hold one of its `ranks`, with these counted from the part's own first row."""
+    group = W.partitionBy(*within) if within else W.partitionBy()
+    before = F.sum("n").over(group.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
+    counted = parts.withColumn("before", before)
+    inside = F.transform(
+        F.filter("ranks", lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("n"))),
+        lambda r: F.struct(r["place"].alias("place"), (r["rank"] - F.col("before")).alias("rank")))
+    return counted.withColumn("ranks", inside).where(F.size("ranks") > 0).select(*within, order, "ranks", *kept)
+
+
 def distribution(df: DataFrame, value: Column | str, percentages: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row: count, mean, std, min, exact percentiles p25.. and max.
+    """One row: count, mean, std, min, exact percentiles p25.. and max; nulls do not count.
 
-    Values are counted first, and ranks come from the running count over the distinct values. These pass
-    one sorted window, so it is meant for whole seconds or daily values, not for a continuous measure
-    of the raw events.
+    Ranks are selected, values are not sorted: values are counted by ranges of a fixed width on a logarithmic
+    scale, then only those of the ranges that hold a rank by equal slices, and then only those of the slices that
+    hold one by value. Every count is combined on the map side, and no window sees more than the ranges, the slices
+    of a range, or the distinct values of a slice. The input is read three times; store it first if it is dear.
     """
     column = F.col(value) if isinstance(value, str) else value
-    counted = df.select(column.cast("double").alias("v")).filter("v is not null").groupBy("v").agg(
+    values = df.select(column.cast("double").alias("v")).filter("v is not null").withColumn("range", _range_of(F.col("v")))
+    ranges = values.groupBy("range").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.avg("v").alias("mean"),
+        F.var_pop("v").alias("var"))
+
+    all_ranges = W.partitionBy()
+    total = F.sum("n").over(all_ranges)
+    places = [F.lit(float(p)) * (total - 1) for p in percentages]
+    ranks = F.array(*[
+        F.struct(F.lit(2 * i + up).alias("place"), f(place).cast("bigint").alias("rank"))
+        for i, place in enumerate(places) for up, f in enumerate((F.floor, F.ceil))])
+    held = _holding(ranges.withColumn("ranks", ranks), [], "range", "low", "high")
+    slices = values.join(held.select("range", "low", "high"), "range").groupBy("range", _slice_of(F.col("v")).alias("slice")).agg(
         F.count(F.lit(1)).alias("n"))
-    everything = W.partitionBy()
-    up_to_here = W.orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counted.select(
-        "v", "n", F.sum("n").over(up_to_here).alias("seen"), F.sum("n").over(everything).alias("total"),
-        (F.sum(F.col("v") * F.col("n")).over(everything) / F.sum("n").over(everything)).alias("mean"),
-    )
-
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("seen") > rank, F.col("v")))
-
-    def percentile(p: float) -> Column:
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        low, high, share = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
-        return low + (high - low) * share
+    sliced = _holding(slices.join(held.select("range", "ranks"), "range"), ["range"], "slice")
+    bounds = sliced.join(held.select("range", "low", "high"), "range")
+    found = values.join(bounds.select("range", "low", "high").distinct(), "range").withColumn("slice", _slice_of(F.col("v")))
+    counts = found.join(sliced.select("range", "slice"), ["range", "slice"]).groupBy("range", "slice", "v").agg(
+        F.count(F.lit(1)).alias("n"))
+    picked = _holding(counts.join(sliced, ["range", "slice"]), ["range", "slice"], "v").select(
+        "v", F.explode("ranks.place").alias("place"))
 
-    spread = F.sum(F.col("n") * F.pow(F.col("v") - F.col("mean"), 2))
-    return ranked.agg(
+    moments = ranges.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-        F.max("mean").alias("mean"),
-        F.when(F.sum("n") > 1, F.sqrt(spread / (F.sum("n") - 1))).alias("std"),
-        F.min("v").alias("min"),
-        *[percentile(p).alias(f"p{round(p * 100)}") for p in percentages],
-        F.max("v").alias("max"),
-    )
+        F.try_divide(F.sum(F.col("mean") * F.col("n")), F.sum("n")).alias("mean"),
+        F.min("low").alias("min"), F.max("high").alias("max"),
+        F.collect_list(F.struct("n", "mean", "var")).alias("parts"))
+    spread = F.aggregate("parts", F.lit(0.0), lambda acc, x: acc + x["n"] * (x["var"] + F.pow(x["mean"] - F.col("mean"), 2)))
+    summary = moments.select(
+        "count", "mean", F.when(F.col("count") > 1, F.sqrt(spread / (F.col("count") - 1))).alias("std"), "min", "max")
+
+    # The one row of moments and the few picked values meet in one small aggregation.
+    rows = summary.unionByName(picked, allowMissingColumns=True)
+
+    def percentile(i: int, p: float) -> Column:
+        low, high = (F.max(F.when(F.col("place") == 2 * i + up, F.col("v"))) for up in (0, 1))
+        place = F.lit(float(p)) * (F.max("count") - 1)
+        return low + (high - low) * (place - F.floor(place))
+
+    return rows.agg(
+        F.max("count").alias("count"), F.max("mean").alias("mean"), F.max("std").alias("std"), F.max("min").alias("min"),
+        *[percentile(i, p).alias(f"p{round(p * 100)}") for i, p in enumerate(percentages)], F.max("max").alias("max"))
 
 
 def unknown_names(events: DataFrame, taxonomy: Sequence[str] = tuple(EVENT_TAXONOMY)) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegauge.functions.checks import require_columns
 from tidegauge.operators.prepare import active_user_days, unique_users
@@ -62,6 +62,69 @@ def compute_retention(
     return cohorts.select(*columns, *([] if drop_incomplete else ["is_fully_observed"]))
 
 
+_WORD = 63  # bits of a long that are used, so that none is negative
+
+
+def activity_bitmaps(
+    users: DataFrame,
+    events: DataFrame,
+    last_day: int = 90,
+    *,
+    active_event_names: Sequence[str] | None = None,
+    by_variant: bool = True,
+) -> DataFrame:
+    """user_id, signup_date, (variant), bits, last_offset, horizon: one row per user. Bit n of `bits` (63 to a
+    long) says whether the user was active on signup + n, for n from 0 to `last_day`; `last_offset` is the largest
+    such n of all, also beyond, and `horizon` the last active day of anyone.
+
+    User-days are folded into bits by one aggregation after their join with the users, whatever the number of
+    horizons that are asked for later."""
+    require_columns(users, ["user_id", "signup_date"], "users")
+    split = ["variant"] if by_variant and "variant" in users.columns else []
+    matched = [c for c in split if c in events.columns]
+    active = active_user_days(events, active_event_names=active_event_names, group_cols=matched)
+    horizon = active.agg(F.max("date")).scalar()
+    members = unique_users(users, split).dropna(subset=split or None)
+    offset = F.datediff("date", "signup_date")
+    placed = members.join(active, ["user_id", *matched], "left").withColumn("offset", F.when(offset >= 0, offset))
+    words = [
+        F.coalesce(F.bit_or(F.when(
+            F.col("offset").between(w * _WORD, min((w + 1) * _WORD - 1, last_day)),
+            F.expr(f"shiftleft(1L, offset - {w * _WORD})"))), F.lit(0).cast("bigint"))
+        for w in range(last_day // _WORD + 1)]
+    per_user = placed.groupBy("user_id", "signup_date", *split).agg(
+        *[w.alias(f"w{i}") for i, w in enumerate(words)], F.max("offset").alias("last_offset"))
+    return per_user.select(
+        "user_id", "signup_date", *split, F.array(*[f"w{i}" for i in range(len(words))]).alias("bits"), "last_offset",
+        horizon.alias("horizon"))
+
+
+def retention_of_bitmaps(
+    bitmaps: DataFrame, n_days: Sequence[int] = (1, 7, 30), *, drop_incomplete: bool = True, unbounded: bool = False,
+) -> DataFrame:
+    """The table of `compute_retention` from activity bitmaps, for any set of horizons at once. With `unbounded`, a
+    user counts for day n if active on that day or any later one."""
+    split = [c for c in ("variant",) if c in bitmaps.columns]
+    def kept(n: int) -> Column:
+        if unbounded:
+            return F.coalesce(F.col("last_offset") >= n, F.lit(False)).cast("bigint")
+        return F.expr(f"shiftright(bits[{n // _WORD}], {n % _WORD}) & 1L")
+
+    offsets = sorted(set(map(int, n_days)))
+    counts = bitmaps.groupBy("signup_date", *split).agg(
+        F.count("user_id").alias("cohort_size"), F.max("horizon").alias("horizon"),
+        *[F.sum(kept(n)).alias(f"d{n}") for n in offsets])
+    days = F.array(*[
+        F.struct(F.lit(n).alias("day_n"), F.col(f"d{n}").alias("retained_users")) for n in offsets])
+    rows = counts.withColumn("day", F.explode(days)).select("*", "day.*").withColumn(
+        "observable", F.date_add("signup_date", F.col("day_n")) <= F.col("horizon"))
+    shown = rows.select(
+        F.col("signup_date").alias("cohort_date"), *split, "retained_users", "day_n", "cohort_size",
+        (F.col("retained_users") / F.col("cohort_size")).alias("retention_rate"),
+        F.col("observable").alias("is_fully_observed"))
+    return shown.where("is_fully_observed").drop("is_fully_observed") if drop_incomplete else shown
+
+
 def build_agg_retention_cohort(
     users: DataFrame,
     events: DataFrame,

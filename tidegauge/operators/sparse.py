@@ -64,13 +64,14 @@ def agg_lifecycle_of_days(
     active_event_names: Sequence[str] | None = None,
     date_min=None,
     date_max=None,
+    carried: bool = False,
 ) -> DataFrame:
     """date, state, keys, users as the fact table gives them, from spans of one state. The keys are those
-    of the users; `date_max` is the last day of the fact."""
+    of the users; `date_max` is the last day of the fact. With `carried`, activity before `date_min` counts."""
     keys = group_keys(group_cols)
     counts = compute_lifecycle_counts(
         events.drop(*keys), users, active_event_names=active_event_names, group_cols=keys,
-        date_min=date_min, date_max=date_max, history=False,
+        date_min=date_min, date_max=date_max, history="signup" if carried else False,
     ).filter(F.col("users") > 0)
     return (counts.dropna(subset=keys) if keys else counts).select("date", "state", *keys, "users")
 

@@ -64,6 +64,13 @@ AGG_FUNNEL_DAILY = _layout(
 )
 AGG_LIFECYCLE_DAILY = _layout("date DATE, state STRING, variant STRING, users BIGINT")
 
+# What a build of a range of days hands on to the next one.
+USER_STATE = _layout(
+    "user_id BIGINT, last_active DATE, last_premium_day DATE, last_premium BOOLEAN, active_days BIGINT, "
+    "sessions_count BIGINT, session_duration_sec BIGINT, lessons_completed BIGINT, xp_earned BIGINT, "
+    "hearts_lost BIGINT, horizon DATE, as_of DATE"
+)
+
 RAW_TABLES = {"users": USERS, "sessions": SESSIONS, "events": EVENTS, "lessons": LESSONS}
 DERIVED_TABLES = {
     "fact_user_daily": FACT_USER_DAILY,

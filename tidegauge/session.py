@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -42,6 +46,18 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names; in local mode without one, a temporary folder."""
+    if not has_checkpoint_dir(spark):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tidegauge-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+    return use_checkpoint_dir(spark)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint, so that a lost executor loses no finished work."""
     use_checkpoint_dir(df.sparkSession)

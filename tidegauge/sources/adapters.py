@@ -67,6 +67,14 @@ def product_users(events: DataFrame, customer: DataFrame, nation: DataFrame) ->
     )
 
 
+def product_lessons(part: DataFrame) -> DataFrame:
+    return part.select(
+        F.col("p_partkey").cast("string").alias("lesson_id"), F.col("p_brand").alias("unit_id"),
+        F.col("p_type").alias("skill"), F.col("p_size").alias("difficulty"), F.col("p_name").alias("topic"),
+        F.lit(120).alias("expected_duration_sec"), F.lit(10).alias("expected_xp"),
+    )
+
+
 def product_sessions(product_events: DataFrame) -> DataFrame:
     return sessions_from_events(product_events, gap=SESSION_GAP).drop("events")
 
