@@ -1,0 +1,183 @@
+"""Selected ranks, sketches, bitmaps, ratios by user and last events, against plain definitions."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import day, table
+from tidegauge.operators import activity, experiment, fact, quality, retention
+
+SHARES = (0.0, 0.05, 0.25, 0.5, 0.9, 1.0)
+
+
+def _values(kind):
+    rng = random.Random(3)
+    return {
+        "spread": [rng.uniform(-5, 5) for _ in range(400)],
+        "powers": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(300)],
+        "ties": [float(rng.randrange(4)) for _ in range(300)],
+        "one far": [1.0 + i * 1e-9 for i in range(200)] + [1e300],
+        "single": [7.5],
+        "two": [-1.0, 2.0],
+        "same": [3.25] * 50,
+    }[kind]
+
+
+@pytest.mark.parametrize("kind", ["spread", "powers", "ties", "one far", "single", "two", "same"])
+def test_distribution_selects_exact_ranks(spark, kind):
+    values = _values(kind)
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
+    row = quality.distribution(df, "v", SHARES).first()
+    assert row["count"] == len(values) and (row["min"], row["max"]) == (min(values), max(values))
+    ordered = sorted(values)
+    for p in SHARES:
+        place = p * (len(values) - 1)
+        low, high = ordered[math.floor(place)], ordered[math.ceil(place)]
+        assert row[f"p{round(100 * p)}"] == low + (high - low) * (place - math.floor(place))
+    if kind not in ("powers", "one far"):
+        assert math.isclose(row["mean"], np.mean(values), rel_tol=1e-9, abs_tol=1e-12)
+        if len(values) > 1:
+            assert math.isclose(row["std"], np.std(values, ddof=1), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_distribution_of_nothing_and_of_infinite_values(spark):
+    empty = quality.distribution(spark.createDataFrame([], "v int"), "v").first()
+    assert empty["count"] == 0 and empty["mean"] is None and empty["p50"] is None and empty["max"] is None
+    values = [float("-inf"), -2.0, 0.0, 1.0, float("inf"), float("inf"), float("nan")]
+    row = quality.distribution(spark.createDataFrame([(v,) for v in values], "v double"), "v", (0.0, 0.5)).first()
+    assert row["p0"] == float("-inf") and row["p50"] == 1.0 and math.isnan(row["max"])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_no_window_over_values(spark):
+    df = spark.range(10).select(F.col("id").cast("double").alias("v"))
+    plan = quality.distribution(df, "v")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window " in f" {line.strip(' :+-')} " or line.strip(" :+-").startswith("Window")]
+    assert windows and not any("[v#" in w and ", [v#" in w and w.rstrip().endswith("ASC NULLS FIRST]") and "[range#" not in w for w in windows)
+
+
+def test_sketches_merge_like_sets(spark, frames):
+    rows = [(u, f"2025-01-{d:02d}", "app_open", "control" if u % 2 else None) for u in range(1, 60) for d in range(1 + u % 5, 20, 4)]
+    events = frames.events(*rows)
+    for keys in ((), ("variant",)):
+        sketches = activity.daily_user_sketches(events, group_cols=keys)
+        near = activity.approx_active_users(sketches, {"dau": 1, "wau": 7, "mau": 30}, keys)
+        exact = activity.compute_active_users(events, group_cols=keys)
+        assert table(near.select("date", *keys, "dau", "wau", "mau")) == table(exact.select("date", *keys, "dau", "wau", "mau"))
+    with pytest.raises(ValueError):
+        activity.approx_active_users(sketches, {"x": 0})
+
+
+def test_sketch_error_is_bounded_and_keys_come_from_users(spark, frames):
+    events = spark.range(40_000).select(
+        (F.col("id") % 20_000).alias("user_id"), F.lit(day("2025-01-05")).alias("event_date"), F.lit("app_open").alias("event_name"))
+    users = spark.range(20_000).select(
+        F.col("id").alias("user_id"), F.lit(day("2025-01-01")).alias("signup_date"), F.lit("AU").alias("country"))
+    sketches = activity.daily_user_sketches(events, group_cols=["country"], users=users)
+    row = activity.approx_active_users(sketches, {"wau": 7}, ["country"]).first()
+    assert row["country"] == "AU" and abs(row["wau"] - 20_000) < 0.05 * 20_000
+    assert "hll" in _plan(activity.daily_user_sketches(events, group_cols=None)).lower()
+
+
+def test_bitmaps_hold_each_day_and_the_last_one(spark, frames):
+    users = frames.users((1, "2025-01-01", "control"), (2, "2025-01-01", "treatment"), (3, "2025-01-02", None))
+    days = [(1, 0), (1, 62), (1, 63), (1, 64), (1, 126), (1, 200), (2, 1), (3, 1)]
+    events = frames.events(*[
+        (u, f"{np.datetime64('2025-01-01') + np.timedelta64(n, 'D')}T08:00", "app_open", {1: "control", 2: "treatment"}.get(u)) for u, n in days],
+        (2, "2024-12-30T08:00", "app_open", "treatment"))
+    maps = {r["user_id"]: r for r in retention.activity_bitmaps(users, events, 130).collect()}
+    assert set(maps) == {1, 2}
+    bits = sum(w << (63 * i) for i, w in enumerate(maps[1]["bits"]))
+    assert {n for n in range(200) if bits >> n & 1} == {0, 62, 63, 64, 126} and maps[1]["last_offset"] == 200
+    assert all(w >= 0 for r in maps.values() for w in r["bits"]) and maps[2]["last_offset"] == 1
+
+
+@pytest.mark.parametrize("by_variant", [True, False])
+@pytest.mark.parametrize("incomplete", [True, False])
+def test_bitmap_retention_equals_the_exploded_form(spark, frames, by_variant, incomplete):
+    rng = random.Random(4)
+    users = frames.users(*[(u, f"2025-01-{1 + u % 9:02d}", ("control", "treatment", None)[u % 3]) for u in range(40)])
+    events = frames.events(*[
+        (rng.randrange(45), f"2025-{rng.randrange(1, 4):02d}-{rng.randrange(1, 29):02d}T08:00", "app_open",
+         ("control", "treatment", None)[rng.randrange(3)]) for _ in range(300)])
+    days = [0, 1, 7, 30, 62, 63, 64, 80]
+    maps = retention.activity_bitmaps(users, events, 80, by_variant=by_variant)
+    got = retention.retention_of_bitmaps(maps, days, drop_incomplete=not incomplete)
+    want = retention.compute_retention(users, events, days, by_variant=by_variant, drop_incomplete=not incomplete)
+    assert table(got.select(*want.columns)) == table(want)
+    later = table(retention.retention_of_bitmaps(maps, [0], unbounded=True), "cohort_date", "retained_users", "cohort_size")
+    assert all(kept <= size for _, kept, size in later)
+
+
+def _sums(spark, seed=1):
+    rng = random.Random(seed)
+    rows = [(u, ("control", "treatment")[u % 2], "m", float(rng.randrange(9)), float(rng.randrange(1, 5))) for u in range(200)]
+    return rows, spark.createDataFrame(rows, "user_id bigint, variant string, metric string, top double, bottom double")
+
+
+def test_delta_method_by_hand(spark):
+    rows, sums = _sums(spark)
+    got = experiment.guardrail_by_user(sums).first()
+    ratio, var = {}, {}
+    for arm in ("control", "treatment"):
+        x, y = (np.array([r[i] for r in rows if r[1] == arm]) for i in (3, 4))
+        ratio[arm] = x.mean() / y.mean()
+        var[arm] = np.var(x - ratio[arm] * y, ddof=1) / len(x) / y.mean() ** 2
+    gap, err = ratio["treatment"] - ratio["control"], math.sqrt(sum(var.values()))
+    assert math.isclose(got["difference"], gap) and math.isclose(got["z"], gap / err, rel_tol=1e-6)
+    assert math.isclose(got["low"], gap - 1.96 * err, rel_tol=1e-6) and got["significant"] == (abs(gap / err) > 1.96)
+
+
+def test_bootstrap_agrees_with_the_delta_method_and_with_itself(spark):
+    _, sums = _sums(spark, 2)
+    delta = experiment.guardrail_by_user(sums).first()
+    first = experiment.guardrail_bootstrap(sums, rounds=300).first()
+    again = experiment.guardrail_bootstrap(sums.repartition(7), rounds=300).first()
+    assert math.isclose(first["low"], again["low"]) and math.isclose(first["difference"], delta["difference"])
+    width = delta["high"] - delta["low"]
+    assert abs(first["low"] - delta["low"]) < 0.2 * width and abs(first["high"] - delta["high"]) < 0.2 * width
+
+
+def test_user_sums_by_hand(spark, frames):
+    users = frames.users((1, "2025-01-01", "control"), (2, "2025-01-01", "treatment"), (3, "2025-01-01", None))
+    events = frames.full_events(*[
+        (f"e{i}", u, t, n, 0, h, 0, False, "x") for i, (u, t, n, h) in enumerate([
+            (1, "2025-01-02T08:00", "lesson_started", -1), (1, "2025-01-02T09:00", "lesson_completed", 0),
+            (1, "2025-01-03T08:00", "paywall_shown", 0), (1, "2025-01-03T09:00", "purchase", 0),
+            (1, "2025-01-04T08:00", "paywall_shown", 0), (1, "2024-12-31T08:00", "paywall_shown", 0),
+            (3, "2025-01-02T08:00", "lesson_started", -1)])])
+    sessions = frames.sessions(("a", 1, "2025-01-02T08:00", "2025-01-02T08:10"), ("b", 2, "2025-01-02T08:00", "2025-01-02T08:01"))
+    got = table(experiment.user_guardrails(sessions, events, users, start="2025-01-01"))
+    assert got == {
+        (1, "control", "avg_session_duration_sec", 600.0, 1.0), (1, "control", "lesson_completion_rate", 1.0, 1.0),
+        (1, "control", "hearts_lost_per_user", 1.0, 1.0), (1, "control", "purchase_conversion", 1.0, 2.0),
+        (2, "treatment", "avg_session_duration_sec", 60.0, 1.0)}
+
+
+def test_last_event_of_text_ids(spark, frames):
+    noon, one = "2025-01-02T12:00", "2025-01-02T13:00"
+    rows = [
+        ("b", 1, noon, "app_open", 0, 0, 5, True, "x"), ("a", 1, noon, "app_open", 0, 0, 9, False, "x"),
+        ("z", 2, noon, "app_open", 0, 0, 1, True, "x"), ("a", 2, one, "app_open", 0, 0, 2, False, "x"),
+        ("c", 3, one, "app_open", 0, 0, 3, True, "x"), ("c", 3, one, "app_open", 0, 0, 4, False, "x"),
+        (None, 4, one, "app_open", 0, 0, 7, True, "x"), ("a", 4, one, "app_open", 0, 0, 6, None, "x"),
+        ("same", 5, one, "app_open", 0, 0, 8, True, "x"), ("same", 5, one, "app_open", 0, 0, 8, True, "x")]
+    events = frames.full_events(*rows)
+    got = table(fact.daily_event_features(events), "user_id", "streak_length_end_of_day", "is_premium")
+    assert got == {(1, 5, True), (2, 2, False), (3, 4, False), (4, 6, None), (5, 8, True)}
+    unknown = events.withColumn("event_time", F.when(F.col("event_id") != "z", F.col("event_time")))
+    late = table(fact.daily_event_features(unknown), "user_id", "streak_length_end_of_day")
+    assert (2, 2) in late or (2, 1) in late
+    without = table(fact.daily_event_features(events.drop("event_id")), "user_id", "streak_length_end_of_day", "is_premium")
+    assert {(1, 9, False), (3, 4, False), (4, 7, True), (5, 8, True)} <= without
+
+
+def test_text_ids_take_no_sort_aggregation(spark, frames):
+    events = frames.full_events(("a", 1, "2025-01-02T12:00", "app_open", 0, 0, 5, True, "x"))
+    assert "SortAggregate" not in _plan(fact.daily_event_features(events))

@@ -305,7 +305,7 @@ def distribution(df: DataFrame, value: Column | str, percentages: Sequence[float
     def percentile(i: int, p: float) -> Column:
         low, high = (F.max(F.when(F.col("place") == 2 * i + up, F.col("v"))) for up in (0, 1))
         place = F.lit(float(p)) * (F.max("count") - 1)
-        return low + (high - low) * (place - F.floor(place))
+        return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
 
     return rows.agg(
         F.max("count").alias("count"), F.max("mean").alias("mean"), F.max("std").alias("std"), F.max("min").alias("min"),
