@@ -135,77 +135,96 @@ def test_scores_of_the_corpus(spark, texts):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def _learnt(docs):
+    return docs.select(F.encode("text", "UTF-8").alias("text"), F.lit(0).alias("part"))
+
+
 @pytest.mark.parametrize("head", [0, 50])
 def test_scores_do_not_depend_on_what_is_broadcast(spark, texts, head):
     docs = spark.createDataFrame([(i, t) for i, t in texts.items() if i < 40], "doc_id bigint, text string")
-    rows = docs.select(F.encode("text", "UTF-8").alias("text"), F.lit(0).alias("part"))
-    results = []
-    for h in (10**6, head):
-        words = maxent.count_words(rows.select("text"), h)
-        assert len(words.keys) <= h
-        weights = np.zeros((maxent.FEATURES * maxent.BUCKETS, maxent.CLASSES), np.float32)
-        scored = maxent.apply(docs, words, weights, np.zeros(maxent.CLASSES, np.float32)).collect()
-        results.append({r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"]) for r in scored})
-    for i, (n, known, base) in results[0].items():
-        assert results[1][i][:2] == (n, known) and results[1][i][2] == pytest.approx(base)
+    whole = maxent.count_words(_learnt(docs).select("text"), 10**6)
+    model = maxent.train(_learnt(docs), whole, 1)
+    small = maxent.count_words(_learnt(docs).select("text"), head)
+    assert len(small.keys) <= head < len(whole.keys)
+    # Words outside the head share leaves; with the frequent ones in it nothing else differs.
+    plain = [
+        {r["doc_id"]: tuple(r)[1:5] for r in maxent.apply(docs, v, model).collect()} for v in (whole, small)]
+    for i, (n, known, total, base) in plain[0].items():
+        assert plain[1][i][:3] == (n, known, total) and plain[1][i][3] == pytest.approx(base)
+    if head >= 50:
+        return
+    leaves = dict(zip(whole.keys.tolist(), whole.leaves.tolist()))
+    rest = {r["key"]: r["n"] for r in small.rest.collect()}
+    assert rest == dict(zip(whole.keys.tolist(), whole.counts.tolist())) and set(leaves) == set(rest)
 
 
 def test_probabilities_sum_to_one(spark, texts):
-    docs = spark.createDataFrame([(1, "a b a c b a"), (2, "b a d a")], "doc_id bigint, text string")
-    rows = docs.select(F.encode("text", "UTF-8").alias("text"), F.lit(0).alias("part"))
-    words = maxent.count_words(rows.select("text"))
-    weights, bias = maxent.train(rows, words, 1)
-    feature = np.zeros((3, 1), np.int64) + np.array([[5], [maxent.BUCKETS + 9], [2 * maxent.BUCKETS + 1]])
-    every = np.arange(maxent.CLASSES)
-    log_p = maxent._log_class(weights, bias, np.repeat(feature, len(every), axis=1), every)
-    assert np.exp(log_p).sum() == pytest.approx(1, abs=1e-5)
-    room = words.class_total + words.class_distinct + 1
-    inside = np.zeros(maxent.CLASSES)
-    np.add.at(inside, words.classes, words.counts + 1)
-    assert np.allclose(inside + 1, room)  # the rest of a class is one unseen word
-
-
-def test_contexts_tell_words_of_a_class_apart(spark):
-    # Endings are the same, so the words share a class; 600 words before them are more than a fixed table tells apart.
-    rows = [(i, f"w{i % 600:03d}x a{i % 600:03d}zzz") for i in range(6000)]
-    rows += [(10_000, "w007x a007zzz"), (10_001, "w007x a008zzz")]
+    """Of classes, of leaves in each class, and of the words of a leaf with one unseen word."""
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items() if i < 60], "doc_id bigint, text string")
+    words = maxent.count_words(_learnt(docs).select("text"))
+    model = maxent.train(_learnt(docs), words, 1)
+    assert np.abs(model.weights).sum() > 0
+    leaf = np.arange(maxent.LEAVES)
+    after = 12345  # what stands before
+    shares = []
+    for each in leaf:
+        codes = np.array([777, after, each << maxent._WORD_BITS | 5], np.int64)
+        shares.append(model.log_shares(codes, np.array([0]))[2])
+    assert np.exp(shares).sum() == pytest.approx(1, abs=1e-4)
+    room = words.leaf_total + words.leaf_distinct + 1
+    inside = np.zeros(maxent.LEAVES)
+    np.add.at(inside, words.leaves, words.counts + 1)
+    assert np.allclose(inside + 1, room) and words.leaf_total.sum() == words.total
+
+
+def test_scores_by_hand(spark):
+    docs = spark.createDataFrame([(1, "a b a c b a"), (2, "b a d a"), (3, "zz a")], "doc_id bigint, text string")
+    learnt = docs.where("doc_id < 3")
+    words = maxent.count_words(_learnt(learnt).select("text"))
+    model = maxent.train(_learnt(learnt), words, 1)
+    place = dict(zip(words.keys.tolist(), range(len(words.keys))))
+    room = words.leaf_total + words.leaf_distinct + 1
+    got = {r["doc_id"]: r["score"] for r in maxent.apply(docs, words, model).collect()}
+    for r in docs.collect():
+        coder = maxent._Coder(words.keys, words.leaves)
+        toks = maxent.tokens(r["text"].encode())
+        codes = np.array([coder[w] for w in toks])
+        want = model.log_shares(codes, np.array([0])).sum() / math.log(10)
+        for w in toks:
+            at = place.get(maxent._key(w))
+            n, leaf = (0, maxent._shared_leaf(w)) if at is None else (words.counts[at], words.leaves[at])
+            want += math.log10((n + 1) / room[leaf])
+        assert got[r["doc_id"]] == pytest.approx(want, rel=1e-6)
+
+
+def test_features_start_anew_with_each_text():
+    codes = np.array([3, 4, 5, 3, 4, 5], np.int64)
+    rows = maxent._features(codes, np.array([0, 3]), 4096)
+    assert (rows[:, :, :3] == rows[:, :, 3:]).all()
+    other = maxent._features(np.array([9, 4, 5, 3, 4, 5], np.int64), np.array([0, 3]), 4096)
+    assert (rows[:, :, 3:] == other[:, :, 3:]).all() and (rows[0, :, 1] != other[0, :, 1]).sum() == 2
+    for level in range(2):
+        for kind in range(maxent.FEATURES):
+            assert (rows[level, kind] // 4096 == level * maxent.FEATURES + kind).all()
+
+
+def test_context_tells_words_apart(spark):
+    rows = [(i, f"x{i % 50} " + ("red" if i % 50 < 25 else "blue")) for i in range(4000)]
+    rows += [(10_000 + k, f"x{k} {w}") for k in (3, 40) for w in ["red"]]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r["doc_id"]: r["score"] for r in maxent.score(docs, F.col("doc_id") < 10_000).collect()}
-    assert len(got) == len(rows) and got[10_000] > got[10_001] + 0.5
-
-
-def test_words_after_a_context_sum_to_one(spark, monkeypatch):
-    words = ["a", "b", "c", "d", "\n"]
-    learnt = [(i, t) for i, t in enumerate(["a b a c b a", "b a d a", "a b d"] * 9)]
-    asked = [(100 + i, f"a b {w}") for i, w in enumerate([*words[:4], ""])] + [(200, "a b qq")]
-    docs = spark.createDataFrame(learnt + asked, "doc_id bigint, text string")
-    rows = docs.where("doc_id < 100").select(F.encode("text", "UTF-8").alias("text"))
-    counted = maxent.count_words(rows)
-    weights, bias = np.zeros((maxent.FEATURES * maxent.BUCKETS, maxent.CLASSES), np.float32), np.zeros(maxent.CLASSES, np.float32)
-    results = []
-    for tokens in (10**6, 7):  # one block, and many
-        monkeypatch.setattr(maxent, "_BLOCK_TOKENS", tokens)
-        got = maxent.apply_contexts(docs, F.col("doc_id") < 100, counted, weights, bias).collect()
-        results.append({r["doc_id"]: tuple(r)[1:] for r in got})
-    assert results[0] == results[1]
-    # By hand: counts of what follows the last two words, one feature after the other.
-    texts = [[*t.split(), "\n"] for _, t in learnt]
-    flat = Counter(w for t in texts for w in t)
-    keys = {w: maxent._key(w.encode()) for w in flat}
-    classes = {w: int(counted.classes[list(counted.keys).index(keys[w])]) for w in flat}
-    contexts = (lambda t, i: t[i - 2] if i > 1 else None, lambda t, i: t[i - 1] if i else None, lambda t, i: (t[i - 1] if i else None, t[i - 2] if i > 1 else None))
-    def p(text, i, word):
-        c = classes[word]
-        q, u = 1 / maxent.CLASSES, (flat[word] + 1) / (counted.class_total[c] + counted.class_distinct[c] + 1)
-        for f in contexts:
-            after = [t[j] for t in texts for j in range(len(t)) if f(t, j) == f(text, i)]
-            in_class = sum(classes[w] == c for w in after)
-            q, u = (in_class + maxent.PRIOR * q) / (len(after) + maxent.PRIOR), (after.count(word) + maxent.PRIOR * u) / (in_class + maxent.PRIOR)
-        return q * u
-    for k, w in enumerate(words[:4]):
-        text = ["a", "b", w, "\n"]
-        want = sum(math.log10(p(text, i, x)) for i, x in enumerate(text))
-        assert results[0][100 + k][-1] == pytest.approx(want, rel=1e-4)
+    assert len(got) == len(rows) and got[10_003] > got[10_040] + 0.5
+
+
+def test_rounds_and_buckets_grow_with_the_corpus():
+    def sizes(total):
+        none = np.zeros(0, np.int64)
+        words = maxent.Vocabulary(none, none, none, total, 0, none, none, None)
+        return words.rounds, words.buckets
+
+    assert sizes(0) == (2, 4096) and sizes(50_000_000) == (2, 16384)
+    grown = [sizes(t) for t in (10**6, 4 * 10**6, 10**8, 10**9, 10**12)]
+    assert grown == sorted(grown) and grown[-1][0] > grown[2][0] > 2 and grown[-1][1] == maxent.MOST_BUCKETS
 
 
 def test_scores_of_odd_rows(edge_docs, no_docs):

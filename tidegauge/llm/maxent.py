@@ -1,26 +1,24 @@
 """Language model scores from a hashed maximum-entropy model.
 
-A word's probability is that of its class given the words before it, times that of the word in its class.
-Classes are the most frequent words, one each, and shapes (hashed endings) for all others. The class comes
-from a softmax over hashed features: the last word, the last but one (a skip), and both together. Weights
-are trained by distributed gradient updates: tasks walk their documents in small batches from the current
-weights, and the updates are averaged per feature, weighted by how often each task saw it.
-
-What is known about contexts grows with the corpus: for each of the three features, the exact counts of the
-feature, of each class after it and of each word after it are a table by 64-bit hash. The table is dealt out
-in blocks by hash. Texts send each block the keys they need, once per batch of texts, and get the totals back.
-A feature then scales both factors, the class and the word in its class, towards what followed it, by as much
-as it was seen against `PRIOR`; each factor sums to one after every feature. An occurrence that was learnt
-from does not count for its own score.
-
-Counts cover the whole training corpus. The most frequent words, at most `HEAD`, are broadcast with their
-probabilities; the counts of all other words stay a table, and the words meet them in a join.
+A word's probability has three factors: its class and its leaf in the class, both given the words before it,
+and the word in its leaf. Classes and leaves come from the vocabulary: each of the most frequent words is a leaf of
+its own, all others share leaves by their endings (class) and beginnings (leaf). The first two factors are
+softmaxes over hashed features: the last word (an n-gram feature), the last but one (a skip), and both together;
+for the leaf, each of them with the class.
+
+Weights are trained by distributed gradient updates. Each synchronised round takes its own part of the documents;
+tasks walk their documents in small batches from the current weights, and their updates are averaged per feature,
+weighted by how often each task saw it. The number of rounds and the number of hash buckets grow with the corpus;
+a task's update is a fixed share of the text that it has read, so that all rounds together send in proportion to the corpus.
+
+Counts of words cover the whole training corpus and stay a table. The most frequent words, at most `HEAD`, are
+broadcast with their counts; all others meet the table in a join. The last factor and the plain scores need them.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import zlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,19 +31,20 @@ from tidegauge.llm.common import quoted, small_batches, stored
 
 END = b"\n"  # no word has white space
 HEAD = 200_000  # words that are broadcast at most
-SINGLE = 24  # classes of one frequent word
-SHAPES = 40
-CLASSES = SINGLE + SHAPES
-BUCKETS = 4096  # of each kind of feature
-FEATURES = 3
-ROUNDS = 2  # each on its own part of the documents
-STEP = 0.5
-_CHUNK = 16_384  # tokens of a batch
+CLASSES = 32  # and as many leaves in each
+FREQUENT = 8  # classes whose leaves are single words
+LEAVES = CLASSES * CLASSES
+FEATURES = 3  # kinds, for each of the two softmaxes
+LEAST_BUCKETS, MOST_BUCKETS = 4096, 16384  # of each kind of feature
+_TOKENS_A_BUCKET = 512
+_TOKENS_A_ROUND = 25_000_000
+_TOKENS_A_TASK = 2_500_000
+STEP = 1.0
+_CHUNK = 16_384  # tokens of a gradient step
 _FLUSH = 250_000  # distinct words counted before they are passed on
-_WORDS = 300_000  # words whose code a worker remembers
-PRIOR = 8.0  # occurrences that the estimate without a feature counts for
-_BLOCK_TOKENS = 1_000_000  # learnt tokens for each block of the table of contexts
-_BLOCKS = 16  # parts in which updates are averaged
+_WORDS = 500_000  # words whose code a worker remembers
+_BLOCKS = 64  # parts in which updates are averaged
+_WORD_BITS = 24  # of a word's hash in its code; 0 stands for nothing before
 
 
 def _key(word: bytes) -> int:
@@ -54,8 +53,11 @@ def _key(word: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _shape(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word.rstrip(b".,;:!?|")[-3:]) % SHAPES
+def _shared_leaf(word: bytes) -> int:
+    """The leaf of a word that has none of its own: class by ending, leaf by beginning."""
+    word = word.strip(b".,;:!?|\"'()")
+    kind = FREQUENT + xxhash.xxh32_intdigest(word[-3:]) % (CLASSES - FREQUENT)
+    return kind * CLASSES + xxhash.xxh32_intdigest(word[:2]) % CLASSES
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -66,16 +68,26 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 @dataclasses.dataclass
 class Vocabulary:
-    """Sorted broadcast part and the totals. `rest` is the table of all counts."""
+    """Sorted broadcast part and the totals; `rest` is the table of all other counts."""
 
     keys: np.ndarray
     counts: np.ndarray
-    classes: np.ndarray
+    leaves: np.ndarray
     total: int
     distinct: int
-    class_total: np.ndarray
-    class_distinct: np.ndarray
-    rest: DataFrame | None = None
+    leaf_total: np.ndarray
+    leaf_distinct: np.ndarray
+    rest: DataFrame
+
+    @property
+    def buckets(self) -> int:
+        wanted = 1 << max(self.total // _TOKENS_A_BUCKET, 1).bit_length()
+        return min(max(wanted, LEAST_BUCKETS), MOST_BUCKETS)
+
+    @property
+    def rounds(self) -> int:
+        """Two, and one more for each doubling of the corpus from two rounds' tokens on."""
+        return 2 + max(0, int(math.log2(max(self.total, 1) / (2 * _TOKENS_A_ROUND))) + 1 if self.total > 2 * _TOKENS_A_ROUND else 0)
 
 
 def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +97,7 @@ def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = list(seen)
         return pd.DataFrame({
             "key": np.array([_key(w) for w in words], np.int64),
-            "shape": np.array([_shape(w) for w in words], np.int32),
+            "leaf": np.array([_shared_leaf(w) for w in words], np.int32),
             "n": np.fromiter(seen.values(), np.int64, len(words))})
 
     for batch in batches:
@@ -100,8 +112,8 @@ def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def count_words(texts: DataFrame, head: int = HEAD) -> Vocabulary:
     """Counts all words of `texts` (column text, binary). The head takes whole bands of counts from the top
     as long as they fit, so that it is bounded whatever the corpus."""
-    counts = stored(texts.mapInPandas(_count_rows, "key bigint, shape int, n bigint").groupBy("key").agg(
-        F.min("shape").alias("shape"), F.sum("n").alias("n")), "words")
+    counts = stored(texts.mapInPandas(_count_rows, "key bigint, leaf int, n bigint").groupBy("key").agg(
+        F.min("leaf").alias("leaf"), F.sum("n").alias("n")), "words")
     band = F.floor(F.log2("n") * 16).cast("int")
     bands = {r["band"]: r for r in counts.groupBy(band.alias("band")).agg(
         F.count("*").alias("words"), F.sum("n").alias("n")).collect()}
@@ -111,35 +123,37 @@ def count_words(texts: DataFrame, head: int = HEAD) -> Vocabulary:
         if room < 0:
             break
         lowest = b
-    top = counts.where(band >= lowest) if lowest is not None else counts.where("false")
-    table = top.toArrow()
-    keys, n, shapes = (table[c].to_numpy() for c in ("key", "n", "shape"))
+    table = (counts.where(band >= lowest) if lowest is not None else counts.where("false")).toArrow()
+    keys, n, leaves = (table[c].to_numpy() for c in ("key", "n", "leaf"))
     order = np.argsort(keys, kind="stable")
-    keys, n, shapes = keys[order], n[order], shapes[order]
-    classes = (SINGLE + shapes).astype(np.int64)
-    single = np.lexsort((keys, -n))[:SINGLE]
-    classes[single] = np.arange(len(single))
-    of_word = F.lit(SINGLE) + F.col("shape")
-    for i, k in enumerate(keys[single]):
-        of_word = F.when(F.col("key") == int(k), F.lit(i)).otherwise(of_word)
-    totals = counts.groupBy(of_word.alias("c")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
-    class_total, class_distinct = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for r in totals:
-        class_total[r["c"]], class_distinct[r["c"]] = r["n"], r["words"]
+    keys, n, leaves = keys[order], n[order], leaves[order].astype(np.int64)
+    # Frequent words are dealt to the classes in turn, so that none of them holds the bulk of the corpus.
+    single = np.lexsort((keys, -n))[: FREQUENT * CLASSES]
+    place = np.arange(len(single))
+    own = place % FREQUENT * CLASSES + place // FREQUENT
+    shared = leaves[single].copy()
+    leaves[single] = own
+    leaf_total, leaf_distinct = np.zeros(LEAVES, np.int64), np.zeros(LEAVES, np.int64)
+    for r in counts.groupBy("leaf").agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect():
+        leaf_total[r["leaf"]], leaf_distinct[r["leaf"]] = r["n"], r["words"]
+    for i, was, now in zip(single, shared, own):
+        leaf_total[was] -= n[i]
+        leaf_distinct[was] -= 1
+        leaf_total[now] += n[i]
+        leaf_distinct[now] += 1
     rest = counts.where(band < lowest) if lowest is not None else counts
     return Vocabulary(
-        keys, n, classes, int(class_total.sum()), int(class_distinct.sum()), class_total, class_distinct,
-        rest.select("key", "n"))
+        keys, n, leaves, int(leaf_total.sum()), int(leaf_distinct.sum()), leaf_total, leaf_distinct, rest.select("key", "n"))
 
 
 class _Coder(dict):
-    """Word to a number with its feature bucket (12 bits), class (6 bits) and place in the head plus 1."""
+    """Word to a number with its hash, leaf and place in the head plus 1."""
 
-    def __init__(self, keys: np.ndarray, classes: np.ndarray):
+    def __init__(self, keys: np.ndarray, leaves: np.ndarray):
         super().__init__()
         place = np.arange(1, len(keys) + 1, dtype=np.int64)
-        bucket = 1 + (keys.astype(np.uint64) >> np.uint64(20)).astype(np.int64) % (BUCKETS - 1)
-        self.head = dict(zip(keys.tolist(), (bucket | classes << 12 | place << 18).tolist()))
+        short = 1 + (keys.astype(np.uint64) >> np.uint64(20)).astype(np.int64) % ((1 << _WORD_BITS) - 1)
+        self.head = dict(zip(keys.tolist(), (short | leaves << _WORD_BITS | place << _WORD_BITS + 10).tolist()))
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= _WORDS:
@@ -147,39 +161,52 @@ class _Coder(dict):
         key = _key(word)
         code = self.head.get(key)
         if code is None:
-            bucket = 1 + ((key & (1 << 64) - 1) >> 20) % (BUCKETS - 1)
-            code = bucket | (SINGLE + _shape(word)) << 12
+            short = 1 + ((key & (1 << 64) - 1) >> 20) % ((1 << _WORD_BITS) - 1)
+            code = short | _shared_leaf(word) << _WORD_BITS
         self[word] = code
         return code
 
 
-def _features(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(FEATURES, tokens) rows of the weight matrix; bucket 0 stands for nothing before."""
-    bucket = codes & (BUCKETS - 1)
-    one, two = np.zeros_like(bucket), np.zeros_like(bucket)
-    one[1:], two[2:] = bucket[:-1], bucket[:-2]
+def _leaf_of(codes: np.ndarray) -> np.ndarray:
+    return codes >> _WORD_BITS & LEAVES - 1
+
+
+def _place_of(codes: np.ndarray) -> np.ndarray:
+    return codes >> _WORD_BITS + 10
+
+
+def _features(codes: np.ndarray, starts: np.ndarray, buckets: int) -> np.ndarray:
+    """(2, FEATURES, tokens): rows of the weights for the class, and for the leaf in the token's class."""
+    word = codes & (1 << _WORD_BITS) - 1
+    one, two = np.zeros_like(word), np.zeros_like(word)
+    one[1:], two[2:] = word[:-1], word[:-2]
     one[starts] = 0
     two[starts] = 0
     second = starts + 1
     two[second[second < len(two)]] = 0
-    both = (one * 2654435761 + two * 40503 >> 7) % BUCKETS
-    return np.stack((one, BUCKETS + two, 2 * BUCKETS + both))
+    kind = (_leaf_of(codes) // CLASSES + 1) * 0x2545F4914F6CDD1D
+    out = np.empty((2, FEATURES, len(codes)), np.int32)
+    for i, context in enumerate((one, two, one * 0x9E3779B1 + two + (1 << 60))):
+        hashed = (context + i) * -0x61C8864680B583EB
+        for level, h in enumerate((hashed, hashed + kind)):
+            h = (h ^ h >> 29 & 0x7FFFFFFFF) * 0x1CE4E5B9
+            out[level, i] = (h >> 31 & buckets - 1) + (level * FEATURES + i) * buckets
+    return out
 
 
 def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Unnormalised log weights of all classes, one row per token."""
+    """Unnormalised log weights, one row per token; `bias` is one row, or one per token."""
     z = np.take(weights, rows[0], axis=0)
     for feature in rows[1:]:
         z += np.take(weights, feature, axis=0)
     z += bias
-    np.minimum(z, np.float32(30), out=z)
-    return np.maximum(z, np.float32(-30), out=z)
+    return np.clip(z, -30, 30, out=z)
 
 
-def _log_class(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Natural log probability of each token's class."""
+def _log_share(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token's wanted column."""
     z = _logits(weights, bias, rows)
-    own = z[np.arange(len(classes)), classes]
+    own = z[np.arange(len(wanted)), wanted]
     np.exp(z, out=z)
     return own - np.log(z.sum(axis=1))
 
@@ -194,73 +221,107 @@ def _coded(coder: _Coder, texts) -> tuple[np.ndarray, np.ndarray, list[list[byte
     return codes, starts, words
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias. `texts` has columns text (binary) and part, the round that uses the row. A task's
-    update of a feature is averaged with the others' by the number of times they saw it."""
+@dataclasses.dataclass
+class Model:
+    """Weights of both softmaxes, rows of the class first; their biases are the plain shares."""
+
+    weights: np.ndarray
+    class_bias: np.ndarray
+    leaf_bias: np.ndarray
+
+    @classmethod
+    def untrained(cls, vocabulary: Vocabulary) -> Model:
+        leaf = vocabulary.leaf_total.reshape(CLASSES, CLASSES) + 1.0
+        kind = leaf.sum(axis=1)
+        return cls(
+            np.zeros((2 * FEATURES * vocabulary.buckets, CLASSES), np.float32),
+            np.log(kind / kind.sum()).astype(np.float32), np.log(leaf / kind[:, None]).astype(np.float32))
+
+    @property
+    def buckets(self) -> int:
+        return len(self.weights) // (2 * FEATURES)
+
+    def log_shares(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Natural log probability of each token's leaf."""
+        rows, leaf, out = _features(codes, starts, self.buckets), _leaf_of(codes), np.empty(len(codes))
+        for at in range(0, len(codes), _CHUNK):
+            part = slice(at, at + _CHUNK)
+            kind, place = leaf[part] // CLASSES, leaf[part] % CLASSES
+            out[part] = _log_share(self.weights, self.class_bias, rows[0, :, part], kind)
+            out[part] += _log_share(self.weights, self.leaf_bias[kind], rows[1, :, part], place)
+        return out
+
+    def learn(self, codes: np.ndarray, starts: np.ndarray, seen: np.ndarray) -> None:
+        rows, leaf = _features(codes, starts, self.buckets), _leaf_of(codes)
+        for at in range(0, len(codes), _CHUNK):
+            part = slice(at, at + _CHUNK)
+            kind, place = leaf[part] // CLASSES, leaf[part] % CLASSES
+            _descend(self.weights, self.class_bias, rows[0, :, part], kind, seen)
+            _descend(self.weights, self.leaf_bias[kind], rows[1, :, part], place, seen)
+
+
+def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np.ndarray, seen: np.ndarray) -> None:
+    """One gradient step on a batch; the step of a feature shrinks with the square root of its count."""
+    slope = _logits(weights, bias, rows)
+    np.exp(slope, out=slope)
+    slope *= (-1 / slope.sum(axis=1))[:, None]
+    slope[np.arange(len(wanted)), wanted] += 1
+    columns = np.ascontiguousarray(slope.T)
+    for feature in rows:
+        hit, number, count = np.unique(feature, return_inverse=True, return_counts=True)
+        sums = np.stack([np.bincount(number, column, len(hit)) for column in columns], axis=1)
+        seen[hit] += count
+        weights[hit] += ((STEP / np.sqrt(seen[hit] * count))[:, None] * sums).astype(np.float32)
+
+
+def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int) -> Model:
+    """The model after all rounds. `texts` has columns text (binary) and part, the round that uses the row. What
+    comes to the driver in a round is one average of the weights, a fixed size."""
     spark = texts.sparkSession
-    bias = np.log((vocabulary.class_total + 1.0) / (vocabulary.total + CLASSES)).astype(np.float32)
-    weights = np.zeros((FEATURES * BUCKETS, CLASSES), np.float32)
-    per_block = FEATURES * BUCKETS // _BLOCKS
-    coded = spark.sparkContext.broadcast((vocabulary.keys, vocabulary.classes))
+    model = Model.untrained(vocabulary)
+    per_block = len(model.weights) // _BLOCKS
+    tasks = 1 + int(vocabulary.total / rounds / _TOKENS_A_TASK)
+    coded = spark.sparkContext.broadcast((vocabulary.keys, vocabulary.leaves))
     for turn in range(rounds):
-        now = spark.sparkContext.broadcast(weights)
+        now = spark.sparkContext.broadcast(model)
 
         def updates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            coder, own = _Coder(*coded.value), now.value.copy()
-            seen = np.zeros(len(own))
+            coder, start = _Coder(*coded.value), now.value
+            own = dataclasses.replace(start, weights=start.weights.copy())
+            seen = np.zeros(len(own.weights), np.float32)
             for batch in batches:
                 codes, starts, _ = _coded(coder, batch["text"])
-                rows, classes = _features(codes, starts), codes >> 12 & 63
-                for at in range(0, len(codes), _CHUNK):
-                    _descend(own, bias, rows[:, at : at + _CHUNK], classes[at : at + _CHUNK], seen)
-            if seen.any():
-                change = (own - now.value).astype(np.float16)
-                yield pd.DataFrame({
-                    "block": np.arange(_BLOCKS), "change": [change[b * per_block : (b + 1) * per_block].tobytes() for b in range(_BLOCKS)],
-                    "seen": [seen[b * per_block : (b + 1) * per_block].tobytes() for b in range(_BLOCKS)]})
+                if len(codes):
+                    own.learn(codes, starts, seen)
+            for b in range(_BLOCKS if seen.any() else 0):
+                part = slice(b * per_block, (b + 1) * per_block)
+                change = (own.weights[part] - start.weights[part]).astype(np.float16)
+                yield pd.DataFrame({"block": [b], "change": [change.tobytes()], "seen": [seen[part].tobytes()]})
 
         def mean(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total, weight = np.zeros((per_block, CLASSES)), np.zeros(per_block)
             block = None
             for batch in rows:
                 for b, change, seen in zip(batch["block"], batch["change"], batch["seen"]):
-                    n = np.frombuffer(seen)
+                    n = np.frombuffer(seen, np.float32)
                     total += np.frombuffer(change, np.float16).reshape(per_block, CLASSES) * n[:, None]
                     weight += n
                     block = b
             mixed = (total / np.maximum(weight, 1)[:, None]).astype(np.float32)
             yield pd.DataFrame({"block": [block], "change": [mixed.tobytes()]})
 
-        parts = texts.where(F.col("part") == turn).select("text").mapInPandas(
+        parts = texts.where(F.col("part") == turn).select("text").coalesce(tasks).mapInPandas(
             updates, "block int, change binary, seen binary")
         averaged = parts.groupBy("block").applyInPandas(mean, "block int, change binary")
-        weights = weights.copy()
-        for r in averaged.collect():  # the weights themselves, a fixed size
+        weights = model.weights.copy()
+        for r in averaged.collect():
             weights[r["block"] * per_block : (r["block"] + 1) * per_block] += np.frombuffer(
                 r["change"], np.float32).reshape(per_block, CLASSES)
-    return weights, bias
-
-
-def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, classes: np.ndarray, seen: np.ndarray) -> None:
-    """One gradient step on a batch; the step of a feature shrinks with the square root of its count."""
-    slope = _logits(weights, bias, rows)
-    np.exp(slope, out=slope)
-    slope *= (-1 / slope.sum(axis=1))[:, None]
-    slope[np.arange(len(classes)), classes] += 1
-    for feature in rows:
-        order = np.argsort(feature, kind="stable")
-        sorted_ = feature[order]
-        first = np.flatnonzero(np.diff(sorted_, prepend=-1))
-        sums = np.add.reduceat(slope[order], first, axis=0)
-        hit = sorted_[first]
-        count = np.diff(np.append(first, len(sorted_)))
-        seen[hit] += count
-        weights[hit] += (STEP / np.sqrt(seen[hit] * count))[:, None].astype(np.float32) * sums
+        model = dataclasses.replace(model, weights=weights)
+    return model
 
 
-def score(
-    docs: DataFrame, train_rows, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-) -> DataFrame:
+def score(docs: DataFrame, train_rows, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None) -> DataFrame:
     """One row per document: id, n_tokens, n_known, train_tokens, base_score and score, both log10.
 
     `train_rows` is a condition (column) on the documents that the model learns from. Words are runs
@@ -269,200 +330,58 @@ def score(
     """
     small_batches(docs.sparkSession)
     text = F.encode(F.coalesce(quoted(text_col).cast("string"), F.lit("")), "UTF-8")
-    learn = docs.where(train_rows).select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(rounds)).alias("part"))
-    vocabulary = count_words(learn.select("text"))
-    weights, bias = train(learn, vocabulary, rounds)
-    return apply_contexts(docs, train_rows, vocabulary, weights, bias, id_col, text_col)
-
-
-def _mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
-    """Hashes of pairs of unsigned 64-bit numbers."""
-    x = a * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b) if np.isscalar(b) else a * np.uint64(0x9E3779B97F4A7C15) + b
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
-
-
-def _requests(words: np.ndarray, classes: np.ndarray, starts: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys of a batch, ascending, and the places in them: for each feature three times the tokens
-    (feature, class after it, word after it), then the words at `rest` by themselves."""
-    words = words.astype(np.uint64)
-    before = _mix(words, 1)
-    one, two = np.zeros_like(words), np.zeros_like(words)
-    one[1:], two[2:] = before[:-1], before[:-2]
-    one[starts] = 0
-    two[starts] = 0
-    second = starts + 1
-    two[second[second < len(two)]] = 0
-    keys = []
-    for kind, context in enumerate((two, one, _mix(one, two))):
-        feature = _mix(context, 11 + kind)
-        keys += [feature, _mix(feature, classes.astype(np.uint64)), _mix(_mix(feature, 101), words)]
-    return np.unique(np.concatenate([*keys, _mix(words[rest], 7)]), return_inverse=True)
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Bytes of equal significance side by side, which compresses small numbers."""
-    return zlib.compress(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
-
+    learn = docs.where(train_rows)
+    vocabulary = count_words(learn.select(text.alias("text")))
+    turns = rounds or vocabulary.rounds
+    part = F.pmod(F.xxhash64(text, quoted(id_col)), F.lit(turns))
+    return apply(docs, vocabulary, train(learn.select(text.alias("text"), part.alias("part")), vocabulary, turns), id_col, text_col)
 
-def _unpack(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    flat = np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(flat.T).view(kind).ravel()
 
-
-def apply_contexts(
-    docs: DataFrame, train_rows, vocabulary: Vocabulary, weights: np.ndarray, bias: np.ndarray,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """Counts the contexts in the documents of `train_rows` and scores all documents with them."""
-    spark = docs.sparkSession
-    total, distinct = vocabulary.total, vocabulary.distinct
-    blocks = 1 + total // _BLOCK_TOKENS
-    room = (vocabulary.class_total + vocabulary.class_distinct + 1).astype(float)
-    sent = spark.sparkContext.broadcast((vocabulary.keys, vocabulary.classes, vocabulary.counts, weights, bias))
-    message = "chunk bigint, block int, keys binary, counts binary, parts array<binary>, ids array<string>"
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = sent.value[0]
-        coder = _Coder(keys, sent.value[1])
-        for batch in batches:
-            if not len(batch):
-                continue
-            codes, starts, words = _coded(coder, batch["text"])
-            place = codes >> 18
-            known, flat = place > 0, [w for each in words for w in each]
-            hashed = np.empty(len(codes), np.int64)
-            hashed[known] = keys[place[known] - 1] if len(keys) else 0
-            away = np.flatnonzero(~known)
-            hashed[away] = np.fromiter((_key(flat[i]) for i in away), np.int64, len(away))
-            sizes, learn = np.diff(np.append(starts, len(codes))), batch["learn"].to_numpy(bool)
-            asked, at = _requests(hashed, codes >> 12 & 63, starts, away)
-            learnt = np.repeat(learn, sizes)
-            n = np.bincount(at, np.concatenate([np.tile(learnt, 3 * FEATURES), learnt[away]]), len(asked)).astype(np.int64)
-            local, index = np.unique(hashed, return_inverse=True)
-            code_of = np.zeros(len(local), np.int64)
-            code_of[index] = codes
-            parts = [_pack(x) for x in (local, code_of, index.astype(np.int32), sizes, learn.astype(np.int8))]
-            block = ((asked >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
-            edges = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
-            chunk = int(batch["row"].iloc[0])
-            each = list(zip(edges[:-1], edges[1:]))
-            yield pd.DataFrame({
-                "chunk": chunk, "block": [-1, *block[edges[:-1]]],
-                "keys": [None, *[_pack(np.diff(asked[a:b], prepend=np.uint64(0))) for a, b in each]],
-                "counts": [None, *[_pack(n[a:b]) for a, b in each]], "parts": [parts] + [None] * len(each),
-                "ids": [list(batch["id"])] + [None] * len(each)})
-
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        if rows["block"].iloc[0] < 0:
-            return rows
-        keys = [np.cumsum(_unpack(k, np.uint64), dtype=np.uint64) for k in rows["keys"]]
-        every, at = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.zeros(len(every), np.int64)
-        np.add.at(sums, at, np.concatenate([_unpack(c, np.int64) for c in rows["counts"]]))
-        ends = np.cumsum([len(k) for k in keys])
-        return rows.assign(keys=None, counts=[_pack(x) for x in np.split(sums[at], ends[:-1])])
-
-    def finish(rows: pd.DataFrame) -> pd.DataFrame:
-        _, _, counts, weights, bias = sent.value
-        rows = rows.sort_values("block")
-        local, code_of, index, sizes, learn = (
-            _unpack(d, k) for d, k in zip(rows["parts"].iloc[0], (np.int64, np.int64, np.int32, np.int64, np.int8)))
-        codes, starts = code_of[index], np.cumsum(sizes) - sizes
-        place, classes = codes >> 18, codes >> 12 & 63
-        away = np.flatnonzero(place == 0)
-        _, at = _requests(local[index], classes, starts, away)
-        sums = np.concatenate([_unpack(c, np.int64) for c in rows["counts"].iloc[1:]])[at]
-        n = np.zeros(len(codes), np.int64)
-        n[place > 0] = counts[place[place > 0] - 1] if len(counts) else 0
-        n[away] = sums[len(sums) - len(away):]
-        seen = sums[: len(sums) - len(away)].reshape(FEATURES, 3, -1) - np.repeat(learn, sizes)
-        features, of_class = _features(codes, starts), np.empty(len(codes))
-        for i in range(0, len(codes), _CHUNK):
-            part = slice(i, i + _CHUNK)
-            of_class[part] = np.exp(_log_class(weights, bias, features[:, part], classes[part]))
-        of_word = (n + 1) / room[classes]
-        for feature, with_class, with_word in seen:
-            of_class = (with_class + PRIOR * of_class) / (feature + PRIOR)
-            of_word = (with_word + PRIOR * of_word) / (with_class + PRIOR)
-        base = np.log10((n + 1) / (total + distinct + 1))
-        return pd.DataFrame({
-            "id": list(rows["ids"].iloc[0]), "n_tokens": sizes, "n_known": np.add.reduceat((n > 0).astype(np.int64), starts),
-            "base_score": np.add.reduceat(base, starts),
-            "score": np.add.reduceat(np.log10(of_class) + np.log10(of_word), starts)})
-
-    small_batches(spark)
-    text = F.encode(F.coalesce(quoted(text_col).cast("string"), F.lit("")), "UTF-8")
-    kind = docs.select(quoted(id_col)).schema[0].dataType
-    inputs = docs.select(
-        (F.hex(quoted(id_col)) if kind.typeName() == "binary" else quoted(id_col).cast("string")).alias("id"), text.alias("text"),
-        F.coalesce(train_rows, F.lit(False)).alias("learn"), F.monotonically_increasing_id().alias("row"))
-    asked = inputs.mapInPandas(ask, message)
-    # The texts' own parts travel with the keys, each as a group of its own, so that texts are read once.
-    own = F.when(F.col("block") < 0, F.col("chunk")).otherwise(F.lit(-1))
-    answered = asked.groupBy("block", own.alias("own")).applyInPandas(lambda rows: answer(rows), message)
-    scored = answered.groupBy("chunk").applyInPandas(
-        lambda rows: finish(rows), "id string, n_tokens bigint, n_known bigint, base_score double, score double")
-    return scored.select(
-        (F.unhex("id") if kind.typeName() == "binary" else F.col("id").cast(kind)).alias(id_col), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-        "base_score", "score")
-
-
-def apply(
-    docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, bias: np.ndarray,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
+def apply(docs: DataFrame, vocabulary: Vocabulary, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores documents: head words where they are read, all others by a join with the counts."""
     spark = docs.sparkSession
     total, distinct = vocabulary.total, vocabulary.distinct
-    room = (vocabulary.class_total + vocabulary.class_distinct + 1).astype(float)
-    in_class = np.log10((vocabulary.counts + 1) / room[vocabulary.classes]) if len(vocabulary.keys) else np.zeros(0)
+    room = (vocabulary.leaf_total + vocabulary.leaf_distinct + 1).astype(float)
+    in_leaf = np.log10((vocabulary.counts + 1) / room[vocabulary.leaves])
     base = np.log10((vocabulary.counts + 1) / (total + distinct + 1))
-    sent = spark.sparkContext.broadcast((vocabulary.keys, vocabulary.classes, in_class, base, weights, bias))
+    sent = spark.sparkContext.broadcast((vocabulary.keys, vocabulary.leaves, in_leaf, base, model))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, classes_, in_class, base, weights, bias = sent.value
-        coder = _Coder(keys, classes_)
+        keys, leaves, in_leaf, base, model = sent.value
+        coder = _Coder(keys, leaves)
         for batch in batches:
             codes, starts, words = _coded(coder, batch["text"])
             if not len(codes):
                 continue
-            features, classes, place = _features(codes, starts), codes >> 12 & 63, codes >> 18
-            model, plain = np.empty(len(codes)), np.zeros(len(codes))
-            for at in range(0, len(codes), _CHUNK):
-                part = slice(at, at + _CHUNK)
-                model[part] = _log_class(weights, bias, features[:, part], classes[part])
-            model /= np.log(10)
+            leaf, place, plain = _leaf_of(codes), _place_of(codes), np.zeros(len(codes))
+            shares = model.log_shares(codes, starts) / np.log(10)
             known = place > 0
-            model[known] += in_class[place[known] - 1]
+            shares[known] += in_leaf[place[known] - 1]
             plain[known] = base[place[known] - 1]
             sizes = np.diff(np.append(starts, len(codes)))
             rest = [np.flatnonzero(~known[a : a + s]) for a, s in zip(starts, sizes)]
             yield pd.DataFrame({
                 "id": batch["id"], "n_tokens": sizes, "head_known": np.add.reduceat(known.astype(np.int64), starts),
-                "head_base": np.add.reduceat(plain, starts), "head_score": np.add.reduceat(model, starts),
+                "head_base": np.add.reduceat(plain, starts), "head_score": np.add.reduceat(shares, starts),
                 "rest": [np.array([_key(w[i]) for i in r], np.int64) for w, r in zip(words, rest)],
-                "rest_class": [classes[a + r].astype(np.int32) for a, r in zip(starts, rest)]})
+                "rest_leaf": [leaf[a + r].astype(np.int16) for a, r in zip(starts, rest)]})
 
     small_batches(docs.sparkSession)
     text = F.encode(F.coalesce(quoted(text_col).cast("string"), F.lit("")), "UTF-8")
     inputs = docs.select(quoted(id_col).alias("id"), text.alias("text"))
-    kind = dict(inputs.dtypes)["id"]
     seen = inputs.mapInPandas(
-        rows, f"id {kind}, n_tokens bigint, head_known bigint, head_base double, head_score double, "
-              "rest array<bigint>, rest_class array<int>")
+        rows, f"id {dict(inputs.dtypes)['id']}, n_tokens bigint, head_known bigint, head_base double, head_score double, "
+              "rest array<bigint>, rest_leaf array<smallint>")
     seen = stored(seen.withColumn("row", F.monotonically_increasing_id()), "scored")
-    pairs = F.arrays_zip(F.col("rest").alias("key"), F.col("rest_class").alias("c"))
-    each = seen.where(F.size("rest") > 0).select("row", F.explode(pairs).alias("t")).select("row", "t.key", "t.c")
+    pairs = F.arrays_zip(F.col("rest").alias("key"), F.col("rest_leaf").alias("leaf"))
+    each = seen.where(F.size("rest") > 0).select("row", F.explode(pairs).alias("t")).select("row", "t.key", "t.leaf")
     rooms = F.array(*[F.lit(float(r)) for r in room])
     met = each.join(vocabulary.rest.withColumnRenamed("n", "_n"), "key", "left")
     n = F.coalesce("_n", F.lit(0)) + 1
     sums = met.groupBy("row").agg(
         F.count("_n").alias("known"), F.sum(F.log10(n / F.lit(float(total + distinct + 1)))).alias("base"),
-        F.sum(F.log10(n / F.element_at(rooms, F.col("c") + 1))).alias("model"))
-    whole = seen.drop("rest", "rest_class").join(sums, "row", "left")
+        F.sum(F.log10(n / F.element_at(rooms, F.col("leaf") + 1))).alias("model"))
+    whole = seen.drop("rest", "rest_leaf").join(sums, "row", "left")
     return whole.select(
         F.col("id").alias(id_col), "n_tokens", (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
