@@ -25,22 +25,27 @@ from tidegauge.llm.common import quoted, small_batches
 
 _LEAF = 6  # bytes that are merged without halving
 _SHORT = 48  # bytes that are merged without a heap
-_KNOWN = 100_000  # entries of each generation of what a worker remembers
+_KNOWN = 100_000  # entries of each generation of what a worker remembers of parts and pairs
+_PIECES = 300_000  # the same of whole pieces, of at most
+_REMEMBERED = 32  # characters
 _LONG = 1_000_000  # characters from which pieces are not listed at once
 
 
 class _Recent(dict):
-    """A bounded memory: when it is full, it becomes the older generation, and what is used again comes back."""
+    """A bounded memory: when it is full, it becomes the older generation, and what is used again comes back.
+    Keys beyond `longest` are made anew each time."""
 
-    def __init__(self, make):
+    def __init__(self, make, size=_KNOWN, longest=None):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.size, self.longest, self.older = make, size, longest, {}
 
     def __missing__(self, key):
+        if self.longest is not None and len(key) > self.longest:
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= _KNOWN:
+        if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -56,7 +61,7 @@ class Encoder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.split = regex.compile(pattern)
-        self.known = _Recent(self.piece)
+        self.known = _Recent(self.piece, _PIECES, _REMEMBERED)
         self.parts = _Recent(self.merge)
         self.pairs = _Recent(self._stable)
 
@@ -146,12 +151,11 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        known = self.known
         if len(text) < _LONG:
             pieces = self.split.findall(text)
         else:
             pieces = (m.group() for m in self.split.finditer(text))
-        return b"".join(known[p] if len(p) <= 32 else self.piece(p) for p in pieces)
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def decode(self, packed: bytes) -> bytes:
         ids = struct.unpack(f"<{len(packed) // 4}I", packed)
