@@ -35,6 +35,48 @@ def test_secrets_of_odd_rows(edge_docs):
     assert rows == sorted((i or -1, _by_start(t)) for i, t in EDGES)
 
 
+MAILS = " ".join(f"m{i}@b{i}.org" for i in range(4000))
+LONG = {
+    "one address": "a@b" + ".c" * 200_000, "mails": MAILS, "starts of tokens": "eyJ" * 100_000,
+    "mails and numbers": " ".join(f"m{i}@b{i}.org, 12 345 {i:04d} 77" for i in range(4000)),
+    "plain": "word mail a.b " * 750_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_texts_neither_end_nor_stall_a_job(spark, name):
+    text = LONG[name]
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")
+    private = pii.find_personal(docs).select(pii.listed(F.filter("spans", lambda s: s["strict"]))).first()[0]
+    secrets = _secret_rows(secret_scan.scan(docs)).first()["base"]
+    if name == "starts of tokens":  # the plain definitions take a step for each pair of characters here
+        assert private == secrets == ""
+    else:
+        assert private == _by_kind(text) and secrets == _by_start(text)
+
+
+def test_a_token_starts_at_the_beginning_of_a_run(spark):
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    docs = spark.createDataFrame([(1, f"a {token} b", "s"), (2, "x" + token, "s")], "doc_id bigint, text string, source string")
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secret_scan.scan(docs).collect()}
+    assert found[1] == [("jwt", 2, 2 + len(token))] and found[2] == []
+
+
+def test_context_comes_from_between_the_hits(spark):
+    from tidegauge.llm.common import in_context, overlaps_any, span_blocks
+
+    text = "é call 11 22,x33"
+    shown = spark.createDataFrame([(text,), ("",), (None,), ("7",)], "t string").select(in_context(F.col("t"), "[0-9]+", 6).alias("c"))
+    got = [r["c"] and [tuple(m) for m in r["c"]] for r in shown.collect()]
+    assert got == [
+        [(7, 9, "11", " call ", " "), (10, 12, "22", "11 ", ","), (14, 16, "33", "22,x", "")], [], None, [(0, 1, "7", "", "")]]
+    spans = [(i * 10, i * 10 + 3 + (1000 if i == 5 else 0)) for i in range(600)]
+    asked = [(4, 8), (12, 13), (2000, 2001), (1055, 1058), (1054, 1059), (6005, 6009), (0, 9999)]
+    frame = spark.createDataFrame([(spans, asked)], "s array<struct<start:int,end:int>>, q array<struct<start:int,end:int>>")
+    hits = frame.withColumn("b", span_blocks(F.col("s"))).select(F.transform("q", lambda q: overlaps_any(F.col("b"), q))).first()[0]
+    assert hits == [any(a < e and s < b for a, b in spans) for s, e in asked]
+
+
 def test_ownership_decides_loose_candidates(spark):
     token = "ghp_" + "aB3dE5gH7jK9mN1pQ3rS"
     copied = "ghp_" + "zY8xW6vU4tS2rQ0pO8nM"

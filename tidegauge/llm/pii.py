@@ -21,11 +21,14 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.llm.common import matches, quoted, span_list, stored
+from tidegauge.llm.common import (
+    equals_any, in_context, let, overlaps_any, quoted, span_blocks, span_list, stored,
+)
 
 # The strict kinds and their formats, in the order in which they are listed. Where a pattern
-# differs from the plain definition it finds the same spans without backtracking over long runs.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# differs from the plain definition it finds the same spans without backtracking over long runs; a repeated group
+# is possessive, which the matcher runs as a loop and not as a call for each turn.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -76,12 +79,11 @@ def _confirmed(kind: str, hit: Column) -> Column:
     return F.length(_digits(hit)).between(9, 15)
 
 
-def _features(text: Column, start: Column, end: Column, hit: Column) -> dict[str, Column]:
+def _features(match: Column) -> dict[str, Column]:
     """Binned format and context of a candidate."""
+    hit, ahead, next_ = match["hit"], match["ahead"], match["next"]
     digits = F.length(_digits(hit))
     groups = F.size(F.regexp_extract_all(hit, F.lit("[0-9]+"), F.lit(0)))
-    ahead = F.substring(text, F.greatest(start - 23, F.lit(1)).cast("int"), F.least(start, F.lit(24)).cast("int"))
-    next_ = F.substring(text, (end + 1).cast("int"), F.lit(1))
     shape = (
         F.when(hit.contains("@"), 0).when(hit.rlike("[A-Za-z]"), 1).when(hit.rlike(r"^[0-9.]+$") & hit.contains("."), 2)
         .when(hit.contains("-"), 3).when(hit.contains(" "), 4).otherwise(5))
@@ -90,7 +92,7 @@ def _features(text: Column, start: Column, end: Column, hit: Column) -> dict[str
         "shape": shape, "digits": bins, "groups": F.least(groups, F.lit(4)) - F.least(groups, F.lit(1)),
         "plus": hit.startswith("+").cast("int"), "paren": hit.contains("(").cast("int"),
         "cue": ahead.rlike(CUES).cast("int"),
-        "before": F.when((start == 0) | ahead.rlike(r"[\s(\[,;:=\"']$"), 1).otherwise(0),
+        "before": F.when((match["start"] == 0) | ahead.rlike(r"[\s(\[,;:=\"']$"), 1).otherwise(0),
         "after": F.when((next_ == "") | next_.rlike(r"^[\s)\],;:.!?\"']"), 1).otherwise(0),
     }
 
@@ -107,13 +109,13 @@ def candidates(text: Column) -> Column:
 
     def hits(place: int, kind: str, pattern: str, probe: Column, strict: bool) -> Column:
         def span(m: Column) -> Column:
-            bins = _features(text, m["start"], m["end"], m["hit"])
+            bins = _features(m)
             return F.struct(
                 m["start"], m["end"], F.lit(place).alias("place"), F.lit(kind).alias("kind"),
                 F.lit(strict).alias("strict"), (_confirmed(kind, m["hit"]) if strict else F.lit(False)).alias("confirmed"),
                 *[c.cast("int").alias(n) for n, c in bins.items()])
 
-        spans = F.transform(matches(text, pattern), span).cast(_SPAN)
+        spans = F.transform(in_context(text, pattern, 24), span).cast(_SPAN)
         return F.when(probe, spans).otherwise(F.array().cast(_SPAN))
 
     return F.concat(*[hits(place, *p) for place, p in enumerate(proposals)])
@@ -233,15 +235,16 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     scored = F.transform("spans", lambda s: F.struct(
         *[s[f] for f in ("start", "end", "place", "kind", "strict", "confirmed")], model.expression(s).alias("score"),
         model.threshold_of(s).alias("least")))
-    sure = F.filter(F.col("scored"), lambda s: s["confirmed"])
-    failed = F.filter(F.col("scored"), lambda s: s["strict"] & ~s["confirmed"])
-    added = F.filter(F.col("scored"), lambda s: ~s["strict"] & (s["score"] >= s["least"]) & ~F.exists(
-        F.col("sure"), lambda c: (c["start"] < s["end"]) & (s["start"] < c["end"])) & ~F.exists(
-        F.col("failed"), lambda c: (c["start"] == s["start"]) & (c["end"] == s["end"])))
-    spans = F.transform(F.concat("sure", added), lambda s: s.dropFields("least"))
-    return (
-        seen.withColumn("scored", scored).withColumn("sure", sure).withColumn("failed", failed)
-        .select(F.col("id").alias(id_col), spans.alias("spans")))
+
+    def reported(every: Column) -> Column:
+        sure = F.filter(every, lambda s: s["confirmed"])
+        failed = F.filter(every, lambda s: s["strict"] & ~s["confirmed"])
+        near = F.struct(span_blocks(sure).alias("sure"), span_blocks(failed).alias("failed"))
+        added = let(near, lambda n: F.filter(every, lambda s: ~s["strict"] & (s["score"] >= s["least"])
+                                             & ~overlaps_any(n["sure"], s) & ~equals_any(n["failed"], s)))
+        return F.transform(F.concat(sure, added), lambda s: s.dropFields("least"))
+
+    return seen.select(F.col("id").alias(id_col), let(scored, reported).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:

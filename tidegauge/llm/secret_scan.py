@@ -42,7 +42,7 @@ LOOSE = (
     Kind("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{40,}", "-----BEGIN", r"-----\s*([^-]+)", 40, False),
     Kind("prefixed", r"(?<![A-Za-z0-9])(?:gh[pousr]_|xox[abprs]-|sk_live_|glpat-)[A-Za-z0-9_-]{16,}",
          r"gh[pousr]_|xox[abprs]-|sk_live_|glpat-", r"[_-]([A-Za-z0-9_-]+)$", 16, False),
-    Kind("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", "eyJ", r"(.+)", 32, False),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", "eyJ", r"(.+)", 32, False),
     Kind("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{16,}", r"(?i)bearer\x20", r"\x20([^\x20]+)$", 16, False),
     Kind("userinfo", r"://[^\s/:@]{1,64}:[^\s/:@]{6,64}@", "://", r":([^:@]+)@$", 6, False),
 )
