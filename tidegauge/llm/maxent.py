@@ -37,10 +37,10 @@ LEAVES = CLASSES * CLASSES
 FEATURES = 3  # kinds, for each of the two softmaxes
 LEAST_BUCKETS, MOST_BUCKETS = 4096, 16384  # of each kind of feature
 _TOKENS_A_BUCKET = 512
-_TOKENS_A_ROUND = 25_000_000
+_TOKENS_A_ROUND = 50_000_000
 _TOKENS_A_TASK = 2_500_000
-STEP = 1.0
-_CHUNK = 16_384  # tokens of a gradient step
+STEP = 1.5
+_CHUNK = 32_768  # tokens of a gradient step
 _FLUSH = 250_000  # distinct words counted before they are passed on
 _WORDS = 500_000  # words whose code a worker remembers
 _BLOCKS = 64  # parts in which updates are averaged
@@ -158,10 +158,10 @@ class _Coder(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= _WORDS:
             self.clear()
-        key = _key(word)
-        code = self.head.get(key)
+        value = xxhash.xxh64_intdigest(word)
+        code = self.head.get(value - (1 << 64) if value >> 63 else value)
         if code is None:
-            short = 1 + ((key & (1 << 64) - 1) >> 20) % ((1 << _WORD_BITS) - 1)
+            short = 1 + (value >> 20) % ((1 << _WORD_BITS) - 1)
             code = short | _shared_leaf(word) << _WORD_BITS
         self[word] = code
         return code
@@ -256,22 +256,28 @@ class Model:
         for at in range(0, len(codes), _CHUNK):
             part = slice(at, at + _CHUNK)
             kind, place = leaf[part] // CLASSES, leaf[part] % CLASSES
-            _descend(self.weights, self.class_bias, rows[0, :, part], kind, seen)
-            _descend(self.weights, self.leaf_bias[kind], rows[1, :, part], place, seen)
+            _descend(self.weights, self.class_bias, rows[0, :, part], kind, seen, self.buckets)
+            _descend(self.weights, self.leaf_bias[kind], rows[1, :, part], place, seen, self.buckets)
 
 
-def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np.ndarray, seen: np.ndarray) -> None:
-    """One gradient step on a batch; the step of a feature shrinks with the square root of its count."""
+def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np.ndarray, seen: np.ndarray, buckets: int) -> None:
+    """One gradient step on a batch; the step of a feature shrinks with the square root of its count. Each of the
+    `rows` falls in one block of `buckets` weights, which is summed column by column."""
     slope = _logits(weights, bias, rows)
     np.exp(slope, out=slope)
     slope *= (-1 / slope.sum(axis=1))[:, None]
     slope[np.arange(len(wanted)), wanted] += 1
     columns = np.ascontiguousarray(slope.T)
     for feature in rows:
-        hit, number, count = np.unique(feature, return_inverse=True, return_counts=True)
-        sums = np.stack([np.bincount(number, column, len(hit)) for column in columns], axis=1)
-        seen[hit] += count
-        weights[hit] += ((STEP / np.sqrt(seen[hit] * count))[:, None] * sums).astype(np.float32)
+        first = int(feature[0]) // buckets * buckets
+        block, bucket = slice(first, first + buckets), feature.astype(np.int64) - first
+        count = np.bincount(bucket, minlength=buckets).astype(np.float32)
+        seen[block] += count
+        step = STEP / np.sqrt(np.maximum(seen[block] * count, 1))
+        sums = np.empty((len(columns), buckets), np.float32)
+        for out, column in zip(sums, columns):
+            out[:] = np.bincount(bucket, column, buckets)
+        weights[block] += (sums * step).T
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int) -> Model:
