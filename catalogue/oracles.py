@@ -705,6 +705,15 @@ FROM u JOIN fact f USING (user_id) LEFT JOIN (SELECT * FROM el WHERE is_premium
 SELECT user_id, event_date AS date, streak_length AS streak_length_end_of_day, is_premium FROM e
 QUALIFY row_number() OVER (PARTITION BY user_id, event_date ORDER BY event_id DESC) = 1""")
 
+    o["rejected_orders"] = """WITH r AS (
+  SELECT o_orderkey, 'o_orderdate' AS "column", 'no day' AS raw, 'not a timestamp_ntz' AS reason FROM orders WHERE o_orderkey % 7 = 0
+  UNION ALL SELECT o_orderkey, 'o_totalprice', 'much', 'not a double' FROM orders WHERE o_orderkey % 11 = 0
+  UNION ALL SELECT o_orderkey, 'o_custkey', NULL, 'missing' FROM orders WHERE o_orderkey % 13 = 0)
+SELECT CAST(o_orderkey AS VARCHAR) AS "key", "column", raw, reason, o_orderkey % 13 = 0 AS row_dropped FROM r"""
+    o["loaded_orders"] = """SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS o_orderdate,
+  CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS o_totalprice) FROM orders WHERE o_orderkey % 13 <> 0"""
+    o["appended_customers"] = "SELECT * FROM customer"
+
     # measures with large domains, sketches and bitmaps
     points = ", ".join(f"round(quantile_cont(o_totalprice, {p}), 6) AS p{round(100 * p)}" for p in (0.01, 0.25, 0.5, 0.75, 0.99))
     o["order_prices"] = f"""SELECT count(o_totalprice) AS "count", round(avg(o_totalprice), 6) AS mean,
@@ -755,6 +764,7 @@ a AS (SELECT metric, sum(x) FILTER (variant = 'treatment') / sum(y) FILTER (vari
         select="""SELECT metric, round(difference, 6) AS difference, round(quantile_cont(diff, 0.025), 6) AS low,
   round(quantile_cont(diff, 0.975), 6) AS high FROM a JOIN db USING (metric) GROUP BY metric, difference""")
 
+    o["bucketed_events_before_signup"] = o["events_before_signup"]
     o["table_rows"] = "\nUNION ALL\n".join(
         f"""SELECT '{t}' AS "table", count(*) AS "rows" FROM {t}""" for t in ("customer", "events", "lineitem", "nation", "orders"))
     return o

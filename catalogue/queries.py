@@ -25,7 +25,7 @@ from tidegauge.operators import (
 from tidegauge.plans import build_tables, rebuild
 from tidegauge.functions.scalars import percent_text
 from tidegauge.session import scratch_folder
-from tidegauge.sources import adapters, files
+from tidegauge.sources import adapters, files, tables
 
 # The test events cover 30 days, so the experiment is taken to start on day 15.
 ROLLOUT_DAYS = 15
@@ -740,6 +740,54 @@ def fact_text_ids(p):
     return fact.build_fact_user_daily(p.users, events, p.sessions)
 
 
+def _spoiled(orders):
+    """Orders as text in which some dates and prices cannot be read and some customers are absent."""
+    key = F.col("o_orderkey")
+    return orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns]).withColumns({
+        "o_orderdate": F.when(key % 7 == 0, "no day").otherwise(F.col("o_orderdate")),
+        "o_totalprice": F.when(key % 11 == 0, "much").otherwise(F.col("o_totalprice")),
+        "o_custkey": F.when(key % 13 == 0, None).otherwise(F.col("o_custkey"))})
+
+
+def _checked_orders(spark, folder):
+    orders = adapters.table(spark, folder, "orders")
+    out = f"{scratch_folder(spark)}/checked-{uuid.uuid4().hex}"
+    files.write_table(_spoiled(orders), f"{out}/orders.csv", "csv")
+    return files.load_checked(
+        spark, f"{out}/orders.csv", "orders", out, layout=orders.schema, key="o_orderkey", required=["o_custkey"])
+
+
+def rejected_orders(spark, folder):
+    paths = _checked_orders(spark, folder)
+    return spark.read.parquet(paths["rejects"]).select("key", "column", "raw", "reason", "row_dropped")
+
+
+def loaded_orders(spark, folder):
+    return spark.read.parquet(_checked_orders(spark, folder)["loaded"])
+
+
+def bucketed_events_before_signup(p):
+    """Events against users from tables that are dealt out by user: the join shuffles nothing."""
+    mark = uuid.uuid4().hex
+    kept = {}
+    for name, df in (("users", p.users), ("events", p.events)):
+        kept[name] = f"{name}_{mark}"
+        tables.save_catalog_table(
+            df, kept[name], bucket_by="user_id", buckets=8, path=f"{scratch_folder(p.spark)}/{kept[name]}")
+    return quality.before_signup(p.spark.table(kept["events"]), p.spark.table(kept["users"]), "event_time").select(
+        "event_id", "user_id", "event_time", "signup_time")
+
+
+def appended_customers(spark, folder):
+    """Half of the customers, then all of them twice: each is there once."""
+    customers, name = adapters.table(spark, folder, "customer"), f"customer_{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{name}"
+    tables.save_catalog_table(customers.where("c_custkey % 2 = 0"), name, path=path)
+    for _ in range(2):
+        tables.append_new_rows(customers, name, "c_custkey")
+    return spark.table(name)
+
+
 # --- measures with large domains, sketches and bitmaps ---------------------------------------------
 
 def order_prices(spark, folder):
@@ -788,7 +836,7 @@ def guardrail_bootstrap(p):
 
 
 _PRODUCT = [
-    rebuilt_user_state, last_event_text_ids, fact_text_ids, approx_actives, retention_bitmaps_variant,
+    rebuilt_user_state, bucketed_events_before_signup, last_event_text_ids, fact_text_ids, approx_actives, retention_bitmaps_variant,
     guardrail_by_user, guardrail_bootstrap,
     dau, wau, mau, dau_all, wau_all, mau_all, dau_country, wau_country, active_users, dau_rolling7,
     dau_range, dau_segment, retention_variant, retention_all, retention_incomplete, retention_curve,
@@ -813,7 +861,7 @@ _ORDERS = [
     lifecycle_transitions_orders, transitions_from_spans_orders, lifecycle_recent_orders, assigned_arms,
     retention_bitmaps_orders, return_on_or_after,
 ]
-_TABLES = [order_prices, lineitem_keys, orders_reference, lesson_present, lesson_exists, shipped_before_ordered, table_rows]
+_TABLES = [order_prices, rejected_orders, loaded_orders, appended_customers, lineitem_keys, orders_reference, lesson_present, lesson_exists, shipped_before_ordered, table_rows]
 # The tables of the build job, by arm and by country.
 _JOB_TABLES = [
     "fact_user_daily", "agg_daily_kpis", "agg_retention_cohort", "agg_funnel_daily", "agg_lifecycle_daily"]

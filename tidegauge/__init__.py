@@ -31,6 +31,7 @@ from tidegauge.plans.build_tables import (
     run_build,
 )
 from tidegauge.plans.load_tables import load_tables
+from tidegauge.plans.rebuild import rebuild_days
 from tidegauge.session import spark_session
 
 __all__ = [
@@ -40,6 +41,6 @@ __all__ = [
     "compute_active_users", "compute_dau", "compute_lesson_funnel", "compute_lifecycle_counts",
     "compute_lifecycle_transitions",
     "compute_mau", "compute_retention", "compute_sessions_per_user", "compute_wau",
-    "lifecycle_transitions", "load_tables", "quality_report", "rolling_mean", "run_build",
+    "lifecycle_transitions", "load_tables", "quality_report", "rebuild_days", "rolling_mean", "run_build",
     "sessions_from_events", "spark_session", "streak_by_day", "streak_runs",
 ]

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegauge.schemas import DERIVED_TABLES, RAW_TABLES
+from tidegauge.schemas import DERIVED_TABLES, PRIMARY_KEYS, RAW_TABLES
 from tidegauge.sources.files import LAYOUTS, chosen_tables, read_table, require_paths, table_path
 from tidegauge.sources.tables import (
     DEFAULT_BATCH,
     ROWS,
     analyze_table,
+    append_new_rows,
     counted,
     jdbc_count_options,
     loaded_rows,
@@ -34,10 +35,12 @@ def load_tables(
     jdbc_properties: dict[str, str] | None = None,
     chunksize: int = DEFAULT_BATCH,
     analyze: bool = False,
+    repeatable: bool = False,
 ) -> DataFrame:
     """Load the chosen tables; neither switch means raw and derived. Returns the row counts of the
     files, counted while they are written, and of the loaded tables, counted where they are. Statistics
-    are gathered for catalog tables only."""
+    are gathered for catalog tables only. With `repeatable`, an append to a raw catalog table adds only rows whose
+    key it does not have."""
     write_mode(if_exists)
     names = chosen_tables(include_raw, include_derived)
     folders = {**dict.fromkeys(RAW_TABLES, raw_dir), **dict.fromkeys(DERIVED_TABLES, derived_dir)}
@@ -46,7 +49,12 @@ def load_tables(
 
     written, loaded = {}, {}
     for name in names:
-        df, seen = counted(read_table(spark, paths[name], file_format, LAYOUTS[name], lenient_dates=True))
+        rows = read_table(spark, paths[name], file_format, LAYOUTS[name], lenient_dates=True)
+        if jdbc_url is None and repeatable and if_exists == "append" and name in PRIMARY_KEYS:
+            written[name] = append_new_rows(rows, name, PRIMARY_KEYS[name], schema=schema)
+            loaded[name] = spark.table(qualified(name, schema)).agg(F.count(F.lit(1)).alias(ROWS))
+            continue
+        df, seen = counted(rows)
         if jdbc_url is None:
             save_catalog_table(df, name, schema=schema, if_exists=if_exists)
             if analyze:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidegauge.schemas import LAYOUTS_BY_GROUP
+from tidegauge.session import scratch_folder
 
 DEFAULT_BATCH = 50_000
 ROWS = "row_total"
@@ -34,9 +36,39 @@ def create_tables(spark: SparkSession, schema: str | None = None, group: str = "
 
 
 def save_catalog_table(
-    df: DataFrame, table: str, *, schema: str | None = None, if_exists: str = "replace"
+    df: DataFrame, table: str, *, schema: str | None = None, if_exists: str = "replace",
+    bucket_by: str | None = None, buckets: int = 0, path: str | None = None,
 ) -> None:
-    df.write.mode(write_mode(if_exists)).format("parquet").saveAsTable(qualified(table, schema))
+    """Save a table. With `bucket_by`, its rows are dealt out by that column once, here: tables with as many buckets
+    of the same key are joined and grouped by it without a shuffle. Rows are dealt before the write, so that each bucket
+    is one sorted file."""
+    writer = df.write
+    if bucket_by is not None:
+        if buckets <= 0:
+            raise ValueError("bucket_by needs a number of buckets")
+        writer = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.mode(write_mode(if_exists)).format("parquet").saveAsTable(qualified(table, schema))
+
+
+def append_new_rows(df: DataFrame, table: str, key: str, *, schema: str | None = None) -> int:
+    """Append the rows whose key the table does not have, so that a load that is repeated adds nothing. Of rows
+    with one key, and of those without any, one is kept. The rows are staged first, so that a retry sees the same
+    ones; returns how many there were."""
+    spark = df.sparkSession
+    name = qualified(table, schema)
+    stage = f"{scratch_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(stage)
+    staged = spark.read.schema(df.schema).parquet(stage)
+    once = staged.dropDuplicates([key])
+    if not spark.catalog.tableExists(name):
+        save_catalog_table(once, table, schema=schema, if_exists="fail")
+        return staged.count()
+    known = spark.table(name).select(F.col(key).alias("known_key"))
+    new = once.join(known, F.col(key).eqNullSafe(F.col("known_key")), "left_anti")
+    save_catalog_table(new, table, schema=schema, if_exists="append")
+    return staged.count()
 
 
 def jdbc_options(
