@@ -545,6 +545,19 @@ SELECT f.date, f.user_id, CAST(CASE WHEN f.is_active = 0 THEN 0 ELSE f.date - co
 FROM fact f LEFT JOIN fact q ON q.user_id = f.user_id AND q.date < f.date AND q.is_active = 0
 GROUP BY f.date, f.user_id, f.is_active, f.signup_date""")
 
+    o["lifecycle_of_months"] = o["lifecycle_from_fact"]
+    o["streak_days_of_months"] = o["streak_days"]
+    o["transitions_of_months"] = o["lifecycle_transitions"]
+    o["lifecycle_of_months_orders"] = query(OE, OU, OUD, OFACT, select="""
+SELECT date, lifecycle_state AS state, count(*) AS users FROM fact GROUP BY 1, 2""")
+    # The active days of a user that follow each other have the same difference of day and rank.
+    o["streaks_of_months_orders"] = query(OE, OU, OUD, OFACT, """r AS (SELECT date, user_id, today > 0 AS act,
+  date - CAST(row_number() OVER (PARTITION BY user_id, today > 0 ORDER BY date) AS INTEGER) AS run FROM fact)""", select="""
+SELECT CAST(date_trunc('month', date) AS DATE) AS month, streak_length, count(*) AS user_days FROM (
+  SELECT date, CASE WHEN act THEN row_number() OVER (PARTITION BY user_id, act, run ORDER BY date) ELSE 0
+    END AS streak_length FROM r) GROUP BY 1, 2""")
+    o["transitions_of_months_orders"] = o["lifecycle_transitions_orders"]
+
     o["kpis_of_stored_fact"] = o["job_agg_daily_kpis"] = o["agg_daily_kpis"]
     o["lifecycle_of_stored_fact"] = o["job_agg_lifecycle_daily"] = o["agg_lifecycle_daily"]
     o["decomposition_of_stored_fact"] = o["dau_decomposition"]

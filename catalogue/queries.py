@@ -16,6 +16,7 @@ from tidegauge.operators import (
     funnel,
     kpis,
     lifecycle,
+    months,
     prepare,
     quality,
     retention,
@@ -387,6 +388,34 @@ def streak_days(p):
     return streaks.streak_by_day(p.fact())
 
 
+def lifecycle_of_months(p):
+    """States of a stored fact, of which only rows per user and month are shuffled."""
+    return months.states_of_months(months.fold_months(p.fact(include_lifecycle=False)))
+
+
+def streak_days_of_months(p):
+    return months.streaks_of_months(months.fold_months(p.fact()))
+
+
+def transitions_of_months(p):
+    return months.transitions_of_months(months.fold_months(p.fact()))
+
+
+def lifecycle_of_months_orders(o):
+    days = months.states_of_months(months.fold_months(o.fact().drop("lifecycle_state")))
+    return days.groupBy("date", F.col("lifecycle_state").alias("state")).agg(F.count("*").alias("users"))
+
+
+def streaks_of_months_orders(o):
+    """Streaks over several years, counted by month and length."""
+    days = months.streaks_of_months(months.fold_months(o.fact()))
+    return days.groupBy(F.trunc("date", "month").alias("month"), "streak_length").agg(F.count("*").alias("user_days"))
+
+
+def transitions_of_months_orders(o):
+    return months.transitions_of_months(months.fold_months(o.fact()))
+
+
 # --- dashboards -------------------------------------------------------------------------------
 
 def kpi_cards(p):
@@ -845,7 +874,7 @@ _PRODUCT = [
     agg_funnel_daily, lifecycle_counts, lifecycle_counts_all, lifecycle_wide, lifecycle_by_arm,
     user_spine, fact_user_daily, fact_window, fact_first_users, lifecycle_from_fact, agg_daily_kpis,
     agg_daily_kpis_country, agg_lifecycle_daily, lifecycle_transitions, transitions_from_spans, dau_decomposition,
-    streak_runs, streak_days, kpi_cards, active_user_trend, active_mix, health_mix,
+    streak_runs, streak_days, lifecycle_of_months, streak_days_of_months, transitions_of_months, kpi_cards, active_user_trend, active_mix, health_mix,
     lessons_per_session, premium_share, paywall_rate, purchase_conversion, streak_by_variant,
     avg_session_duration, completion_rate, hearts_per_user, dau_by_variant_wide, aa_check,
     aa_check_smoothed, signup_share, signup_share_distribution, activity_rate,
@@ -859,7 +888,8 @@ _PRODUCT = [
 _ORDERS = [
     mau_orders, retention_orders, lifecycle_counts_orders, agg_lifecycle_orders,
     lifecycle_transitions_orders, transitions_from_spans_orders, lifecycle_recent_orders, assigned_arms,
-    retention_bitmaps_orders, return_on_or_after,
+    retention_bitmaps_orders, return_on_or_after, lifecycle_of_months_orders, streaks_of_months_orders,
+    transitions_of_months_orders,
 ]
 _TABLES = [order_prices, rejected_orders, loaded_orders, appended_customers, lineitem_keys, orders_reference, lesson_present, lesson_exists, shipped_before_ordered, table_rows]
 # The tables of the build job, by arm and by country.

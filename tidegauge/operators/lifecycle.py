@@ -126,7 +126,7 @@ def compute_lifecycle_transitions(
         .groupBy(*keys, "state", "next_state")
         .agg(F.sum("n").alias("transitions"))
     )
-    return _with_probability(counts, keys)
+    return transition_shares(counts, keys)
 
 
 def _state_spans(
@@ -284,10 +284,11 @@ def lifecycle_transitions(fact_user_daily: DataFrame) -> DataFrame:
         .groupBy("state", "next_state")
         .agg(F.count(F.lit(1)).alias("transitions"))
     )
-    return _with_probability(counts)
+    return transition_shares(counts)
 
 
-def _with_probability(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def transition_shares(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Counted moves with the share of each among the moves out of its state."""
     total = F.sum("transitions").over(W.partitionBy(*keys, "state"))
     return counts.withColumn("probability", divide_or_null(F.col("transitions"), total))
 
