@@ -67,6 +67,39 @@ def test_layouts_become_the_same_turns(spark):
     assert len(shown) == len(rows) and shown[8] is None and shown[7] == ""
 
 
+def test_conversations_come_in_several_layouts(spark):
+    talks = {
+        1: [("user", "q"), ("assistant", None)], 2: [("system", ""), ("user", None), ("assistant", "a")],
+        3: [("user", "q"), ("assistant", "a"), ("user", "r"), ("assistant", "b")], 4: [("assistant", "a")],
+        5: [("tool", "t"), ("user", "q"), ("assistant", "a")], 6: [("user", "q"), (None, "x")], 7: [("human", "q"), ("gpt", "a")],
+        8: [("user", "q"), ("user", "r")]}
+    rows = [(c, i, r, t, None) for c, talk in talks.items() for i, (r, t) in enumerate(talk)]
+    records = chat.records_of_turns(spark.createDataFrame(rows, TURNS))
+    shown = chat.format_conversations(records).withColumn("back", chat.read_back(F.col("formatted")))
+    got = {r["conv_id"]: (r["layout"], [(t["role"], t["text"]) for t in r["back"]]) for r in shown.collect()}
+    layouts = dict(zip(talks, ["prompt", "instruction", "shared", "shared", "messages", "messages", "messages", "shared"]))
+    assert got == {c: (layouts[c], [(r or "", t or "") for r, t in talk]) for c, talk in talks.items()}
+
+
+def test_declared_extra_fields_are_ignored(spark):
+    rows = [
+        '{"id": 7, "prompt": "q", "completion": "a", "weight": 0.5}', '{"source": {"deep": 1}, "prompt": "q", "completion": "a"}',
+        '{"messages": [{"name": "Al", "role": "user", "content": "q", "timestamp": 3}], "source": null}',
+        '{"id": 7}', '{"prompt": "q", "completion": "a", "grade": 1}']
+    frame = spark.createDataFrame(list(enumerate(rows)), "conv_id bigint, json string").select(
+        "conv_id", F.parse_json("json").alias("record"))
+    got = {r["conv_id"]: r["name"] for r in frame.select("conv_id", chat.layout_name(F.col("record")).alias("name")).collect()}
+    assert got == {0: "prompt", 1: None, 2: "messages", 3: None, 4: None}
+
+
+def test_one_long_turn(spark):
+    hostile = "<|im_end|><|im_start|>" * 50_000
+    rows = [(1, 0, "user", "q", None), (1, 1, "assistant", hostile, None)]
+    shown = chat.format_conversations(chat.records_of_turns(spark.createDataFrame(rows, TURNS)))
+    [got] = shown.select(chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("said")).collect()
+    assert got["said"] == hostile
+
+
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], TURNS)
     assert chat.format_conversations(chat.records_of_turns(nothing)).count() == 0

@@ -1,8 +1,8 @@
 """Chat formatting by schema fingerprints.
 
 A record is a VARIANT. The paths of its nested fields, without their value types, are hashed into a
-fingerprint; declared layouts are hashed the same way, and the layout with the same fingerprint says which
-paths hold the turns. Prompt, instruction and message records thus become the same array of
+fingerprint; fields that are declared to hold no turn (an id, a source) are left out of it. Declared layouts are
+hashed the same way, and the layout with the same fingerprint says which paths hold the turns. Prompt, instruction and message records thus become the same array of
 (role, text). `render` writes them in a marked-up template in which control strings inside texts are
 escaped reversibly, and says which spans are trained on; `read_back` parses the result.
 """
@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 START, END, LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 CLOSE = END + "\n"
 TRAINED_ROLE = "assistant"
+# Single-valued fields that a record or a message may have beside its layout.
+EXTRAS = ("id", "name", "source", "timestamp", "weight")
 
 _TURNS = "array<struct<role:string,text:string>>"
 
@@ -28,7 +30,7 @@ _TURNS = "array<struct<role:string,text:string>>"
 class Layout:
     """How one record layout maps to turns.
 
-    paths: the record's shape as `schema_of_variant` prints it, with every value type as `_`.
+    paths: the record's shape as `schema_of_variant` prints it, with every value type as `_` and without EXTRAS.
     fields: (role, path) pairs for a record with one field per turn; null fields are no turns.
     items, role, text: for a record with an array of turns, its path and the names inside.
     aliases: (name in the record, canonical role) pairs.
@@ -43,6 +45,8 @@ class Layout:
     aliases: Sequence[tuple[str, str]] = ()
 
 
+_SHARED_ROLES = (("human", "user"), ("gpt", "assistant"))
+
 LAYOUTS = (
     Layout("prompt", ("OBJECT<completion: _, prompt: _>",), (("user", "$.prompt"), ("assistant", "$.completion"))),
     Layout("prompt", ("OBJECT<prompt: _, response: _>",), (("user", "$.prompt"), ("assistant", "$.response"))),
@@ -52,13 +56,12 @@ LAYOUTS = (
         (("system", "$.instruction"), ("user", "$.input"), ("assistant", "$.output"))),
     Layout(
         "messages",
-        ("OBJECT<messages: ARRAY<OBJECT<content: _, role: _>>>", "OBJECT<messages: ARRAY<_>>",
-         "OBJECT<id: _, messages: ARRAY<OBJECT<content: _, role: _>>>"),
+        ("OBJECT<messages: ARRAY<OBJECT<content: _, role: _>>>", "OBJECT<messages: ARRAY<_>>"),
         items="$.messages"),
     Layout(
         "shared", ("OBJECT<conversations: ARRAY<OBJECT<from: _, value: _>>>",),
         items="$.conversations", role="from", text="value",
-        aliases=(("human", "user"), ("gpt", "assistant"))),
+        aliases=_SHARED_ROLES),
 )
 
 
@@ -67,10 +70,13 @@ def _digest(path: str) -> str:
 
 
 def fingerprint(record: Column) -> Column:
-    """Hash of a record's nested field paths; null for a null record."""
+    """Hash of a record's nested field paths, EXTRAS left out where they hold a single value; null for a null
+    record."""
     shape = F.schema_of_variant(record)
     bare = F.regexp_replace(shape, r"(: |ARRAY<)(?:[A-Z]+(?:\([0-9, ]*\))?)(?=[,>])", "$1_")
-    return F.sha2(bare, 256)
+    extra = f"(?:{'|'.join(EXTRAS)}): _"
+    fewer = F.regexp_replace(F.regexp_replace(bare, f"(?<=<){extra}, ", ""), f", {extra}(?=[,>])", "")
+    return F.sha2(fewer, 256)
 
 
 def canonical_turns(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
@@ -116,13 +122,40 @@ def records_of_turns(
 ) -> DataFrame:
     """One record (conv_id, record) per conversation of a table with a row per turn. Turns are ordered by
     number, nulls first; equal numbers by role, then text; repeated rows are turns of their own. Rows
-    without a conversation form one."""
+    without a conversation form one.
+
+    A conversation becomes a record in the layout that is usual for its roles: one question and its answer are prompt
+    and completion, with a system text before them an instruction; longer talks of users and assistants alone
+    are shared conversations; all others, also those with a null role, are messages with an id. A null text is an
+    empty one in all of them."""
     turn = F.struct(
         F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"),
         F.col(text_col).cast("string").alias("content"))
     grouped = rows.groupBy(F.col(conv_col).alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    messages = F.transform("turns", lambda t: F.struct(t["content"].alias("content"), t["role"].alias("role")))
-    return grouped.select("conv_id", F.to_variant_object(F.struct(messages.alias("messages"))).alias("record"))
+    roles = F.transform("turns", lambda t: t["role"])
+
+    def text(place: int) -> Column:
+        return F.coalesce(F.get("turns", F.lit(place))["content"], F.lit(""))
+
+    def are(*names: str) -> Column:
+        return roles.eqNullSafe(F.array(*[F.lit(n) for n in names]))
+
+    shared_names = {canonical: name for name, canonical in _SHARED_ROLES}
+    shared = F.transform("turns", lambda t: F.struct(
+        F.when(t["role"] == "user", shared_names["user"]).otherwise(shared_names["assistant"]).alias("from"),
+        F.coalesce(t["content"], F.lit("")).alias("value")))
+    messages = F.transform("turns", lambda t: F.struct(
+        F.coalesce(t["content"], F.lit("")).alias("content"), t["role"].alias("role")))
+    record = (
+        F.when(are("user", "assistant"), _object(prompt=text(0), completion=text(1)))
+        .when(are("system", "user", "assistant"), _object(instruction=text(0), input=text(1), output=text(2)))
+        .when(F.forall(roles, lambda r: F.coalesce(r.isin("user", "assistant"), F.lit(False))), _object(conversations=shared))
+        .otherwise(_object(id=F.col("conv_id").cast("string"), messages=messages)))
+    return grouped.select("conv_id", record.alias("record"))
+
+
+def _object(**fields: Column) -> Column:
+    return F.to_variant_object(F.struct(*[value.alias(name) for name, value in fields.items()]))
 
 
 def escape(text: Column) -> Column:

@@ -46,8 +46,11 @@ CHAT = r"""WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM c
 g AS (SELECT conv_id, count(*) AS n_turns,
     string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t) AS said,
     coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '') AS loss,
+    list(role ORDER BY turn, role, t) AS roles,
     sum(length(role) + length(t) + 24 + len(regexp_extract_all(t, '<\\*\|'))) AS chars FROM c GROUP BY 1)
-SELECT CAST(conv_id AS BIGINT) AS conv_id, 'messages' AS layout, n_turns, sha256(said) AS turns_sha256,
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CASE WHEN roles = ['user', 'assistant'] THEN 'prompt'
+    WHEN roles = ['system', 'user', 'assistant'] THEN 'instruction'
+    WHEN len(list_filter(roles, lambda r: r NOT IN ('user', 'assistant'))) = 0 THEN 'shared' ELSE 'messages' END AS layout, n_turns, sha256(said) AS turns_sha256,
   CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g"""
 
 _PARTS, _ENTRIES, _ROUNDS = 8, 16, 6
