@@ -61,13 +61,58 @@ def test_languages_of_odd_rows(edge_docs, no_docs):
     assert language.identify(no_docs, net).count() == 0
 
 
+def _plain_language(net, text):
+    """Label and probability of a text, byte by byte in double precision."""
+    data = text.encode()
+    total = np.zeros(len(net.languages))
+    for at in range(0, len(data), language.WINDOW):
+        window = data[at : at + language.WINDOW]
+        states = []
+        for side in (0, 1):
+            h, seen = np.zeros(language.HIDDEN), {}
+            for t in range(len(window)) if side == 0 else reversed(range(len(window))):
+                x = net.table[side][window[t]].astype(float)
+                gate = np.clip((h @ net.recur_gate[side] + x[: language.HIDDEN]) / 4 + 0.5, 0, 1)
+                new = np.clip((gate * h) @ net.recur_new[side] + x[language.HIDDEN :], -1, 1)
+                h = seen[t] = (1 - gate) * h + gate * new
+            states.append(seen)
+        for t in range(len(window)):
+            e = np.exp(np.concatenate((states[0][t], states[1][t])) @ net.out + net.bias)
+            total += e / e.sum()
+    return total / len(data)
+
+
+def test_predictions_equal_plain_ones(spark, corpus, edge_docs):
+    rng = np.random.default_rng(5)
+    net = language._start(["a", "b", "c"], rng)
+    sizes = (1, 2, 127, 128, 129, 700)
+    texts = ["".join(rng.choice(list("abé日 z"), size=n)) for n in sizes] + ["x" * 9000]
+    texts += [r["text"] for r in corpus.orderBy("doc_id").limit(60).collect() if r["text"]]
+    texts += [t for _, t in EDGES if t and any(c.isalpha() for c in t) and len(t) < 20_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in language.identify(frame, net).collect():
+        means = _plain_language(net, r["text"])
+        if not any(c.isalpha() for c in r["text"]):
+            continue
+        assert r["score"] == pytest.approx(means.max(), abs=1e-4)
+        assert means[net.languages.index(r["lang_pred"])] == pytest.approx(means.max(), abs=1e-4)
+
+
+def test_many_languages_are_joined_without_a_broadcast(edge_docs, monkeypatch):
+    usual = language.train(edge_docs)
+    monkeypatch.setattr(language, "FEW_LANGUAGES", 1)
+    other = language.train(edge_docs)
+    assert usual.languages == other.languages == ["de", "en"]
+    assert all(np.array_equal(getattr(usual, n), getattr(other, n)) for n in ("table", "recur_gate", "out"))
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(2)
     net = language._start(["a", "b"], rng)
     ids, labels = rng.integers(256, size=(7, 3)), np.array([0, 1, 1])
     ids[5:, 1] = language._PAD
     def loss():
-        p = language._positions(net, ids)[:, np.arange(3), labels]
+        p = language._positions(net, ids)[labels, :, np.arange(3)].T
         return -np.log(p)[ids != language._PAD].mean()
     grads = language._gradients(net, ids, labels)
     for name, at in (("out", (3, 1)), ("recur_gate", (0, 2, 5)), ("recur_new", (1, 4, 4)), ("table", (0, ids[2, 0], 20))):

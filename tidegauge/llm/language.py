@@ -19,6 +19,7 @@ from tidegauge.llm.common import fresh, quoted, small_batches
 
 WINDOW = 128  # bytes read as one sequence
 SAMPLE_PER_LANGUAGE = 400  # documents; the bound of the training sample
+FEW_LANGUAGES = 4096  # up to here the counts by language are broadcast, beyond they are joined by a shuffle
 TRAIN_BYTES = 96  # of a sampled document that are trained on
 HIDDEN = 16
 STEPS = 220
@@ -28,7 +29,7 @@ SEED = 7
 UNKNOWN = "und"
 
 _PAD = 256
-_AT_ONCE = 1024
+_AT_ONCE = 512
 
 
 @dataclasses.dataclass
@@ -44,40 +45,47 @@ class Network:
 
 
 def _run(net: Network, side: int, ids: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States after each step of one direction; ids are (time, sequences). Padding leaves the state."""
+    """States after each step of one direction; ids are (time, sequences). Padding leaves the state.
+
+    The gate is (h W + x) / 4 + 1/2, cut to [0, 1]; its scale and offset are put into the weights first. Every step
+    works in the same few arrays, unless they are kept for the way back."""
     steps, n = ids.shape
-    h = np.zeros((n, HIDDEN), np.float32)
+    quarter, half, one = np.float32(0.25), np.float32(0.5), np.float32(1)
+    gate_x = net.table[side][:, :HIDDEN] * quarter + half
+    new_x = np.ascontiguousarray(net.table[side][:, HIDDEN:])
+    gate_w, new_w = net.recur_gate[side] * quarter, net.recur_new[side]
     states = np.empty((steps, n, HIDDEN), np.float32)
-    table, gate_w, new_w = net.table[side], net.recur_gate[side], net.recur_new[side]
-    order = range(steps) if side == 0 else range(steps - 1, -1, -1)
-    for t in order:
-        x = table[ids[t]]
-        gate = h @ gate_w
-        gate += x[:, :HIDDEN]
-        gate *= np.float32(0.25)
-        gate += np.float32(0.5)
-        np.minimum(gate, np.float32(1), out=gate)
+    h = np.zeros((n, HIDDEN), np.float32)
+    x, gate, mixed, new, step = (np.empty((n, HIDDEN), np.float32) for _ in range(5))
+    for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
+        if keep is not None:
+            gate, mixed, new = (np.empty((n, HIDDEN), np.float32) for _ in range(3))
+        np.matmul(h, gate_w, out=gate)
+        gate += gate_x.take(ids[t], axis=0, out=x, mode="clip")
+        np.minimum(gate, one, out=gate)
         np.maximum(gate, np.float32(0), out=gate)
-        mixed = gate * h
-        new = mixed @ new_w
-        new += x[:, HIDDEN:]
-        np.minimum(new, np.float32(1), out=new)
-        np.maximum(new, np.float32(-1), out=new)
+        np.multiply(gate, h, out=mixed)
+        np.matmul(mixed, new_w, out=new)
+        new += new_x.take(ids[t], axis=0, out=x, mode="clip")
+        np.minimum(new, one, out=new)
+        np.maximum(new, -one, out=new)
         if keep is not None:
             keep.append((t, h, gate, new, mixed))
-        h = h + gate * (new - h)
-        states[t] = h
+        np.subtract(new, h, out=step)
+        step *= gate
+        h = np.add(h, step, out=states[t])
     return states
 
 
 def _positions(net: Network, ids: np.ndarray) -> np.ndarray:
-    """Probabilities of every language at every position: (time, sequences, languages)."""
-    both = np.concatenate((_run(net, 0, ids), _run(net, 1, ids)), axis=2)
-    logits = both @ net.out + net.bias
-    logits -= logits.max(axis=2, keepdims=True)
+    """Probabilities of every language at every position: (languages, time, sequences)."""
+    logits = net.bias[:, None]
+    for side, weights in enumerate((net.out[:HIDDEN], net.out[HIDDEN:])):
+        logits = logits + weights.T @ _run(net, side, ids).reshape(-1, HIDDEN).T
+    logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    return logits
+    logits /= logits.sum(axis=0)
+    return logits.reshape(-1, *ids.shape)
 
 
 def _start(languages: list[str], rng: np.random.Generator) -> Network:
@@ -175,8 +183,8 @@ def predict(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     def flush() -> None:
         ids = _matrix(pieces, min(WINDOW, max(map(len, pieces))))
         p = _positions(net, ids)
-        p *= (ids != _PAD)[:, :, None]
-        np.add.at(totals, owners, p.sum(axis=0))
+        p *= ids != _PAD
+        np.add.at(totals, owners, p.sum(axis=1).T)
         pieces.clear()
         owners.clear()
 
@@ -204,7 +212,10 @@ def train(
     counts = known.groupBy(lang.cast("string").alias("_lang")).agg(F.count("*").alias("_n"))
     draw = F.pmod(F.xxhash64(F.lit(SEED), key), F.lit(1 << 30))
     rows = known.select(lang.cast("string").alias("_lang"), draw.alias("_draw"), F.encode(text.cast("string"), "UTF-8").alias("_b"))
-    likely = rows.join(F.broadcast(counts), "_lang").where(
+    few = counts.limit(FEW_LANGUAGES + 1).collect()
+    if len(few) <= FEW_LANGUAGES:
+        counts = F.broadcast(docs.sparkSession.createDataFrame(few, counts.schema))
+    likely = rows.join(counts, "_lang").where(
         F.col("_draw") < F.lit(2.0 * per_language * (1 << 30)) / F.col("_n"))
     size = F.length("_b")
     at = F.pmod(F.col("_draw"), F.greatest(size - 1023, F.lit(1))).cast("int") + 1
