@@ -37,7 +37,7 @@ def test_secrets_of_odd_rows(edge_docs):
 
 MAILS = " ".join(f"m{i}@b{i}.org" for i in range(4000))
 LONG = {
-    "one address": "a@b" + ".c" * 200_000, "mails": MAILS, "starts of tokens": "eyJ" * 100_000,
+    "one address": "a@b" + ".c" * 200_000, "mails": MAILS, "starts of tokens": "eyJ" * 100_000, "unmarked": "aB3" * 200_000 + " x" + "aB" * 100_000,
     "mails and numbers": " ".join(f"m{i}@b{i}.org, 12 345 {i:04d} 77" for i in range(4000)),
     "plain": "word mail a.b " * 750_000,
 }
@@ -49,7 +49,7 @@ def test_long_texts_neither_end_nor_stall_a_job(spark, name):
     docs = spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")
     private = pii.find_personal(docs).select(pii.listed(F.filter("spans", lambda s: s["strict"]))).first()[0]
     secrets = _secret_rows(secret_scan.scan(docs)).first()["base"]
-    if name == "starts of tokens":  # the plain definitions take a step for each pair of characters here
+    if name in ("starts of tokens", "unmarked"):  # the plain definitions take a step for each pair of characters here
         assert private == secrets == ""
     else:
         assert private == _by_kind(text) and secrets == _by_start(text)
@@ -87,6 +87,17 @@ def test_ownership_decides_loose_candidates(spark):
     assert all(found[i] == [] for i in (10, 11, 12, 13, 30))
 
 
+def test_ownership_decides_unmarked_strings(spark):
+    own, copied, word = "q7RtY2mK9sLx4Wv8ZbNd3H", "aB3dE5gH7jK9mN1pQ3rS5t", "InternationalisationReport2024"
+    rows = [(1, f"key {own}, {word}", "a"), (2, f"token = {own}", "a"), (3, own.lower() + " " + "A1" * 12, "a")]
+    rows += [(10 + i, f"e.g. {copied}", f"o{i}") for i in range(3)] + [(20, "x" * 10 + own, "a"), (21, f"_{own}-", "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"], s["verdict"]) for s in r["spans"]] for r in secret_scan.scan(docs).collect()}
+    assert found[1] == [("entropy", 4, 4 + len(own), "live")] and found[2] == [("assign", 0, 8 + len(own), "live")]
+    assert found[3] == [] and all(found[10 + i] == [] for i in range(3))
+    assert found[20] == [("entropy", 0, 10 + len(own), "live")] and found[21] == [("entropy", 1, 1 + len(own), "live")]
+
+
 def test_very_many_repositories_of_one_owner_are_copies(spark):
     own, copied = "ghp_" + "aB3dE5gH7jK9mN1pQ3rS", "ghp_" + "zY8xW6vU4tS2rQ0pO8nM"
     rows = [(i, f"x {copied}", "hot") for i in range(150)] + [(1000 + i, f"x {own}", "hot") for i in range(5)]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.llm.common import matches, quoted, span_list, stored
+from tidegauge.llm.common import let, matches, overlaps_any, quoted, span_blocks, span_list, stored
 
 
 @dataclasses.dataclass(frozen=True)
@@ -46,7 +46,12 @@ LOOSE = (
     Kind("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{16,}", r"(?i)bearer\x20", r"\x20([^\x20]+)$", 16, False),
     Kind("userinfo", r"://[^\s/:@]{1,64}:[^\s/:@]{6,64}@", "://", r":([^:@]+)@$", 6, False),
 )
-KINDS = (*STRICT, *LOOSE)
+# Any run of letters and digits that no issuer marks: both cases and three separate groups of digits. What it is, an
+# example or a credential, only the ownership counts tell. Spans inside those of other kinds are left to these.
+UNMARKED = Kind(
+    "entropy", r"(?<![A-Za-z0-9])(?=[a-z0-9]*+[A-Z])(?=[A-Z0-9]*+[a-z])(?=(?:[A-Za-z]*+[0-9]++){3})[A-Za-z0-9]{20,}+",
+    r"[A-Za-z0-9]{20}", r"(.+)", 20, False)
+KINDS = (*STRICT, *LOOSE, UNMARKED)
 
 COPIED_OWNERS = 3  # owners from which on a string counts as a copied example
 COPIED_REPOS = 100  # repositories from which on it does so whatever the number of owners
@@ -56,7 +61,8 @@ _SPAN = "array<struct<start:bigint,end:bigint,place:int,kind:string,strict:boole
 
 
 def candidates(text: Column, kinds: Sequence[Kind] = KINDS) -> Column:
-    """All candidate spans of a text: leftmost non-overlapping for each kind; the kinds may overlap."""
+    """All candidate spans of a text: leftmost non-overlapping for each kind; the kinds may overlap, but UNMARKED
+    ones overlap no other."""
     fields = ("start", "end", "place", "kind", "strict", "key", "random")
 
     def hits(place: int, kind: Kind) -> Column:
@@ -73,7 +79,12 @@ def candidates(text: Column, kinds: Sequence[Kind] = KINDS) -> Column:
         bare = F.transform(long, lambda s: F.struct(*[s[f].alias(f) for f in fields]))
         return F.when(text.rlike(kind.probe), bare.cast(_SPAN)).otherwise(F.array().cast(_SPAN))
 
-    return F.concat(*[hits(place, kind) for place, kind in enumerate(kinds)])
+    marked = F.concat(*[hits(place, kind) for place, kind in enumerate(kinds) if kind is not UNMARKED])
+    if UNMARKED not in kinds:
+        return marked
+    unmarked = hits(list(kinds).index(UNMARKED), UNMARKED)
+    return let(marked, lambda known: let(span_blocks(known), lambda blocks: F.concat(
+        known, F.filter(unmarked, lambda s: ~overlaps_any(blocks, s)))))
 
 
 def ownership(found: DataFrame) -> DataFrame:
