@@ -140,6 +140,34 @@ def test_many_emails_do_not_vouch_for_numbers(spark):
     assert all(found[2000 + i] == [] for i in range(40))
 
 
+def test_loose_candidates_are_reported_in_a_shared_form(spark):
+    rows = [(i, f"write to a{i}@b{i % 7}.org or call +1 (212) 555-{1000 + i} today") for i in range(1000)]
+    rows += [(2000, "ask anna (at) example (dot) org please"), (2001, "call (212) 555-9876 now"), (2002, "x (at) -y dot c now"),
+             (2003, "ANNA [at] Example dot co dot uk"), (2004, "in 2024-03-10 12 or 1939-1945"), (2005, "room 212 555 98")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    text = {i: t for i, t in rows}
+    found = {r["doc_id"]: [(s["kind"], text[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]]
+             for r in pii.find_personal(docs).collect()}
+    assert all([k for k, _ in found[i]] == ["email", "phone"] for i in range(1000))
+    assert found[2000] == [("spelled", "anna (at) example (dot) org")] and found[2001] == [("number", "(212) 555-9876")]
+    assert found[2003] == [("spelled", "ANNA [at] Example dot co dot uk")]
+    assert found[2002] == found[2004] == found[2005] == []
+
+
+def test_refuted_numbers_keep_a_format_out(spark):
+    # As many card numbers without a check digit as phone numbers of the same format: nothing vouches for the format.
+    rows = [(i, f"call +12 1234 5678 9012 {i:03d} today") for i in range(600)]
+    rows += [(1000 + i, f"order 1234.5678.9012.{i:04d}, on 2024-03-1{i % 10} {i % 900 + 100}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"] if not s["strict"]] for r in pii.find_personal(docs).collect()}
+    assert not any(found.values())
+
+
+def test_an_address_is_checked_more_closely_than_it_is_reported(spark):
+    shown = spark.createDataFrame([("a@b.org a..b@c.d1",)], "t string").select(pii.candidates(F.col("t")).alias("c")).first()["c"]
+    assert [(s["kind"], s["confirmed"], s["label"]) for s in shown] == [("email", True, True), ("email", True, False)]
+
+
 def test_each_group_has_its_own_threshold():
     cell = dict.fromkeys(pii.FEATURES, 0)
     cells = [

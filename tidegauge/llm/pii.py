@@ -2,12 +2,15 @@
 
 Generators with high recall propose spans, which may overlap. Each candidate is described by a few binned
 features of its format and context. The spans that a strict check confirms (address syntax, octets, check
-digit, number of digits) are always reported, and serve as labels: boosted trees learn what
-confirmed candidates look like without seeing the check. A candidate without a strict check is reported if
+digit, number of digits) are always reported. Boosted trees learn what personal data looks like from labels
+that they do not see: the checks of the strict candidates, for addresses a closer one than the contract of
+that kind asks for, and loose candidates that cannot be what they look like (dates, too few digits, no check
+digit, no address when spelled back), as negative ones. A loose candidate that nothing refutes has no label. It is reported if
 its score reaches the threshold of its group, the lowest at which held-out candidates of that group are
-confirmed to `PRECISION`. A group is a format, so that a kind which is nearly always confirmed vouches for
-no other. A group that cannot reach it adds nothing, and a span that failed its own check does not come
-back under another kind.
+right to `PRECISION`. A group is a format, so that a kind which is nearly always confirmed vouches for
+no other. Loose candidates meet strict ones in a group by a shared form: a spelled address is described as the
+address it stands for, a phone number with a prefix as the number behind it. A group that cannot reach
+`PRECISION` adds nothing, and a span that failed its own check does not come back under another kind.
 
 The features are discrete, so the whole corpus comes down to counts per combination of features, at most
 `MAX_CELLS` rows by construction. The trees are fitted to these counts, and run as one SQL expression.
@@ -37,6 +40,14 @@ STRICT = ("email", "ip", "card", "phone")
 # Loose generators: what may be a number of a person, and a spelled-out address.
 NUMBER = r"(?<![0-9A-Za-z_.-])\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,6}){1,5}(?![0-9A-Za-z_-])"
 SPELLED = r"(?i)[a-z0-9._-]{1,64}(?:\x20\(at\)\x20|\x20\[at\]\x20)[a-z0-9-]{1,64}(?:\x20(?:\(dot\)|\[dot\]|dot)\x20[a-z]{2,24}){1,3}"
+AT, DOT = r"(?i)\x20[(\[]at[)\]]\x20", r"(?i)\x20[(\[]?dot[)\]]?\x20"
+PREFIX = r"^\+(?:[0-9]{1,3}[\x20-]+(?=[(0-9]))?"  # what stands before a phone number as it is written at home
+
+# What an address must be to serve as a positive label, and a number that is a date.
+ADDRESS_SIZE = 254  # the longest address that mail accepts
+ADDRESS = r"^[A-Za-z0-9_+-]+(?:\.[A-Za-z0-9_+-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}$"
+DATE = (r"^(?:(?:19|20)[0-9]{2}([.\x20-])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])"
+        r"|(?:0?[1-9]|[12][0-9]|3[01])([.\x20-])(?:0?[1-9]|1[0-2])\2(?:19|20)[0-9]{2})(?![0-9])")
 
 CUES = r"(?i)(?:mail|contact|write|phone|call|tel|mobile|fax|card|visa|account|iban|ssn|host|server|addr)[^\n]{0,12}$"
 
@@ -46,12 +57,12 @@ ROUNDS = 24
 RATE = 0.4
 
 # Feature: number of values. The number of cells is bounded by their product times folds and labels.
-FEATURES = {"shape": 6, "digits": 5, "groups": 4, "plus": 2, "paren": 2, "cue": 2, "before": 2, "after": 2}
-FORMAT = ("shape", "digits", "groups", "plus", "paren")  # the features that make a group
+FEATURES = {"shape": 6, "digits": 5, "groups": 4, "paren": 2, "cue": 2, "before": 2, "after": 2}
+FORMAT = ("shape", "digits", "groups", "paren")  # the features that make a group
 MAX_CELLS = int(np.prod(list(FEATURES.values()))) * 4
 
-_FIELDS = ("start", "end", "place", "kind", "strict", "confirmed", *FEATURES)
 _SPAN = ("array<struct<start:bigint,end:bigint,place:int,kind:string,strict:boolean,confirmed:boolean,"
+         "label:boolean,"
          + ",".join(f"{f}:int" for f in FEATURES) + ">>")
 
 
@@ -79,18 +90,44 @@ def _confirmed(kind: str, hit: Column) -> Column:
     return F.length(_digits(hit)).between(9, 15)
 
 
-def _features(match: Column) -> dict[str, Column]:
-    """Binned format and context of a candidate."""
-    hit, ahead, next_ = match["hit"], match["ahead"], match["next"]
-    digits = F.length(_digits(hit))
-    groups = F.size(F.regexp_extract_all(hit, F.lit("[0-9]+"), F.lit(0)))
+def _shared_form(kind: str, hit: Column) -> Column:
+    """A hit in the form in which loose and strict kinds can be compared."""
+    if kind == "spelled":
+        return F.regexp_replace(F.regexp_replace(hit, AT, "@"), DOT, ".")
+    return F.regexp_replace(hit, PREFIX, "") if kind == "phone" else hit
+
+
+def _is_address(form: Column) -> Column:
+    return F.when(F.length(form) > ADDRESS_SIZE, False).otherwise(form.rlike(ADDRESS))
+
+
+def _label(kind: str, form: Column, confirmed: Column) -> Column:
+    """Whether a hit is what its kind says, as far as a check can tell; null for loose ones that nothing refutes."""
+    if kind == "email":
+        return _is_address(form)
+    if kind == "spelled":
+        return F.when(~_is_address(form), F.lit(False))
+    if kind == "number":
+        digits = _digits(form)
+        n = F.length(digits)
+        return F.when((n < 9) | (n > 19) | form.rlike(DATE) | ((n >= 13) & ~luhn(digits)), F.lit(False))
+    return confirmed
+
+
+def _features(form: Column, match: Column) -> dict[str, Column]:
+    """Binned format and context of a candidate. The digits of an address are no part of its format."""
+    ahead, next_ = match["ahead"], match["next"]
+    address = form.contains("@")
+    digits = F.length(_digits(form))
+    groups = F.size(F.regexp_extract_all(form, F.lit("[0-9]+"), F.lit(0)))
     shape = (
-        F.when(hit.contains("@"), 0).when(hit.rlike("[A-Za-z]"), 1).when(hit.rlike(r"^[0-9.]+$") & hit.contains("."), 2)
-        .when(hit.contains("-"), 3).when(hit.contains(" "), 4).otherwise(5))
+        F.when(address, 0).when(form.rlike("[A-Za-z]"), 1).when(form.rlike(r"^[0-9.]+$") & form.contains("."), 2)
+        .when(form.contains("-"), 3).when(form.contains(" "), 4).otherwise(5))
     bins = F.when(digits < 7, 0).when(digits < 9, 1).when(digits < 13, 2).when(digits < 16, 3).otherwise(4)
     return {
-        "shape": shape, "digits": bins, "groups": F.least(groups, F.lit(4)) - F.least(groups, F.lit(1)),
-        "plus": hit.startswith("+").cast("int"), "paren": hit.contains("(").cast("int"),
+        "shape": shape, "digits": F.when(address, 0).otherwise(bins),
+        "groups": F.when(address, 0).otherwise(F.least(groups, F.lit(4)) - F.least(groups, F.lit(1))),
+        "paren": form.contains("(").cast("int"),
         "cue": ahead.rlike(CUES).cast("int"),
         "before": F.when((match["start"] == 0) | ahead.rlike(r"[\s(\[,;:=\"']$"), 1).otherwise(0),
         "after": F.when((next_ == "") | next_.rlike(r"^[\s)\],;:.!?\"']"), 1).otherwise(0),
@@ -109,10 +146,12 @@ def candidates(text: Column) -> Column:
 
     def hits(place: int, kind: str, pattern: str, probe: Column, strict: bool) -> Column:
         def span(m: Column) -> Column:
-            bins = _features(m)
+            form = _shared_form(kind, m["hit"])
+            bins = _features(form, m)
+            confirmed = _confirmed(kind, m["hit"]) if strict else F.lit(False)
             return F.struct(
                 m["start"], m["end"], F.lit(place).alias("place"), F.lit(kind).alias("kind"),
-                F.lit(strict).alias("strict"), (_confirmed(kind, m["hit"]) if strict else F.lit(False)).alias("confirmed"),
+                F.lit(strict).alias("strict"), confirmed.alias("confirmed"), _label(kind, form, confirmed).alias("label"),
                 *[c.cast("int").alias(n) for n, c in bins.items()])
 
         spans = F.transform(in_context(text, pattern, 24), span).cast(_SPAN)
@@ -159,7 +198,7 @@ def _group(values):
 
 
 def fit(cells: list[dict]) -> Boosted:
-    """Boosts on counted cells (features, confirmed, held, n); each group's threshold comes from its own
+    """Boosts on counted cells (features, confirmed as the label, held, n); each group's threshold comes from its own
     held-out ones. Without both labels there is nothing to learn, and no group has a threshold."""
     names = list(FEATURES)
     x = np.array([[c[f] for f in names] for c in cells], np.int64).reshape(-1, len(names))
@@ -219,30 +258,31 @@ def _threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
 
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id and `spans`, an array of (start, end, place, kind, strict, score) in code
-    points, the end exclusive: all confirmed strict spans, and loose ones that reach the threshold of
-    their group, overlap no confirmed span and are no span that failed its own check. Null and empty texts have none. Every row gives a row, repeated ones too."""
+    points, the end exclusive: all confirmed strict spans, and loose ones that nothing refutes, that reach the
+    threshold of their group, overlap no confirmed span and are no span that failed its own check. Null and empty
+    texts have none. Every row gives a row, repeated ones too."""
     text = quoted(text_col).cast("string")
     seen = stored(docs.select(
         quoted(id_col).alias("id"), F.pmod(F.xxhash64(text), F.lit(5)).cast("int").alias("fold"),
         F.coalesce(candidates(text), F.array().cast(_SPAN)).alias("spans")), "personal")
     cells = (
-        seen.where(F.size("spans") > 0).select("fold", F.explode("spans").alias("s")).where("s.strict")
-        .groupBy(*[F.col(f"s.{f}").alias(f) for f in FEATURES], F.col("s.confirmed").alias("confirmed"),
+        seen.where(F.size("spans") > 0).select("fold", F.explode("spans").alias("s")).where("s.label is not null")
+        .groupBy(*[F.col(f"s.{f}").alias(f) for f in FEATURES], F.col("s.label").alias("confirmed"),
                  (F.col("fold") == 0).alias("held"))
         .agg(F.count("*").alias("n")))
     # At most MAX_CELLS rows, whatever the corpus.
     model = fit(sorted((r.asDict() for r in cells.collect()), key=lambda c: sorted(c.items())))
     scored = F.transform("spans", lambda s: F.struct(
-        *[s[f] for f in ("start", "end", "place", "kind", "strict", "confirmed")], model.expression(s).alias("score"),
+        *[s[f] for f in ("start", "end", "place", "kind", "strict", "confirmed", "label")], model.expression(s).alias("score"),
         model.threshold_of(s).alias("least")))
 
     def reported(every: Column) -> Column:
         sure = F.filter(every, lambda s: s["confirmed"])
         failed = F.filter(every, lambda s: s["strict"] & ~s["confirmed"])
         near = F.struct(span_blocks(sure).alias("sure"), span_blocks(failed).alias("failed"))
-        added = let(near, lambda n: F.filter(every, lambda s: ~s["strict"] & (s["score"] >= s["least"])
+        added = let(near, lambda n: F.filter(every, lambda s: ~s["strict"] & s["label"].isNull() & (s["score"] >= s["least"])
                                              & ~overlaps_any(n["sure"], s) & ~equals_any(n["failed"], s)))
-        return F.transform(F.concat(sure, added), lambda s: s.dropFields("least"))
+        return F.transform(F.concat(sure, added), lambda s: s.dropFields("least", "label"))
 
     return seen.select(F.col("id").alias(id_col), let(scored, reported).alias("spans"))
 
