@@ -156,6 +156,19 @@ def test_bounds_read_only_the_days_that_can_matter(product, tmp_path, spark):
     assert scans and all("event_date" in s for s in scans)
 
 
+def test_the_last_day_reads_each_table_once(product, tmp_path, spark):
+    stored = []
+    for name, df in zip(("users", "events", "sessions"), product):
+        df.write.parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)))
+    latest = spark.range(1).select(fact.last_fact_day(*stored).alias("day"))
+    plan = _plan(latest)
+    assert len(re.findall("Relation ", plan)) == 3 and len(re.findall("Join ", plan)) == 1, plan
+    assert table(latest) == {(day("2024-03-01"),)}  # the event of an unknown user is later
+    quiet = spark.range(1).select(fact.last_fact_day(stored[0], *[df.limit(0) for df in stored[1:]]).alias("day"))
+    assert table(quiet) == {(day("2024-01-03"),)}
+
+
 @pytest.fixture
 def published(spark):
     """Published daily tables by their columns, from a folder named by GOLDEN_TABLES."""

@@ -14,7 +14,6 @@ from tidegauge.operators.prepare import (
     check_order,
     checked_last_day,
     first_users,
-    known_users_only,
     only_days,
     pick_columns,
     prep_events,
@@ -184,17 +183,13 @@ def daily_session_features(sessions: DataFrame) -> DataFrame:
 
 
 def _latest_day(members, events, sessions) -> Column:
-    """Latest of signups and of the known users' events and sessions; both are reduced to one day
-    per user before they meet the user table."""
-    def latest(df, column):
-        per_user = df.groupBy("user_id").agg(F.max(column).alias("day"))
-        return known_users_only(per_user, members).agg(F.max("day")).scalar()
-
-    return F.greatest(
-        members.agg(F.max("signup_date")).scalar(),
-        latest(prep_events(events), "event_date"),
-        latest(prep_sessions(sessions), "session_date"),
-    )
+    """Latest of signups and of the known users' events and sessions. Both tables together are reduced to one day
+    per user, which meets the user table once."""
+    days = prep_events(events).select("user_id", F.col("event_date").alias("day")).unionAll(
+        prep_sessions(sessions).select("user_id", F.col("session_date").alias("day")))
+    per_user = days.groupBy("user_id").agg(F.max("day").alias("day"))
+    both = members.select("user_id", "signup_date").join(per_user, "user_id", "left")
+    return both.agg(F.greatest(F.max("signup_date"), F.max("day"))).scalar()
 
 
 def busy_spans(
