@@ -199,7 +199,7 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
 
 def tokenize(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """The documents with `ids` (packed) and `n_tokens`. Nothing is shuffled; no row is added or removed.
-    Null and empty texts have no tokens; texts of any length are encoded whole."""
+    Null and empty texts have no tokens; texts of any length are encoded whole. Columns of these names are replaced."""
     small_batches(docs.sparkSession)
     return docs.withColumn("ids", encoded(quoted(text_col).cast("string"), path, pattern)).withColumn(
         "n_tokens", (F.length("ids") / 4).cast("long"))

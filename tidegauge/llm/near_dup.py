@@ -351,7 +351,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, one of each component, with all their columns."""
+    """The documents that stay, one of each component, with all their columns. Ids name documents: rows that share
+    an id stay together if one of them stays, also where their texts differ."""
     other = fresh(docs, "keep_id")
     stay = near_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias(other)).distinct()
     return docs.join(stay, F.col(other).eqNullSafe(quoted(id_col)), "left_semi")

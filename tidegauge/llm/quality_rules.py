@@ -118,7 +118,7 @@ def _within(condition: str, prefix: str) -> str:
 
 def ledger(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The documents with `measures` (a struct) and `failed`, the bits of the rules that they fail. Null
-    and empty texts measure zero. No rows are added or removed."""
+    and empty texts measure zero. No rows are added or removed. Columns of these names are replaced."""
     small_batches(docs.sparkSession)
     measured = docs.withColumn("measures", measurements(quoted(text_col).cast("string")))
     return measured.withColumn("failed", _failure_bits(rules, "measures"))
