@@ -1,5 +1,6 @@
 """Selected ranks, sketches, bitmaps, ratios by user and last events, against plain definitions."""
 
+import hashlib
 import math
 import random
 
@@ -144,6 +145,32 @@ def test_bootstrap_agrees_with_the_delta_method_and_with_itself(spark):
     assert abs(first["low"] - delta["low"]) < 0.2 * width and abs(first["high"] - delta["high"]) < 0.2 * width
 
 
+def test_bootstrap_hashes_a_user_once_a_round(spark):
+    """Against a plain loop, with two metrics, a user that comes twice and one without an id; and one hash in the plan."""
+    rows = [(u, ("control", "treatment")[u % 2], m, float(u % 7), float(1 + u % 3)) for u in range(20) for m in ("m", "n")]
+    rows += [(3, "treatment", "m", 5.0, 2.0), (None, "control", "n", 1.0, 4.0)]
+    sums = spark.createDataFrame(rows, "user_id bigint, variant string, metric string, top double, bottom double")
+    got = experiment.guardrail_bootstrap(sums, rounds=30)
+    steps = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(17)])
+
+    def ratio(metric, arm, turn):
+        top = bottom = 0.0
+        for u, variant, m, x, y in rows:
+            if (m, variant) == (metric, arm):
+                key = f"{turn}:42" if u is None else f"{u}:{turn}:42"
+                share = int(hashlib.md5(key.encode()).hexdigest()[:8], 16) / 2**32
+                n = 1 if turn == 0 else int((steps <= share).sum())
+                top, bottom = top + n * x, bottom + n * y
+        return top / bottom
+
+    for r in got.collect():
+        gaps = [ratio(r["metric"], "treatment", i) - ratio(r["metric"], "control", i) for i in range(31)]
+        assert math.isclose(r["difference"], gaps[0])
+        assert math.isclose(r["low"], np.quantile(gaps[1:], 0.025)) and math.isclose(r["high"], np.quantile(gaps[1:], 0.975))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 2 and plan.count("md5(") == 1
+
+
 def test_user_sums_by_hand(spark, frames):
     users = frames.users((1, "2025-01-01", "control"), (2, "2025-01-01", "treatment"), (3, "2025-01-01", None))
     events = frames.full_events(*[

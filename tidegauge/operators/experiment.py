@@ -392,24 +392,33 @@ def guardrail_bootstrap(user_sums: DataFrame, rounds: int = 100, seed: int = 42,
     """metric, difference, low, high: the interval of the difference of arms by a Poisson bootstrap over users.
 
     In each round a user counts 0, 1, 2, ... times, by a hash of the user, the round and the seed, the same in every
-    metric and rerun. Weighted sums are combined on the map side; what is left is a row per round, metric and arm."""
+    metric and rerun. A user's sums are brought together first, so that a user is hashed once per round, whatever the
+    number of metrics. Round 0 counts every user once and gives the difference itself. Weighted sums are combined on the
+    map side; what is left is a row per round, metric and arm."""
     total, term = 0.0, math.exp(-1)
     steps = []
     for k in range(1, 18):
         total += term
         term /= k
         steps.append(total)
-    turns = user_sums.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
+    per_user = user_sums.groupBy("user_id", "variant", "metric").agg(F.sum("top").alias("top"), F.sum("bottom").alias("bottom"))
+    together = per_user.groupBy("user_id", "variant").agg(F.collect_list(F.struct("metric", "top", "bottom")).alias("sums"))
+    turns = together.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds))))
     digest = F.md5(F.concat_ws(":", F.col("user_id").cast("string"), F.col("round"), F.lit(seed)))
     share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0
-    weight = sum((flag(F.col("share") >= s) for s in steps), F.lit(0))
-    weighed = turns.withColumn("share", share).withColumn("weight", weight).where("weight > 0")
-    sums = weighed.groupBy("metric", "round", "variant").agg(
-        F.try_divide(F.sum(F.col("weight") * F.col("top")), F.sum(F.col("weight") * F.col("bottom"))).alias("ratio"))
+    # A filter on the weight would be moved below the share and hash the user again for each of the steps.
+    drawn = sum((flag(F.col("share") >= s) for s in steps), F.lit(0))
+    weighed = turns.withColumn("share", F.when(F.col("round") > 0, share)).select(
+        "variant", "round", F.explode("sums").alias("m"), F.when(F.col("round") == 0, 1).otherwise(drawn).alias("weight"))
+    some = F.col("weight") > 0
+    sums = weighed.groupBy("m.metric", "round", "variant").agg(
+        *[F.sum(F.when(some, F.col("weight") * F.col(f"m.{c}"))).alias(c) for c in ("top", "bottom")],
+        F.max("weight").alias("most")).where("most > 0").withColumn("ratio", F.try_divide("top", "bottom"))
     rounds_of = sums.groupBy("metric", "round").agg(*[F.max(_arm(F.col("ratio"), a)).alias(a) for a in ARMS]).withColumn(
-        "drawn", F.col(TREATMENT) - F.col(CONTROL))
+        "gap", F.col(TREATMENT) - F.col(CONTROL))
     ends = [(1 - level) / 2, (1 + level) / 2]
-    interval = rounds_of.groupBy("metric").agg(*[F.percentile("drawn", p).alias(e) for e, p in zip(("low", "high"), ends)])
-    arms = user_sums.groupBy("metric", "variant").agg(F.try_divide(F.sum("top"), F.sum("bottom")).alias("ratio"))
-    seen = arms.groupBy("metric").agg(*[F.max(_arm(F.col("ratio"), a)).alias(a) for a in ARMS])
-    return seen.select("metric", (F.col(TREATMENT) - F.col(CONTROL)).alias("difference")).join(interval, "metric")
+    of_round = F.when(F.col("round") > 0, F.col("gap"))
+    return rounds_of.where(F.col("metric").isNotNull()).groupBy("metric").agg(
+        F.max(F.when(F.col("round") == 0, F.col("gap"))).alias("difference"),
+        *[F.percentile(of_round, p).alias(e) for e, p in zip(("low", "high"), ends)],
+        F.max("round").alias("drawn")).where("drawn > 0").drop("drawn")
