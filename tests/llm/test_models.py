@@ -280,3 +280,29 @@ def test_scores_of_odd_rows(edge_docs, no_docs):
     untrained = maxent.score(edge_docs, F.lit(False)).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in untrained)
     assert maxent.score(no_docs, F.lit(True)).count() == 0
+
+
+def test_a_step_against_plain_sums_and_pieces_hashed_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, buckets, width = 5000, 1024, maxent.CLASSES  # more tokens than are held in the cache, fewer than a last full part
+    rows = np.stack([rng.integers(0, buckets, n) + i * buckets for i in range(maxent.FEATURES)]).astype(np.int32)
+    wanted, kind = rng.integers(0, width, n), rng.integers(0, width, n)
+    bias = rng.normal(size=(width, width)).astype(np.float32)
+    weights = rng.normal(size=(maxent.FEATURES * buckets, width)).astype(np.float32)
+    seen = np.zeros(len(weights), np.float32)
+    z = weights[rows].astype(float).sum(axis=0) + bias[kind]
+    slope = np.eye(width)[wanted] - np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    sums, count = np.zeros(weights.shape), np.bincount(rows.ravel(), minlength=len(weights))
+    for feature in rows:
+        np.add.at(sums, feature, slope)
+    plain = weights + maxent.STEP * sums / np.maximum(count, 1)[:, None]
+    maxent._descend(weights, bias, rows, wanted, seen, buckets, kind)
+    assert np.allclose(weights, plain, atol=1e-3) and (seen == count).all()
+
+    asked, plain_hash = [], maxent.xxhash.xxh32_intdigest
+    words = [b"wordy%05dly." % i for i in range(200)]
+    leaves = [
+        (maxent.FREQUENT + plain_hash(w.strip(b".")[-3:]) % (maxent.CLASSES - maxent.FREQUENT)) * maxent.CLASSES
+        + plain_hash(w[:2]) % maxent.CLASSES for w in words]
+    monkeypatch.setattr(maxent.xxhash, "xxh32_intdigest", lambda piece: asked.append(piece) or plain_hash(piece))
+    assert [maxent._shared_leaf(w) for w in words] == leaves and len(asked) <= 11  # ten endings and a beginning

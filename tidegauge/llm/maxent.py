@@ -41,6 +41,9 @@ _TOKENS_A_ROUND = 50_000_000
 _TOKENS_A_TASK = 2_500_000
 STEP = 1.5
 _CHUNK = 32_768  # tokens of a gradient step
+_CACHED = 2_048  # tokens whose logits stay in a core's cache
+_TURNED = 512  # buckets whose sums are turned into rows at once
+_ENDS = 100_000  # beginnings or endings of words whose hash a worker remembers
 _FLUSH = 250_000  # distinct words counted before they are passed on
 _WORDS = 500_000  # words whose code a worker remembers
 _BLOCKS = 64  # parts in which updates are averaged
@@ -53,11 +56,28 @@ def _key(word: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+class _Remembered(dict):
+    """A function of few short pieces of words, called once for each."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, piece: bytes) -> int:
+        if len(self) >= _ENDS:
+            self.clear()
+        value = self[piece] = self.of(piece)
+        return value
+
+
+_OF_ENDING = _Remembered(lambda piece: (FREQUENT + xxhash.xxh32_intdigest(piece) % (CLASSES - FREQUENT)) * CLASSES)
+_OF_BEGINNING = _Remembered(lambda piece: xxhash.xxh32_intdigest(piece) % CLASSES)
+
+
 def _shared_leaf(word: bytes) -> int:
     """The leaf of a word that has none of its own: class by ending, leaf by beginning."""
     word = word.strip(b".,;:!?|\"'()")
-    kind = FREQUENT + xxhash.xxh32_intdigest(word[-3:]) % (CLASSES - FREQUENT)
-    return kind * CLASSES + xxhash.xxh32_intdigest(word[:2]) % CLASSES
+    return _OF_ENDING[word[-3:]] + _OF_BEGINNING[word[:2]]
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -96,7 +116,7 @@ def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def rows() -> pd.DataFrame:
         words = list(seen)
         return pd.DataFrame({
-            "key": np.array([_key(w) for w in words], np.int64),
+            "key": np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64),
             "leaf": np.array([_shared_leaf(w) for w in words], np.int32),
             "n": np.fromiter(seen.values(), np.int64, len(words))})
 
@@ -153,13 +173,13 @@ class _Coder(dict):
         super().__init__()
         place = np.arange(1, len(keys) + 1, dtype=np.int64)
         short = 1 + (keys.astype(np.uint64) >> np.uint64(20)).astype(np.int64) % ((1 << _WORD_BITS) - 1)
-        self.head = dict(zip(keys.tolist(), (short | leaves << _WORD_BITS | place << _WORD_BITS + 10).tolist()))
+        self.head = dict(zip(keys.view(np.uint64).tolist(), (short | leaves << _WORD_BITS | place << _WORD_BITS + 10).tolist()))
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= _WORDS:
             self.clear()
         value = xxhash.xxh64_intdigest(word)
-        code = self.head.get(value - (1 << 64) if value >> 63 else value)
+        code = self.head.get(value)
         if code is None:
             short = 1 + (value >> 20) % ((1 << _WORD_BITS) - 1)
             code = short | _shared_leaf(word) << _WORD_BITS
@@ -244,8 +264,8 @@ class Model:
     def log_shares(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural log probability of each token's leaf."""
         rows, leaf, out = _features(codes, starts, self.buckets), _leaf_of(codes), np.empty(len(codes))
-        for at in range(0, len(codes), _CHUNK):
-            part = slice(at, at + _CHUNK)
+        for at in range(0, len(codes), _CACHED):
+            part = slice(at, at + _CACHED)
             kind, place = leaf[part] // CLASSES, leaf[part] % CLASSES
             out[part] = _log_share(self.weights, self.class_bias, rows[0, :, part], kind)
             out[part] += _log_share(self.weights, self.leaf_bias[kind], rows[1, :, part], place)
@@ -257,17 +277,24 @@ class Model:
             part = slice(at, at + _CHUNK)
             kind, place = leaf[part] // CLASSES, leaf[part] % CLASSES
             _descend(self.weights, self.class_bias, rows[0, :, part], kind, seen, self.buckets)
-            _descend(self.weights, self.leaf_bias[kind], rows[1, :, part], place, seen, self.buckets)
+            _descend(self.weights, self.leaf_bias, rows[1, :, part], place, seen, self.buckets, kind)
 
 
-def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np.ndarray, seen: np.ndarray, buckets: int) -> None:
+def _descend(
+    weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np.ndarray, seen: np.ndarray, buckets: int,
+    kind: np.ndarray | None = None,
+) -> None:
     """One gradient step on a batch; the step of a feature shrinks with the square root of its count. Each of the
-    `rows` falls in one block of `buckets` weights, which is summed column by column."""
-    slope = _logits(weights, bias, rows)
-    np.exp(slope, out=slope)
-    slope *= (-1 / slope.sum(axis=1))[:, None]
-    slope[np.arange(len(wanted)), wanted] += 1
-    columns = np.ascontiguousarray(slope.T)
+    `rows` falls in one block of `buckets` weights, which is summed column by column. `bias` is one row, or with `kind`
+    the rows to choose from. The slopes are made in parts that stay in the cache, and widened once for all sums."""
+    columns = np.empty((bias.shape[-1], len(wanted)))
+    for at in range(0, len(wanted), _CACHED):
+        part = slice(at, at + _CACHED)
+        slope = _logits(weights, bias if kind is None else bias[kind[part]], rows[:, part])
+        np.exp(slope, out=slope)
+        slope *= (-1 / slope.sum(axis=1))[:, None]
+        slope[np.arange(len(slope)), wanted[part]] += 1
+        columns[:, part] = slope.T
     for feature in rows:
         first = int(feature[0]) // buckets * buckets
         block, bucket = slice(first, first + buckets), feature.astype(np.int64) - first
@@ -277,7 +304,9 @@ def _descend(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted: np
         sums = np.empty((len(columns), buckets), np.float32)
         for out, column in zip(sums, columns):
             out[:] = np.bincount(bucket, column, buckets)
-        weights[block] += (sums * step).T
+        for at in range(0, buckets, _TURNED):
+            some = slice(at, at + _TURNED)
+            weights[first + at : first + at + _TURNED] += (sums[:, some] * step[some]).T
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int) -> Model:
