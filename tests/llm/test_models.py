@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,3 +307,42 @@ def test_a_step_against_plain_sums_and_pieces_hashed_once(monkeypatch):
         + plain_hash(w[:2]) % maxent.CLASSES for w in words]
     monkeypatch.setattr(maxent.xxhash, "xxh32_intdigest", lambda piece: asked.append(piece) or plain_hash(piece))
     assert [maxent._shared_leaf(w) for w in words] == leaves and len(asked) <= 11  # ten endings and a beginning
+
+
+def test_tokens_of_a_batch_as_one_by_one(monkeypatch):
+    rng = random.Random(7)
+    odd = [None, b"", b" ", b"\n\n a", b"((()))", b"'x'.", b"A\xc3\x84Z \x00\xff \x1c\x85\x0b", b"a" * 31, b"b" * 32 + b" " + b"c" * 33]
+    odd += [bytes(rng.choices(range(256), k=rng.randrange(60))) for _ in range(300)]
+    odd += [bytes(rng.choices(b"aB.(' \n", k=rng.randrange(90))) for _ in range(300)]
+    plain = [maxent.tokens(t) for t in odd]
+    found, words = maxent._Tokens(odd), [w for each in plain for w in each]
+    assert np.diff(np.append(found.starts, len(found.keys))).tolist() == [len(each) for each in plain]
+    assert found.keys.tolist() == [maxent._key(w) for w in words]
+    assert found.shared_leaves(np.arange(len(words))).tolist() == [maxent._shared_leaf(w) for w in words]
+
+    head = sorted({maxent._key(w) for w in words[::2]})
+    coder = maxent._Coder(np.array(head, np.int64), np.arange(len(head)) % maxent.LEAVES)
+    codes, starts, keys = maxent._coded(coder, odd)
+    place = {key: i + 1 for i, key in enumerate(head)}
+    assert maxent._place_of(codes).tolist() == [place.get(maxent._key(w), 0) for w in words]
+    leaves = [(place[maxent._key(w)] - 1) % maxent.LEAVES if maxent._key(w) in place else maxent._shared_leaf(w) for w in words]
+    assert maxent._leaf_of(codes).tolist() == leaves
+    short = [1 + (maxent._key(w) % 2**64 >> 20) % ((1 << maxent._WORD_BITS) - 1) for w in words]
+    assert (codes & (1 << maxent._WORD_BITS) - 1).tolist() == short
+    assert (starts == found.starts).all() and (keys == found.keys).all() and not len(maxent._coded(coder, [])[0])
+
+    counted = {}
+    for rows in maxent._count_rows(iter([pd.DataFrame({"text": odd}), pd.DataFrame({"text": []}), pd.DataFrame({"text": odd})])):
+        for key, leaf, n in rows.itertuples(index=False):
+            assert leaf == counted.get(key, (leaf, 0))[0]
+            counted[key] = leaf, counted.get(key, (leaf, 0))[1] + n
+    tally = Counter(words)
+    assert counted == {maxent._key(w): (maxent._shared_leaf(w), 2 * n) for w, n in tally.items()}
+
+    # Words are hashed by the batch, not by a call for each.
+    asked, plain_hash = [], maxent.xxhash.xxh64_intdigest
+    monkeypatch.setattr(maxent.xxhash, "xxh64_intdigest", lambda word: asked.append(word) or plain_hash(word))
+    texts = [b" ".join(b"word%06d" % (i * 50 + j) for j in range(50)) for i in range(40)]
+    list(maxent._count_rows(iter([pd.DataFrame({"text": texts})])))
+    maxent._coded(coder, texts)
+    assert not asked

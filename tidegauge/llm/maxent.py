@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import dataclasses
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,10 +43,15 @@ _CHUNK = 32_768  # tokens of a gradient step
 _CACHED = 2_048  # tokens whose logits stay in a core's cache
 _TURNED = 512  # buckets whose sums are turned into rows at once
 _ENDS = 100_000  # beginnings or endings of words whose hash a worker remembers
-_FLUSH = 250_000  # distinct words counted before they are passed on
-_WORDS = 500_000  # words whose code a worker remembers
+_AT_ONCE = 65_536  # tokens that are hashed at once
 _BLOCKS = 64  # parts in which updates are averaged
 _WORD_BITS = 24  # of a word's hash in its code; 0 stands for nothing before
+_MARKS = b".,;:!?|\"'()"
+_STRIPPED = np.isin(np.arange(256), list(_MARKS))
+# Of xxh64 and xxh32 as published.
+_PRIMES_64 = tuple(map(np.uint64, (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)))
+_PRIMES_32 = tuple(map(np.uint32, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x165667B1)))
 
 
 def _key(word: bytes) -> int:
@@ -75,17 +79,105 @@ _OF_BEGINNING = _Remembered(lambda piece: xxhash.xxh32_intdigest(piece) % CLASSE
 
 
 def _shared_leaf(word: bytes) -> int:
-    """The leaf of a word that has none of its own: class by ending, leaf by beginning."""
-    word = word.strip(b".,;:!?|\"'()")
+    """The leaf of a word that has none of its own: class by ending, leaf by beginning; `_Tokens` finds those of a batch."""
+    word = word.strip(_MARKS)
     return _OF_ENDING[word[-3:]] + _OF_BEGINNING[word[:2]]
 
 
 def tokens(text: bytes | None) -> list[bytes]:
+    """The tokens of one text; `_Tokens` finds those of a batch."""
     words = (text or b"").lower().split()
     words.append(END)
     return words
 
 
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    bits = 8 * x.itemsize
+    return x << x.dtype.type(by) | x >> x.dtype.type(bits - by)
+
+
+class _Tokens:
+    """All tokens of a batch of texts, as places in one array of lower-case bytes in which each text is followed by
+    its end token. `keys` are their `_key`s, `starts` the first token of each text."""
+
+    def __init__(self, texts):
+        texts = [t or b"" for t in texts]
+        joined = (END.join(texts) + END * bool(texts)).lower()
+        self.bytes = np.frombuffer(joined + b" " * (24 - len(joined) % 8), np.uint8)
+        self.lanes = self.bytes.view("<u8")
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + len(END)
+        ends = np.cumsum(sizes) - 1
+        text = self.bytes[: len(joined)]
+        space = (text - np.uint8(9) < 5) | (text == 32)
+        after = np.concatenate([[True], space])
+        begins = ~space & after[:-1]
+        begins[ends] = True
+        self.at = np.flatnonzero(begins)
+        last = np.searchsorted(self.at, ends)
+        words = np.ones(len(self.at), bool)
+        words[last] = False
+        self.size = np.ones(len(self.at), np.int64)
+        self.size[words] = np.flatnonzero(space & ~after[:-1]) - self.at[words]
+        self.starts = np.concatenate([[0], last[:-1] + 1]) if texts else last
+        self.keys = np.empty(len(self.at), np.int64)
+        for a in range(0, len(self.at), _AT_ONCE):
+            part = slice(a, a + _AT_ONCE)
+            self.keys[part] = self._hashes(self.at[part], self.size[part]).view(np.int64)
+        for i in np.flatnonzero(self.size >= 32):
+            self.keys[i] = _key(self.bytes[self.at[i] : self.at[i] + self.size[i]].tobytes())
+
+    def _lane(self, at: np.ndarray) -> np.ndarray:
+        """Eight bytes from each place on; a shift by all 64 bits leaves none."""
+        own, bits = at >> 3, (at.astype(np.uint64) & np.uint64(7)) << np.uint64(3)
+        return self.lanes[own] >> bits | self.lanes[own + 1] << np.uint64(64) - bits
+
+    def _hashes(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """xxh64 of runs of less than 32 bytes."""
+        p1, p2, p3, p4, p5 = _PRIMES_64
+        h = size.astype(np.uint64) + p5
+        for done in (0, 8, 16):
+            some = np.flatnonzero(size >= done + 8)
+            lane = _rotated(self._lane(at[some] + done) * p2, 31) * p1
+            h[some] = _rotated(h[some] ^ lane, 27) * p1 + p4
+        some = np.flatnonzero(size & 4)
+        half = self._lane(at[some] + (size[some] & ~7)) & np.uint64(0xFFFFFFFF)
+        h[some] = _rotated(h[some] ^ half * p1, 23) * p2 + p3
+        for done in range(3):
+            some = np.flatnonzero(size & 3 > done)
+            byte = self.bytes[at[some] + (size[some] & ~3) + done].astype(np.uint64)
+            h[some] = _rotated(h[some] ^ byte * p5, 11) * p1
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+        return h ^ h >> np.uint64(32)
+
+    def _short_hashes(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """xxh32 of runs of less than 4 bytes."""
+        p1, p2, p3, p5 = _PRIMES_32
+        h = size.astype(np.uint32) + p5
+        for done in range(3):
+            some = np.flatnonzero(size > done)
+            h[some] = _rotated(h[some] + self.bytes[at[some] + done] * p5, 11) * p1
+        h = (h ^ h >> np.uint32(15)) * p2
+        h = (h ^ h >> np.uint32(13)) * p3
+        return h ^ h >> np.uint32(16)
+
+    def shared_leaves(self, which: np.ndarray) -> np.ndarray:
+        """`_shared_leaf` of some tokens."""
+        first, end = self.at[which], self.at[which] + self.size[which]
+        some = np.flatnonzero(_STRIPPED[self.bytes[end - 1]])
+        while len(some):
+            end[some] -= 1
+            some = some[end[some] > first[some]]
+            some = some[_STRIPPED[self.bytes[end[some] - 1]]]
+        some = np.flatnonzero((end > first) & _STRIPPED[self.bytes[first]])
+        while len(some):
+            first[some] += 1
+            some = some[_STRIPPED[self.bytes[first[some]]]]
+        ending, beginning = np.minimum(end - first, 3), np.minimum(end - first, 2)
+        kind = FREQUENT + self._short_hashes(end - ending, ending).astype(np.int64) % (CLASSES - FREQUENT)
+        return kind * CLASSES + self._short_hashes(first, beginning).astype(np.int64) % CLASSES
+
+
 @dataclasses.dataclass
 class Vocabulary:
     """Sorted broadcast part and the totals; `rest` is the table of all other counts."""
@@ -111,22 +203,14 @@ class Vocabulary:
 
 
 def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter = Counter()
-
-    def rows() -> pd.DataFrame:
-        words = list(seen)
-        return pd.DataFrame({
-            "key": np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64),
-            "leaf": np.array([_shared_leaf(w) for w in words], np.int32),
-            "n": np.fromiter(seen.values(), np.int64, len(words))})
-
     for batch in batches:
-        for text in batch["text"]:
-            seen.update(tokens(text))
-            if len(seen) >= _FLUSH:
-                yield rows()
-                seen.clear()
-    yield rows()
+        found = _Tokens(batch["text"])
+        order = np.argsort(found.keys)
+        keys = found.keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        yield pd.DataFrame({
+            "key": keys[first], "leaf": found.shared_leaves(order[first]).astype(np.int32),
+            "n": np.diff(np.append(first, len(keys)))})
 
 
 def count_words(texts: DataFrame, head: int = HEAD) -> Vocabulary:
@@ -166,25 +250,41 @@ def count_words(texts: DataFrame, head: int = HEAD) -> Vocabulary:
         keys, n, leaves, int(leaf_total.sum()), int(leaf_distinct.sum()), leaf_total, leaf_distinct, rest.select("key", "n"))
 
 
-class _Coder(dict):
-    """Word to a number with its hash, leaf and place in the head plus 1."""
+class _Coder:
+    """Tokens to numbers with their hash, leaf and place in the head plus 1. A word of the head is found from the
+    first one with the same leading bits, of which there are few."""
 
     def __init__(self, keys: np.ndarray, leaves: np.ndarray):
-        super().__init__()
-        place = np.arange(1, len(keys) + 1, dtype=np.int64)
-        short = 1 + (keys.astype(np.uint64) >> np.uint64(20)).astype(np.int64) % ((1 << _WORD_BITS) - 1)
-        self.head = dict(zip(keys.view(np.uint64).tolist(), (short | leaves << _WORD_BITS | place << _WORD_BITS + 10).tolist()))
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS:
-            self.clear()
-        value = xxhash.xxh64_intdigest(word)
-        code = self.head.get(value)
-        if code is None:
-            short = 1 + (value >> 20) % ((1 << _WORD_BITS) - 1)
-            code = short | _shared_leaf(word) << _WORD_BITS
-        self[word] = code
-        return code
+        plain = keys.view(np.uint64)
+        order = np.argsort(plain)
+        bits = max(len(keys), 1).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(plain[order], np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.keys = np.append(plain[order], np.uint64(2**64 - 1))
+        codes = self._short(plain) | leaves << _WORD_BITS | np.arange(1, len(keys) + 1) << _WORD_BITS + 10
+        self.codes = np.append(codes[order], 0)
+
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.coded(_Tokens([word]))[0])
+
+    @staticmethod
+    def _short(keys: np.ndarray) -> np.ndarray:
+        return 1 + ((keys >> np.uint64(20)) % np.uint64((1 << _WORD_BITS) - 1)).astype(np.int64)
+
+    def coded(self, found: _Tokens) -> np.ndarray:
+        keys = found.keys.view(np.uint64)
+        codes = np.empty(len(keys), np.int64)
+        for a in range(0, len(keys), _AT_ONCE):
+            part = keys[a : a + _AT_ONCE]
+            place = self.first[part >> self.shift]
+            some = np.flatnonzero(self.keys[place] < part)
+            while len(some):
+                place[some] += 1
+                some = some[self.keys[place[some]] < part[some]]
+            codes[a : a + _AT_ONCE] = np.where(self.keys[place] == part, self.codes[place], 0)
+        rest = np.flatnonzero(codes == 0)
+        codes[rest] = self._short(keys[rest]) | found.shared_leaves(rest) << _WORD_BITS
+        return codes
 
 
 def _leaf_of(codes: np.ndarray) -> np.ndarray:
@@ -231,14 +331,10 @@ def _log_share(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, wanted:
     return own - np.log(z.sum(axis=1))
 
 
-def _coded(coder: _Coder, texts) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    words = [tokens(t) for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    codes = np.empty(int(sizes.sum()), np.int64)
-    starts = np.cumsum(sizes) - sizes
-    for at, size, each in zip(starts, sizes, words):
-        codes[at : at + size] = np.fromiter(map(coder.__getitem__, each), np.int64, int(size))
-    return codes, starts, words
+def _coded(coder: _Coder, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, the first token of each text, and keys."""
+    found = _Tokens(texts)
+    return coder.coded(found), found.starts, found.keys
 
 
 @dataclasses.dataclass
@@ -385,7 +481,7 @@ def apply(docs: DataFrame, vocabulary: Vocabulary, model: Model, id_col: str = "
         keys, leaves, in_leaf, base, model = sent.value
         coder = _Coder(keys, leaves)
         for batch in batches:
-            codes, starts, words = _coded(coder, batch["text"])
+            codes, starts, word_keys = _coded(coder, batch["text"])
             if not len(codes):
                 continue
             leaf, place, plain = _leaf_of(codes), _place_of(codes), np.zeros(len(codes))
@@ -398,7 +494,7 @@ def apply(docs: DataFrame, vocabulary: Vocabulary, model: Model, id_col: str = "
             yield pd.DataFrame({
                 "id": batch["id"], "n_tokens": sizes, "head_known": np.add.reduceat(known.astype(np.int64), starts),
                 "head_base": np.add.reduceat(plain, starts), "head_score": np.add.reduceat(shares, starts),
-                "rest": [np.array([_key(w[i]) for i in r], np.int64) for w, r in zip(words, rest)],
+                "rest": [word_keys[a + r] for a, r in zip(starts, rest)],
                 "rest_leaf": [leaf[a + r].astype(np.int16) for a, r in zip(starts, rest)]})
 
     small_batches(docs.sparkSession)
